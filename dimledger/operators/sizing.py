@@ -1,0 +1,24 @@
+"""Broadcast only behind a proven size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+__all__ = ["broadcast_if_small", "DEFAULT_BROADCAST_ROWS"]
+
+# A dimension side is broadcast only when it has at most this many rows.
+# Lookup sides here are a few narrow columns, so 2M rows stays well under
+# the 8 GB broadcast limit; anything larger goes through a shuffle join
+# (sort-merge, with AQE free to convert it at runtime from real sizes).
+DEFAULT_BROADCAST_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Return ``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
+
+    The check runs ``limit(max_rows + 1).count()``: it stops reading once the
+    bound is exceeded, so it never scans a large table in full.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
