@@ -129,8 +129,10 @@ def exact_sum(c, scale: int = 2) -> Column:
     """Sum of a money/quantity column that does not depend on row order.
 
     Double addition is not associative, so partial sums on different executors
-    can differ in the last bit from run to run. Summing a fixed-scale decimal is
-    exact; the result is returned as double.
+    can differ in the last bit from run to run. Values are summed as whole
+    units of ``10^-scale`` in a long (exact and fast, unlike a widened
+    decimal) and returned as double; equal to summing ``decimal(18, scale)``.
     """
     c = F.col(c) if isinstance(c, str) else c
-    return F.sum(c.cast(f"decimal(18,{scale})")).cast("double")
+    unit = 10 ** scale
+    return F.sum(F.round(c * unit).cast("bigint")) / F.lit(float(unit))

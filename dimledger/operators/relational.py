@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dimledger.functions.columns import exact_sum
+
 __all__ = [
     "latest_per_key", "snapshot_as_of", "expand_hierarchy", "level_ids", "any_level_join",
     "deepest_level_join", "anti_join", "exclude", "fill", "normalise_missing", "sum_by",
@@ -143,8 +145,7 @@ def sum_by(df: DataFrame, keys: list[str], cols: list[str], scale: int | None =
     all-NULL group sums to 0. ``scale`` sums through a fixed-scale decimal so
     the result does not depend on row order."""
     def total(c):
-        s = F.sum(F.col(c).cast(f"decimal(18,{scale})")).cast("double") if scale is not None \
-            else F.sum(c)
+        s = exact_sum(c, scale) if scale is not None else F.sum(c)
         return F.coalesce(s, F.lit(0).cast(dict(df.dtypes)[c] if scale is None else "double")).alias(c)
     not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     return df.where(not_null).groupBy(*keys).agg(*[total(c) for c in cols])

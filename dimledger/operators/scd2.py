@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from dimledger.functions.columns import SENTINEL, ts_lit
 from dimledger.operators.relational import latest_per_key
-from dimledger.operators.scan import carry_last, day_bucket, with_next
+from dimledger.operators.scan import HOT_ROWS, carry_last, hot_keys, with_next
 
 __all__ = ["current_rows", "open_rows", "scd2_merge", "scd2_history", "pit_join",
            "FROM", "TO", "DELETED", "one_second"]
@@ -116,24 +116,27 @@ def scd2_merge(hist: DataFrame, snapshot: DataFrame, key: list[str], tracked: li
 
 
 def scd2_history(changes: DataFrame, key: list[str], attrs: list[str], ts: str,
-                 tie: str, tracked: list[str] | None = None,
-                 bucket: Column | None = None) -> DataFrame:
+                 tie: str, tracked: list[str] | None = None, bucket: str | None = "day",
+                 hot_rows: int = HOT_ROWS) -> DataFrame:
     """Build versions from a change log (one row per observed state).
 
     A version starts at a row whose tracked attributes differ from the
     previous row of the key (ordered by ``ts``, then ``tie``) and ends one
     second before the next version starts; the last one ends at the sentinel.
-    Both scans are bucketed by day so one busy key is spread over many tasks.
+    Both scans split keys with more than ``hot_rows`` rows into ``bucket``
+    slices of time, so one busy key is spread over many tasks.
     """
     tracked = tracked or attrs
-    bucket = bucket if bucket is not None else day_bucket(ts)
     order = [ts, tie]
     v = changes.select(*key, *attrs, ts, tie)
+    # Version starts are a subset of the changes, so keys hot among the
+    # starts are hot among the changes: one hot-key table serves both scans.
+    hot = hot_keys(v, key, hot_rows) if bucket is not None else None
     v = v.withColumn("_cur", F.struct(*[F.col(c) for c in tracked]))
-    v = carry_last(v, key, order, "_cur", "_prev", bucket=bucket, include_current=False)
+    v = carry_last(v, key, order, "_cur", "_prev", include_current=False, bucket=bucket, hot=hot)
     starts = v.where(F.col("_prev").isNull() | ~F.col("_prev").eqNullSafe(F.col("_cur")))
     starts = starts.drop("_cur", "_prev")
-    starts = with_next(starts, key, order, [ts], out="_next", bucket=bucket)
+    starts = with_next(starts, key, order, [ts], out="_next", bucket=bucket, hot=hot)
     return starts.select(
         *key, *attrs,
         F.col(ts).cast("timestamp_ntz").alias(FROM),
@@ -143,7 +146,8 @@ def scd2_history(changes: DataFrame, key: list[str], attrs: list[str], ts: str,
 
 def pit_join(facts: DataFrame, hist: DataFrame, fact_key: list[str], hist_key: list[str],
              ts: str, cols: list[str], how: str = "inner", method: str = "asof",
-             include_deleted: bool = False, bucket: Column | None = None) -> DataFrame:
+             include_deleted: bool = False, bucket: str | None = "hour",
+             hot_rows: int = HOT_ROWS) -> DataFrame:
     """Attach to each fact the ``cols`` of the version valid at ``ts``
     (``effective_from <= ts <= effective_to``), point in time (D-11).
 
@@ -166,7 +170,6 @@ def pit_join(facts: DataFrame, hist: DataFrame, fact_key: list[str], hist_key: l
 
     fact_cols = facts.columns
     keys = [f"_pk{i}" for i in range(len(fact_key))]
-    bucket = bucket if bucket is not None else day_bucket("_t")
     f_side = facts.select(*[F.col(k).alias(n) for k, n in zip(fact_key, keys)],
                           F.col(ts).alias("_t"), F.lit(1).alias("_tag"),
                           F.lit(None).cast("timestamp_ntz").alias("_vt_order"),
@@ -183,7 +186,7 @@ def pit_join(facts: DataFrame, hist: DataFrame, fact_key: list[str], hist_key: l
     # Versions sort before facts at the same instant (effective_from is
     # inclusive); among versions starting together the longer one is last.
     stream = carry_last(stream, keys, ["_t", "_tag", "_vt_order"], "_ver", "_match",
-                        bucket=bucket, include_current=True)
+                        include_current=True, bucket=bucket, hot_rows=hot_rows)
     hit = F.col("_match").isNotNull() & (F.col("_t") <= F.col("_match._vt"))
     matched = stream.where(F.col("_tag") == 1)
     if how == "inner":

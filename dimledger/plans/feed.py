@@ -25,8 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimledger.functions.columns import (ZERO_ID_B64, default_label, flag_set, flag_unset,
-                                         int_code, normalise_code, ts_lit)
+from dimledger.functions.columns import (ZERO_ID_B64, default_label, exact_sum, flag_set,
+                                         flag_unset, int_code, normalise_code, ts_lit)
 from dimledger.operators.relational import (any_level_join, deepest_level_join, exclude,
                                             expand_hierarchy, fill, snapshot_as_of, sum_by)
 from dimledger.operators.sizing import broadcast_if_small
@@ -128,8 +128,7 @@ def daily_stock(stock: DataFrame, warehouses: DataFrame, stores: DataFrame, ds=N
     shops = broadcast_if_small(eligible_stores(warehouses, stores, country, excluded_city))
     j = s.join(shops, F.col("warehouse_id") == F.col("whs_id"))
     return (j.groupBy(F.col("date").cast("date").alias("date"), "items_id", "store", "city")
-            .agg(F.sum(F.col("quant").cast("decimal(18,2)")).cast("double").alias("stock"),
-                 F.sum(F.col("price").cast("decimal(18,2)")).cast("double").alias("price"))
+            .agg(exact_sum("quant").alias("stock"), exact_sum("price").alias("price"))
             .select("date", "items_id", "stock", "price", "store", "city"))
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimledger.functions.columns import full_name, strip_spaces
-from dimledger.operators.scan import day_bucket, with_previous
+from dimledger.operators.scan import HOT_ROWS, with_previous
 from dimledger.operators.scd2 import DELETED, FROM, TO, current_rows, pit_join
 from dimledger.operators.sizing import broadcast_if_small
 
@@ -140,20 +140,21 @@ def rule_expired_contract(txn: DataFrame, owners: DataFrame, pit: bool = False)
 
 
 def velocity_rule(txn: DataFrame, terminals: DataFrame, owners: DataFrame,
-                  within: str = "1 hour", bucket: Column | None = None,
-                  pit: bool = False) -> DataFrame:
+                  within: str = "1 hour", bucket: str | None = "hour",
+                  hot_rows: int = HOT_ROWS, pit: bool = False) -> DataFrame:
     """Type 3: an operation less than ``within`` after the previous operation of
     the same card, in a different city.
 
     The previous operation is found on the fact alone (card, time, id,
-    terminal), ordered by time with the transaction id as tie-break (D-12), in
-    a day-bucketed scan so a very busy card is still split over tasks. Cities
+    terminal), ordered by time with the transaction id as tie-break (D-12); a
+    card with more than ``hot_rows`` operations is split into ``bucket``
+    slices of time so it is still spread over tasks. Cities
     are looked up only for the few rows that pass the time test; an unknown
     terminal has no city and is never flagged.
     """
     t = txn.select("trans_id", "trans_date", "card_num", "terminal")
     t = with_previous(t, ["card_num"], ["trans_date", "trans_id"], ["trans_date", "terminal"],
-                      out="_prev", bucket=bucket if bucket is not None else day_bucket("trans_date"))
+                      out="_prev", bucket=bucket, hot_rows=hot_rows)
     gap = F.col("trans_date") - F.col("_prev.trans_date")
     near = t.where(F.col("_prev").isNotNull() & (gap < F.expr(f"INTERVAL {within}")))
     cities = broadcast_if_small(terminals.select("terminal_id", "terminal_city"))
