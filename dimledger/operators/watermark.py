@@ -2,34 +2,43 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimledger.functions.columns import latest_change
+from dimledger.functions.columns import ts_lit
 
 __all__ = ["delta_since", "next_watermark", "watermark_value"]
 
 
+# Floor used when no watermark is stored yet: everything is newer.
+EPOCH_FLOOR = "0001-01-01 00:00:00"
+
+
 def watermark_value(meta: DataFrame | None, col: str = "max_update_dt") -> Column | None:
-    """The stored watermark as a scalar-subquery column (``None`` = first run)."""
+    """The stored watermark as a scalar-subquery column (``None`` = first run).
+
+    An empty table or a NULL value reads as the floor timestamp, so a missing
+    watermark loads everything instead of nothing (D-07) and the comparison
+    stays a plain ``col > subquery`` that Spark pushes into the scan.
+    """
     if meta is None:
         return None
-    return meta.select(F.max(col)).scalar()
+    return meta.select(F.coalesce(F.max(col), ts_lit(EPOCH_FLOOR))).scalar()
 
 
 def delta_since(df: DataFrame, wm: Column | None, cols: list[str]) -> DataFrame:
-    """Rows changed after the watermark: ``greatest(cols) > wm`` (strict).
+    """Rows changed after the watermark (strict ``>``) in any of ``cols``.
 
-    ``greatest`` skips NULLs, so with ``[create_dt, update_dt]`` this is
-    ``create_dt > wm OR (update_dt IS NOT NULL AND update_dt > wm)``. A missing
-    watermark (first run, or an earlier empty load) means "everything" instead
-    of "nothing" (D-07). The comparison is a plain filter, so it reaches the
-    parquet scan when ``cols`` has one column.
+    With ``[create_dt, update_dt]`` this is ``create_dt > wm OR (update_dt IS
+    NOT NULL AND update_dt > wm)``: a NULL column never passes. ``wm=None``
+    (first run) keeps every row (D-07). Written as plain comparisons, so the
+    filter reaches the parquet scan.
     """
-    changed_at = F.col(cols[0]) if len(cols) == 1 else latest_change(*cols)
     if wm is None:
         return df
-    return df.where(wm.isNull() | (changed_at > wm))
+    return df.where(reduce(lambda a, b: a | b, [F.col(c) > wm for c in cols]))
 
 
 def next_watermark(delta: DataFrame, cols: list[str], previous: DataFrame | None = None,
