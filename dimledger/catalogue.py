@@ -702,14 +702,46 @@ def feed_abc(part: DataFrame) -> DataFrame:
     return early.unionByName(late)
 
 
-def _feed_inputs(spark, d):
-    part, nation, region, supplier, lineitem = (
-        table(spark, d, n) for n in ("part", "nation", "region", "supplier", "lineitem"))
-    paths = feed.category_paths(category_groups(spark, d), root_name="ASIA")
-    return dict(paths=paths, items=feed_items(part), skus=feed_skus(part),
-                stores=feed_stores(nation, region), warehouses=feed_warehouses(supplier),
-                stock=feed_stock(lineitem), general=feed_general(lineitem, supplier),
-                abc=feed_abc(part))
+class _FeedInputs:
+    """Feed analogues, each built only when a query asks for it."""
+
+    def __init__(self, spark, d):
+        self.spark, self.d = spark, d
+
+    def _t(self, name):
+        return table(self.spark, self.d, name)
+
+    @property
+    def paths(self):
+        return feed.category_paths(category_groups(self.spark, self.d), root_name="ASIA")
+
+    @property
+    def items(self):
+        return feed_items(self._t("part"))
+
+    @property
+    def skus(self):
+        return feed_skus(self._t("part"))
+
+    @property
+    def stores(self):
+        return feed_stores(self._t("nation"), self._t("region"))
+
+    @property
+    def warehouses(self):
+        return feed_warehouses(self._t("supplier"))
+
+    @property
+    def stock(self):
+        return feed_stock(self._t("lineitem"))
+
+    @property
+    def general(self):
+        return feed_general(self._t("lineitem"), self._t("supplier"))
+
+    @property
+    def abc(self):
+        return feed_abc(self._t("part"))
 
 
 SQL_FEED_CTE = f"""
@@ -819,22 +851,22 @@ def q_any_level_join(spark, d):
 
 @query("sku_categories", f"WITH {SQL_FEED_CTE} SELECT * FROM sku")
 def q_sku_categories(spark, d):
-    x = _feed_inputs(spark, d)
-    return feed.sku_categories(x["items"], x["skus"], x["paths"])
+    x = _FeedInputs(spark, d)
+    return feed.sku_categories(x.items, x.skus, x.paths)
 
 
 @query("daily_stock", f"WITH {SQL_FEED_CTE} SELECT date, items_id, stock, price, store, city FROM stk")
 def q_daily_stock(spark, d):
     """Back-fill: the stock report of every day in one job."""
-    x = _feed_inputs(spark, d)
-    return feed.daily_stock(x["stock"], x["warehouses"], x["stores"], excluded_city=FEED_EXCLUDED_CITY)
+    x = _FeedInputs(spark, d)
+    return feed.daily_stock(x.stock, x.warehouses, x.stores, excluded_city=FEED_EXCLUDED_CITY)
 
 
 @query("daily_sales", f"WITH {SQL_FEED_CTE} SELECT * FROM sales")
 def q_daily_sales(spark, d):
     """Back-fill: the sales report of every day in one job."""
-    x = _feed_inputs(spark, d)
-    return feed.daily_sales(x["general"], x["items"], x["stores"], x["paths"])
+    x = _FeedInputs(spark, d)
+    return feed.daily_sales(x.general, x.items, x.stores, x.paths)
 
 
 ABC_SQL = f"""
@@ -892,12 +924,13 @@ FROM t LEFT JOIN ranks r ON r.webcode = t.webcode
 
 @query("abc_feed", ABC_SQL)
 def q_abc_feed(spark, d):
-    x = _feed_inputs(spark, d)
-    stock = feed.daily_stock(x["stock"], x["warehouses"], x["stores"], ds=FEED_DAY,
+    x = _FeedInputs(spark, d)
+    paths = x.paths
+    stock = feed.daily_stock(x.stock, x.warehouses, x.stores, ds=FEED_DAY,
                              excluded_city=FEED_EXCLUDED_CITY)
-    sales = feed.daily_sales(x["general"], x["items"], x["stores"], x["paths"], ds=FEED_DAY)
-    skus = feed.sku_categories(x["items"], x["skus"], x["paths"])
-    ranks = feed.abc_snapshot(x["abc"], feed.abc_cutoff(FEED_DAY))
+    sales = feed.daily_sales(x.general, x.items, x.stores, paths, ds=FEED_DAY)
+    skus = feed.sku_categories(x.items, x.skus, paths)
+    ranks = feed.abc_snapshot(x.abc, feed.abc_cutoff(FEED_DAY))
     return feed.abc_feed(stock, skus, sales, ranks, FEED_DAY)
 
 

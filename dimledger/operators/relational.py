@@ -65,10 +65,12 @@ def expand_hierarchy(nodes: DataFrame, id_col: str, parent_col: str, root: Colum
     return paths.select(*chain[1:]).distinct()
 
 
-def level_ids(cats: DataFrame, levels: list[str], out: str = "_cat_id") -> DataFrame:
-    """Every id that appears at any level, once."""
-    return (cats.select(F.explode(F.array(*[F.col(c) for c in levels])).alias(out))
-            .where(F.col(out).isNotNull()).distinct())
+def level_ids(cats: DataFrame, levels: list[str], out: str = "_cat_id",
+              distinct: bool = True) -> DataFrame:
+    """Every id that appears at any level (once, with ``distinct``)."""
+    ids = (cats.select(F.explode(F.array(*[F.col(c) for c in levels])).alias(out))
+           .where(F.col(out).isNotNull()))
+    return ids.distinct() if distinct else ids
 
 
 def any_level_join(df: DataFrame, key: str, cats: DataFrame, levels: list[str]) -> DataFrame:
@@ -78,7 +80,8 @@ def any_level_join(df: DataFrame, key: str, cats: DataFrame, levels: list[str])
     against the exploded id set: a hash join, no pairs emitted, each row kept
     at most once.
     """
-    ids = level_ids(cats, levels)
+    # duplicates on the build side cannot repeat a row of a semi-join
+    ids = level_ids(cats, levels, distinct=False)
     return df.join(ids, df[key] == ids["_cat_id"], "left_semi")
 
 

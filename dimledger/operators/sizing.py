@@ -1,4 +1,11 @@
-"""Broadcast only behind a proven size bound."""
+"""Broadcast only behind a proven size bound.
+
+Without table statistics Catalyst estimates a join's output as the product
+of its inputs, so a dimension assembled from a few small tables looks larger
+than the fact table it is joined to: the planner may then broadcast the fact
+side, or shuffle the fact table to meet a tiny dimension. Dimensions that
+meet facts are therefore passed through ``broadcast_if_small``.
+"""
 
 from __future__ import annotations
 

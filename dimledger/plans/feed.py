@@ -27,9 +27,9 @@ from pyspark.sql import types as T
 
 from dimledger.functions.columns import (ZERO_ID_B64, default_label, exact_sum, flag_set,
                                          flag_unset, int_code, normalise_code, ts_lit)
+from dimledger.operators.sizing import broadcast_if_small
 from dimledger.operators.relational import (any_level_join, deepest_level_join, exclude,
                                             expand_hierarchy, fill, snapshot_as_of, sum_by)
-from dimledger.operators.sizing import broadcast_if_small
 from dimledger.sources.schemas import conform
 
 __all__ = ["category_paths", "sku_categories", "eligible_stores", "daily_stock", "daily_sales",
@@ -75,9 +75,12 @@ FEED_SCHEMA = T.StructType([
 def category_paths(groups: DataFrame, root_name: str = ROOT_GROUP, depth: int = 3) -> DataFrame:
     """Distinct (cat_1, cat_2, cat_3) below the named root, as base64 ids."""
     root = (F.base64("_parentidrref") == F.lit(ZERO_ID_B64)) & (F.col("_description") == root_name)
-    paths = expand_hierarchy(broadcast_if_small(groups.select("_idrref", "_parentidrref", "_description")),
-                             "_idrref", "_parentidrref", root, depth=depth)
-    return paths.select(*[F.base64(c).alias(c) for c in LEVELS[:depth]]).distinct()
+    # The category tree is read once per level; broadcasting it (after the
+    # row-count check) lets every level reuse the same broadcast.
+    nodes = broadcast_if_small(groups.select("_idrref", "_parentidrref", "_description"))
+    paths = expand_hierarchy(nodes, "_idrref", "_parentidrref", root, depth=depth)
+    # paths are distinct already and base64 is one-to-one
+    return paths.select(*[F.base64(c).alias(c) for c in LEVELS[:depth]])
 
 
 def sku_categories(items: DataFrame, skus: DataFrame, paths: DataFrame) -> DataFrame:
@@ -150,8 +153,8 @@ def daily_sales(general: DataFrame, items: DataFrame, stores: DataFrame, paths:
                        int_code("_fld26454").alias("item_code"),
                        F.base64("_fld2428rref").alias("cat_id")).distinct())
     st = stores.select("store_id", "store", "city", "country")
-    j = (g.join(it, F.col("item") == F.col("_item"), "left")
-         .join(st, F.col("shops") == F.col("store_id"), "left")
+    j = (g.join(broadcast_if_small(it), F.col("item") == F.col("_item"), "left")
+         .join(broadcast_if_small(st), F.col("shops") == F.col("store_id"), "left")
          .where(F.col("country") == country))
     sales = (j.groupBy(F.col("date").cast("date").alias("date"), "store", "item_code", "_description",
                        "country", "city", "cat_id", "whs", "whs_i")
@@ -163,7 +166,7 @@ def daily_sales(general: DataFrame, items: DataFrame, stores: DataFrame, paths:
                          "cat_id")
     deepest = paths.withColumn("_deep", F.coalesce(*[F.col(c) for c in reversed(LEVELS)]))
     deepest = deepest.where(~F.col("_deep").isin(*excluded_categories))
-    out = deepest_level_join(sales, "cat_id", deepest.select(*LEVELS), LEVELS)
+    out = deepest_level_join(sales, "cat_id", broadcast_if_small(deepest.select(*LEVELS)), LEVELS)
     out = out.where(~F.col("webcode").isin(*excluded_webcodes))
     return out.select("date", "webcode", "item_name", "store", "quantity", "item_total", "city")
 

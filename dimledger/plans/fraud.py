@@ -157,6 +157,9 @@ def velocity_rule(txn: DataFrame, terminals: DataFrame, owners: DataFrame,
                       out="_prev", bucket=bucket, hot_rows=hot_rows)
     gap = F.col("trans_date") - F.col("_prev.trans_date")
     near = t.where(F.col("_prev").isNotNull() & (gap < F.expr(f"INTERVAL {within}")))
+    # The terminal dimension meets the facts: broadcast it when its size is
+    # proven small (the planner's join estimate cannot tell), so the card
+    # partitioning of the window output is kept for the owner join.
     cities = broadcast_if_small(terminals.select("terminal_id", "terminal_city"))
     cur = cities.select(F.col("terminal_id").alias("_t1"), F.col("terminal_city").alias("_c1"))
     prev = cities.select(F.col("terminal_id").alias("_t2"), F.col("terminal_city").alias("_c2"))
