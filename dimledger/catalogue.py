@@ -375,9 +375,11 @@ def q_scd2_merge(spark, d):
     orders, customer = table(spark, d, "orders"), table(spark, d, "customer")
     s1 = latest_order_state(orders, "1995-07-01")
     closed = customer.where(F.col("c_acctbal") < 0).select(F.col("c_custkey").alias("client_id"))
-    s2 = anti_join(latest_order_state(orders, "1995-10-01"), closed, "client_id", null_aware=True)
+    s2 = anti_join(latest_order_state(orders, "1995-10-01"), closed, "client_id")
     empty = spark.createDataFrame([], HIST_SCHEMA)
-    args = dict(key=["client_id"], tracked=["priority"], attrs=["priority", "status"], from_col="update_dt")
+    # both states are one row per client already (latest_order_state)
+    args = dict(key=["client_id"], tracked=["priority"], attrs=["priority", "status"], from_col="update_dt",
+                dedupe=False)
     h1 = scd2_merge(empty, s1, run_ts=ts_lit("1995-07-01"), **args)
     return scd2_merge(h1, s2, run_ts=ts_lit("1995-10-01"), **args)
 

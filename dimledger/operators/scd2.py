@@ -45,7 +45,7 @@ def current_rows(hist: DataFrame) -> DataFrame:
 
 def scd2_merge(hist: DataFrame, snapshot: DataFrame, key: list[str], tracked: list[str],
                attrs: list[str], run_ts: Column, from_col: str | None = None,
-               with_change: bool = False) -> DataFrame:
+               with_change: bool = False, dedupe: bool = True) -> DataFrame:
     """Apply a full source snapshot to a history in one pass.
 
     Each key is classified by one full-outer join of the open history rows
@@ -61,11 +61,12 @@ def scd2_merge(hist: DataFrame, snapshot: DataFrame, key: list[str], tracked: li
     A new version starts at ``from_col`` of the snapshot row (the source's
     update time) or at ``run_ts``. Closed history rows never enter the join.
     The snapshot is reduced to one row per key first (latest by ``from_col``,
-    D-35). Running the same snapshot twice gives the same history.
+    D-35); ``dedupe=False`` skips that when the caller already guarantees it.
+    Running the same snapshot twice gives the same history.
     """
     cols = [*key, *attrs]
     snap = snapshot.select(*cols, *([from_col] if from_col else []))
-    if from_col:
+    if from_col and dedupe:
         snap = latest_per_key(snap, key, [from_col, *attrs])
     new_from = F.col(f"s.{from_col}") if from_col else run_ts
 

@@ -1,26 +1,39 @@
 """Daily load of the bank warehouse: versioned dimensions and append-only
 facts behind a high-water mark, written so that a rerun is harmless.
 
-Tables live under a root directory each. A dimension history is rewritten as
-a new version directory and published last (``sources.sinks.publish``);
-facts are partitioned by load date and a day is replaced as a whole, so
-loading the same day twice keeps one copy. The watermark is a one-row table
-versioned the same way.
+* A dimension history is partitioned by ``closed_on``: ``open`` holds the
+  open rows (live versions and tombstones), and each run writes the rows it
+  closed to ``closed_on=<run date>``. A run reads only the open partition
+  (partition pruning), merges it, stages the result in the shared checkpoint
+  folder (cutting the lineage to the table it is about to replace) and
+  replaces the open partition and its own closed partition. Closed history
+  is never read or rewritten again, so the daily cost follows the number of
+  live keys, not the length of the history.
+* Facts are partitioned by load date and a day is replaced as a whole, so
+  loading the same day twice keeps one copy.
+* The watermark is a one-row table written to a new version directory and
+  published last.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimledger.operators.scd2 import scd2_merge
+from dimledger.functions.columns import SENTINEL, ts_lit
+from dimledger.operators.scd2 import TO, scd2_merge
 from dimledger.operators.watermark import delta_since, next_watermark, watermark_value
+from dimledger.session import checkpoint_dir
 from dimledger.sources.sinks import current_version, new_version_path, publish, write_partition
 
-__all__ = ["read_current", "load_dimension", "load_facts"]
+__all__ = ["read_current", "read_history", "load_dimension", "load_facts", "OPEN_PARTITION"]
+
+OPEN_PARTITION = "open"
 
 
 def read_current(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame | None:
@@ -32,22 +45,31 @@ def read_current(spark: SparkSession, root: str, schema: T.StructType | None = N
     return spark.read.parquet(path)
 
 
+def read_history(spark: SparkSession, root: str, schema: T.StructType,
+                 open_only: bool = False) -> DataFrame:
+    """A dimension history (all versions, or only the open partition)."""
+    try:
+        hist = spark.read.parquet(root)
+    except AnalysisException:  # first load: no table yet
+        return spark.createDataFrame([], schema)
+    if open_only:
+        hist = hist.where(F.col("closed_on") == OPEN_PARTITION)
+    return hist.drop("closed_on")
+
+
 def load_dimension(spark: SparkSession, root: str, snapshot: DataFrame, key: list[str],
                    tracked: list[str], attrs: list[str], run_ts: Column, run_date: _dt.date,
-                   history_schema: T.StructType, from_col: str | None = None) -> str:
-    """Merge a full source snapshot into the dimension history at ``root``.
-
-    Reads the published version, writes the merged history to a new version
-    directory (the old one is never overwritten while it is being read) and
-    publishes it. Returns the new version path.
-    """
-    hist = read_current(spark, root, history_schema)
-    merged = scd2_merge(hist, snapshot, key=key, tracked=tracked, attrs=attrs, run_ts=run_ts,
-                        from_col=from_col)
-    path = new_version_path(root, run_date)
-    merged.write.mode("overwrite").parquet(path)
-    publish(spark, root, path)
-    return path
+                   history_schema: T.StructType, from_col: str | None = None) -> None:
+    """Merge a full source snapshot into the dimension history at ``root``."""
+    open_rows = read_history(spark, root, history_schema, open_only=True)
+    merged = scd2_merge(open_rows, snapshot, key=key, tracked=tracked, attrs=attrs,
+                        run_ts=run_ts, from_col=from_col)
+    labelled = merged.withColumn(
+        "closed_on", F.when(F.col(TO) == ts_lit(SENTINEL), F.lit(OPEN_PARTITION))
+        .otherwise(F.lit(run_date.isoformat())))
+    stage = f"{checkpoint_dir(spark).rstrip('/')}/dimledger-stage/{uuid.uuid4().hex}"
+    labelled.write.parquet(stage)
+    write_partition(spark.read.parquet(stage), root, ["closed_on"])
 
 
 def load_facts(spark: SparkSession, fact_root: str, meta_root: str, staged: DataFrame,

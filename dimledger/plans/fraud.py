@@ -49,7 +49,7 @@ def _overlap(left: DataFrame, right: DataFrame, lk: str, rk: str) -> DataFrame:
 
 
 def card_owners(clients: DataFrame, accounts: DataFrame, cards: DataFrame,
-                versions: str = "current") -> DataFrame:
+                versions: str = "pit") -> DataFrame:
     """One row per card (per validity interval with ``versions='pit'``) with the
     account and client fields the rules need.
 
@@ -79,8 +79,12 @@ def card_owners(clients: DataFrame, accounts: DataFrame, cards: DataFrame,
     return chain.select(*OWNER_COLUMNS, FROM, TO).withColumn(DELETED, F.lit(0))
 
 
-def _with_owner(txn: DataFrame, owners: DataFrame, pit: bool) -> DataFrame:
+def _with_owner(txn: DataFrame, owners: DataFrame, pit: bool | None) -> DataFrame:
+    """Owner fields per operation: the owner valid at the operation time when
+    ``owners`` has validity intervals (``pit=None`` detects it), else by card."""
     t = txn.select("card_num", "trans_date")
+    if pit is None:
+        pit = FROM in owners.columns
     if pit:
         cols = [c for c in owners.columns if c not in ("card_num", FROM, TO, DELETED)]
         return pit_join(t, owners, ["card_num"], ["card_num"], "trans_date", cols)
@@ -117,7 +121,7 @@ def _expired_document(inclusive: bool) -> Column:
 
 
 def rule_blacklisted(txn: DataFrame, owners: DataFrame, blacklist: DataFrame,
-                     pit: bool = False) -> DataFrame:
+                     pit: bool | None = None) -> DataFrame:
     """Type 1a: operation after the client's passport entered the blacklist
     (strictly after; passports compared with spaces removed on both sides)."""
     j = _with_owner(txn, _attach_blacklist(owners, blacklist).where(F.col("blacklisted_at").isNotNull()), pit)
@@ -125,7 +129,7 @@ def rule_blacklisted(txn: DataFrame, owners: DataFrame, blacklist: DataFrame,
 
 
 def rule_expired_document(txn: DataFrame, owners: DataFrame, inclusive: bool = False,
-                          pit: bool = False) -> DataFrame:
+                          pit: bool | None = None) -> DataFrame:
     """Type 1b: operation after the passport expired. With ``inclusive`` the
     passport is valid through its last day; by default any time after 00:00
     of that day counts as expired, as in the reference (D-15)."""
@@ -133,7 +137,7 @@ def rule_expired_document(txn: DataFrame, owners: DataFrame, inclusive: bool = F
     return _events(j, [(_expired_document(inclusive), 1)])
 
 
-def rule_expired_contract(txn: DataFrame, owners: DataFrame, pit: bool = False) -> DataFrame:
+def rule_expired_contract(txn: DataFrame, owners: DataFrame, pit: bool | None = None) -> DataFrame:
     """Type 2: operation after the account's contract ended."""
     j = _with_owner(txn, owners.where(F.col("account_valid_to").isNotNull()), pit)
     return _events(j, [(F.col("trans_date") > F.col("account_valid_to"), 2)])
@@ -141,7 +145,7 @@ def rule_expired_contract(txn: DataFrame, owners: DataFrame, pit: bool = False)
 
 def velocity_rule(txn: DataFrame, terminals: DataFrame, owners: DataFrame,
                   within: str = "1 hour", bucket: str | None = "hour",
-                  hot_rows: int = HOT_ROWS, pit: bool = False) -> DataFrame:
+                  hot_rows: int = HOT_ROWS, pit: bool | None = None) -> DataFrame:
     """Type 3: an operation less than ``within`` after the previous operation of
     the same card, in a different city.
 
@@ -173,7 +177,7 @@ def velocity_rule(txn: DataFrame, terminals: DataFrame, owners: DataFrame,
 
 def fraud_report(txn: DataFrame, owners: DataFrame, blacklist: DataFrame, terminals: DataFrame,
                  report_dt: Column, inclusive_document: bool = False, within: str = "1 hour",
-                 pit: bool = False) -> DataFrame:
+                 pit: bool | None = None) -> DataFrame:
     """All four rules, one row per distinct event (D-10), stamped ``report_dt``.
 
     Rules 1a, 1b and 2 are flags on a single join of the facts with the

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from dimledger.functions.columns import ts_lit
-from dimledger.plans.bank import load_dimension, load_facts, read_current
+from dimledger.plans.bank import load_dimension, load_facts, read_current, read_history
 from dimledger.sources import schemas
 from dimledger.sources.readers import daily_file_name, read_daily_csv
 from dimledger.sources.sinks import current_version, publish, replace_window, write_partition
@@ -65,9 +65,13 @@ def test_daily_csv_and_dimension_load(spark, scratch):
                             .otherwise(F.col("terminal_city")))
     nxt = day + dt.timedelta(days=1)
     load_dimension(spark, root, moved, run_ts=ts_lit(nxt), run_date=nxt, **args)
-    hist = read_current(spark, root)
+    load_dimension(spark, root, moved, run_ts=ts_lit(nxt), run_date=nxt, **args)  # rerun
+    hist = read_history(spark, root, hist_schema)
     assert hist.count() == 3
     assert hist.where("terminal_id = 'T1' AND deleted_flg = 0").count() == 2
+    assert read_history(spark, root, hist_schema, open_only=True).count() == 2
+    parts = sorted(r[0] for r in spark.read.parquet(root).select("closed_on").distinct().collect())
+    assert parts == ["2024-03-06", "open"]
 
 
 def test_fact_load_is_rerun_safe(spark, scratch):
