@@ -25,6 +25,7 @@ from dimledger.operators.relational import (anti_join, any_level_join, exclude,
 from dimledger.operators.scd2 import pit_join, scd2_history, scd2_merge
 from dimledger.operators.watermark import delta_since, next_watermark, watermark_value
 from dimledger.plans import feed, fraud, promo
+from dimledger.sources.readers import sql_query
 from dimledger.sources.sinks import replace_window
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1075,3 +1076,25 @@ def q_expire_status(spark, d):
                                               F.nullif("o_orderstatus", F.lit("P")).alias("status"),
                                               F.col("o_orderdate").cast("date").alias("end_date"))
     return promo.expire_status(promos, F.lit(_dt.date(1998, 10, 1)), F.lit(_dt.date(1998, 11, 1)))
+
+
+# ---------------------------------------------------------- parameterised SQL
+
+PERIOD_SQL = """
+SELECT o_orderkey, o_custkey, o_orderpriority, o_totalprice, o_orderdate
+FROM {orders}
+WHERE o_orderdate >= :period_start AND o_orderdate < :period_end AND o_orderstatus = :status
+"""
+
+
+@query("period_orders_sql", """
+SELECT o_orderkey, o_custkey, o_orderpriority, o_totalprice, o_orderdate FROM orders
+WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00' AND o_orderdate < TIMESTAMP '1998-04-01 00:00:00'
+  AND o_orderstatus = 'F'
+""")
+def q_period_orders_sql(spark, d):
+    """A report period bound as typed parameters of Spark SQL."""
+    return sql_query(spark, PERIOD_SQL,
+                     {"period_start": _dt.datetime(1998, 1, 1), "period_end": _dt.datetime(1998, 4, 1),
+                      "status": "F"},
+                     orders=table(spark, d, "orders"))

@@ -29,9 +29,11 @@ from dimledger.functions.columns import full_name, strip_spaces
 from dimledger.operators.scan import HOT_ROWS, with_previous
 from dimledger.operators.scd2 import DELETED, FROM, TO, current_rows, pit_join
 from dimledger.operators.sizing import broadcast_if_small
+from dimledger.sources.schemas import REPORT, conform
+from dimledger.sources.sinks import write_partition
 
 __all__ = ["card_owners", "rule_blacklisted", "rule_expired_document", "rule_expired_contract",
-           "velocity_rule", "fraud_report", "REPORT_COLUMNS"]
+           "velocity_rule", "fraud_report", "write_report", "REPORT_COLUMNS"]
 
 REPORT_COLUMNS = ["event_dt", "passport", "fio", "phone", "event_type"]
 OWNER_COLUMNS = ["card_num", "account_num", "account_valid_to", "client_id", "passport_num",
@@ -194,3 +196,10 @@ def fraud_report(txn: DataFrame, owners: DataFrame, blacklist: DataFrame, termin
     fast = velocity_rule(txn, terminals, owners, within=within, pit=pit)
     return (static.unionByName(fast).distinct()
             .withColumn("report_dt", report_dt.cast("timestamp_ntz")))
+
+
+def write_report(report: DataFrame, path: str) -> None:
+    """Store a report run as the partition of its report date, replacing that
+    day on a rerun (D-10): the reference appended every run instead."""
+    out = conform(report, REPORT).withColumn("report_date", F.to_date("report_dt"))
+    write_partition(out, path, ["report_date"])

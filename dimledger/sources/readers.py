@@ -7,7 +7,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-__all__ = ["read_table", "daily_file_name", "read_daily_csv", "read_typed_csv", "read_docs"]
+__all__ = ["read_table", "daily_file_name", "read_daily_csv", "read_typed_csv", "read_docs",
+           "sql_query"]
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
@@ -45,3 +46,10 @@ def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType,
 def read_docs(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A document collection exported as JSON lines, projected to ``schema``."""
     return spark.read.schema(schema).json(path)
+
+
+def sql_query(spark: SparkSession, text: str, params: dict | None = None, **frames: DataFrame) -> DataFrame:
+    """Run Spark SQL with named parameter markers (``:day``) bound from
+    ``params`` and DataFrames referenced as ``{name}``. Values are bound as
+    typed literals, never pasted into the text."""
+    return spark.sql(text, args=params or {}, **frames)

@@ -105,3 +105,38 @@ def test_ingest_files_once(spark, scratch):
     drop(dt.date(2024, 3, 3), 4)
     ingest_files(spark, src, schemas.BLACKLIST_FILE, ck, batch, archive_dir=arch, max_files_per_trigger=1)
     assert spark.read.parquet(out).count() == 7
+
+
+def test_write_report_replaces_its_day(spark, scratch):
+    from dimledger.plans.fraud import write_report
+    path = os.path.join(scratch, "rep")
+    t = dt.datetime(2024, 3, 1, 12)
+    rep = spark.createDataFrame([(t, "p", "f", "ph", 1, dt.datetime(2024, 3, 2, 8))],
+                                "event_dt timestamp_ntz, passport string, fio string, phone string, "
+                                "event_type int, report_dt timestamp_ntz")
+    write_report(rep, path)
+    write_report(rep, path)
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_read_typed_csv_by_position(spark, scratch):
+    from pyspark.sql import types as T
+    from dimledger.sources.readers import read_typed_csv
+    p = os.path.join(scratch, "res.csv")
+    with open(p, "w") as f:
+        f.write("items_id,stock,price,store,city\nA,1.5,10,S1,C1\n")
+    schema = T.StructType([T.StructField("items_id", T.StringType()), T.StructField("quant", T.DoubleType()),
+                           T.StructField("price", T.DoubleType()), T.StructField("shop_name", T.StringType()),
+                           T.StructField("city", T.StringType())])
+    assert rows(read_typed_csv(spark, p, schema)) == [("A", 1.5, 10.0, "S1", "C1")]
+
+
+def test_read_docs(spark, scratch):
+    from pyspark.sql import types as T
+    from dimledger.sources.readers import read_docs
+    p = os.path.join(scratch, "docs.json")
+    with open(p, "w") as f:
+        f.write('{"_id": "s1", "title": "A", "created": "2023-01-01T00:00:00", "extra": 1}\n')
+    schema = T.StructType([T.StructField("_id", T.StringType()), T.StructField("title", T.StringType()),
+                           T.StructField("created", T.TimestampNTZType())])
+    assert rows(read_docs(spark, p, schema)) == [("s1", "A", dt.datetime(2023, 1, 1))]
