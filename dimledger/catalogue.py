@@ -41,8 +41,19 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+_RELATIONS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One lazy relation per table and session, as a catalog table would be:
+    the file listing and footer schema are read once, and queries that use a
+    table twice refer to the same relation."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _RELATIONS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _RELATIONS[key] = spark.read.parquet(path)
+    return df
 
 
 # ---------------------------------------------------------------- analogues

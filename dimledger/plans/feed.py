@@ -73,14 +73,18 @@ FEED_SCHEMA = T.StructType([
 
 
 def category_paths(groups: DataFrame, root_name: str = ROOT_GROUP, depth: int = 3) -> DataFrame:
-    """Distinct (cat_1, cat_2, cat_3) below the named root, as base64 ids."""
+    """Distinct (cat_1, cat_2, cat_3) below the named root, as base64 ids.
+
+    The tree is broadcast to every level's join, and the paths themselves
+    carry a broadcast hint when their count is proven small: frames derived
+    from them by projection, filter or explode (the id set, the deepest
+    level) keep that hint without a second check.
+    """
     root = (F.base64("_parentidrref") == F.lit(ZERO_ID_B64)) & (F.col("_description") == root_name)
-    # The category tree is read once per level; broadcasting it (after the
-    # row-count check) lets every level reuse the same broadcast.
     nodes = broadcast_if_small(groups.select("_idrref", "_parentidrref", "_description"))
     paths = expand_hierarchy(nodes, "_idrref", "_parentidrref", root, depth=depth)
     # paths are distinct already and base64 is one-to-one
-    return paths.select(*[F.base64(c).alias(c) for c in LEVELS[:depth]])
+    return broadcast_if_small(paths.select(*[F.base64(c).alias(c) for c in LEVELS[:depth]]))
 
 
 def sku_categories(items: DataFrame, skus: DataFrame, paths: DataFrame) -> DataFrame:
@@ -149,12 +153,14 @@ def daily_sales(general: DataFrame, items: DataFrame, stores: DataFrame, paths:
                       & (F.col("opertype") == F.lit(SALE_OPERATION_B64)))
     if ds is not None:
         g = g.where(_on_day("date", ds))
-    it = (items.select(F.base64("_idrref").alias("_item"), "_description",
-                       int_code("_fld26454").alias("item_code"),
-                       F.base64("_fld2428rref").alias("cat_id")).distinct())
-    st = stores.select("store_id", "store", "city", "country")
-    j = (g.join(broadcast_if_small(it), F.col("item") == F.col("_item"), "left")
-         .join(broadcast_if_small(st), F.col("shops") == F.col("store_id"), "left")
+    # size checks on the projected dimensions (an early-stopping count);
+    # the distinct keeps the broadcast hint
+    it = broadcast_if_small(items.select(F.base64("_idrref").alias("_item"), "_description",
+                                         int_code("_fld26454").alias("item_code"),
+                                         F.base64("_fld2428rref").alias("cat_id"))).distinct()
+    st = broadcast_if_small(stores.select("store_id", "store", "city", "country"))
+    j = (g.join(it, F.col("item") == F.col("_item"), "left")
+         .join(st, F.col("shops") == F.col("store_id"), "left")
          .where(F.col("country") == country))
     sales = (j.groupBy(F.col("date").cast("date").alias("date"), "store", "item_code", "_description",
                        "country", "city", "cat_id", "whs", "whs_i")
@@ -166,7 +172,8 @@ def daily_sales(general: DataFrame, items: DataFrame, stores: DataFrame, paths:
                          "cat_id")
     deepest = paths.withColumn("_deep", F.coalesce(*[F.col(c) for c in reversed(LEVELS)]))
     deepest = deepest.where(~F.col("_deep").isin(*excluded_categories))
-    out = deepest_level_join(sales, "cat_id", broadcast_if_small(deepest.select(*LEVELS)), LEVELS)
+    # derived from the size-checked paths by projection and filter
+    out = deepest_level_join(sales, "cat_id", deepest.select(*LEVELS), LEVELS)
     out = out.where(~F.col("webcode").isin(*excluded_webcodes))
     return out.select("date", "webcode", "item_name", "store", "quantity", "item_total", "city")
 

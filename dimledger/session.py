@@ -17,6 +17,10 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.ui.enabled": "false",
+    # PySpark 4 records the Python call site of every Column function for
+    # error messages, several JVM round trips each; plans here are built from
+    # hundreds of expressions, so that costs seconds of driver time per query.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
