@@ -110,7 +110,9 @@ def scd2_merge(hist: DataFrame, snapshot: DataFrame, key: list[str], tracked: li
     new = F.when(chg.isin("I", "U"), version("s", new_from, _sentinel(), 0)) \
         .when(chg == "D", version("h", run_ts, _sentinel(), 1))
 
-    merged = (j.select(F.inline(F.filter(F.array(old, new), lambda v: v.isNotNull()))))
+    # inline turns a NULL element into a row of NULLs; every real version has
+    # an effective_from, so that drops them (no lambda: stays in codegen)
+    merged = j.select(F.inline(F.array(old, new))).where(F.col(FROM).isNotNull())
     passthrough = closed.select(*cols, FROM, TO, DELETED).withColumn("_chg", F.lit(None).cast("string"))
     out = passthrough.unionByName(merged)
     return out if with_change else out.drop("_chg")

@@ -108,10 +108,16 @@ def _attach_blacklist(owners: DataFrame, blacklist: DataFrame) -> DataFrame:
 
 
 def _events(j: DataFrame, flags: list[tuple[Column, int]]) -> DataFrame:
+    """One row per (operation, rule that fires). A single flag is a filter;
+    several are exploded from an array (plain explode + filter stays in
+    generated code, a lambda ``filter`` would not)."""
+    cols = [F.col("trans_date").alias("event_dt"), F.col("passport_num").alias("passport"), "fio", "phone"]
+    if len(flags) == 1:
+        cond, t = flags[0]
+        return j.where(cond).select(*cols, F.lit(t).alias("event_type"))
     types = F.array(*[F.when(cond, F.lit(t)) for cond, t in flags])
-    return j.select(F.col("trans_date").alias("event_dt"),
-                    F.col("passport_num").alias("passport"), "fio", "phone",
-                    F.explode(F.filter(types, lambda x: x.isNotNull())).alias("event_type"))
+    return (j.select(*cols, F.explode(types).alias("event_type"))
+            .where(F.col("event_type").isNotNull()))
 
 
 def _expired_document(inclusive: bool) -> Column:
