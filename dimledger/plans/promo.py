@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from dimledger.functions.columns import day_bounds, in_window, lenient_timestamp
 from dimledger.operators.relational import latest_per_key
+from dimledger.operators.sizing import broadcast_if_small
 from dimledger.sources.schemas import PROMO_STATS, SPEC_STATS, conform
 from dimledger.sources.sinks import expire
 
@@ -50,16 +51,24 @@ def promo_state(coupons: DataFrame, ops: DataFrame, day) -> DataFrame:
     ``aborted`` operations on active coupons only the last per coupon and
     user counts (ties broken by operation id, D-27), and only when it is
     ``used``. The day is the half-open ``[day, day + 1)`` (D-24).
+
+    The coupon table is large and scanned whole; one day of operations is
+    small. Both joins therefore stream the coupons against a broadcast of the
+    day's operations (size-checked), so the coupon table is never shuffled.
+    The operation → coupon lookup is an inner join: an operation on an
+    unknown coupon can only be a cancellation, which the final join from the
+    coupon side drops anyway.
     """
     lo, hi = day_bounds(day)
-    o = ops.where(in_window("updated", lo, hi)).select("op_id", "coupon_id", "status", "updated", "user_id")
-    o = o.join(coupons.select("coupon_id", "active"), "coupon_id", "left")
+    day_ops = broadcast_if_small(
+        ops.where(in_window("updated", lo, hi)).select("op_id", "coupon_id", "status", "updated", "user_id"))
+    o = coupons.select("coupon_id", "active").join(day_ops, "coupon_id")
     attempts = o.where(F.col("status").isin(USED, ABORTED) & (F.col("active") == F.lit(True)))
     last = latest_per_key(attempts, ["coupon_id", "user_id"], ["updated", "op_id"])
     kept = (o.where(F.col("status") == CANCELED)
             .unionByName(last.where(F.col("status") == USED))
             .select("coupon_id", "status", "updated"))
-    p = coupons.join(kept, "coupon_id", "left")
+    p = coupons.join(broadcast_if_small(kept), "coupon_id", "left")
     start, end, upd = lenient_timestamp("start"), lenient_timestamp("end"), lenient_timestamp("updated")
     p = p.where(in_window(start, lo, hi) | in_window(upd, lo, hi))
     return conform(p.select(F.col("coupon_id").alias("promocode_id"), "code", "specification_id",
