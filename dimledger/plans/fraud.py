@@ -90,7 +90,10 @@ def _with_owner(txn: DataFrame, owners: DataFrame, pit: bool | None) -> DataFram
     if pit:
         cols = [c for c in owners.columns if c not in ("card_num", FROM, TO, DELETED)]
         return pit_join(t, owners, ["card_num"], ["card_num"], "trans_date", cols)
-    return t.join(owners, "card_num")
+    # The owner chain is a join of dimensions, which the planner cannot size;
+    # when it is proven small the facts stream past it without a shuffle,
+    # otherwise both sides are shuffled on the card.
+    return t.join(broadcast_if_small(owners), "card_num")
 
 
 def _blacklist_first_entry(blacklist: DataFrame) -> DataFrame:

@@ -88,3 +88,28 @@ def test_entry_smoke(spark):
     df = entry(spark)
     assert df.columns == ["event_dt", "passport", "fio", "phone", "event_type", "report_dt"]
     assert df.count() >= 0
+
+
+def _exchanges(df) -> list[str]:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="simple")
+    return [line.strip() for line in buf.getvalue().splitlines() if "Exchange hashpartitioning" in line]
+
+
+def test_velocity_shuffles_facts_once_by_card(spark):
+    # the window's exchange on the card serves the owner join too; terminal
+    # and (small) owner lookups are broadcast
+    ex = _exchanges(queries()["velocity_rule"](spark, SF_SMALL))
+    assert len(ex) == 1 and "hashpartitioning(card_num" in ex[0], ex
+
+
+def test_promo_state_never_shuffles_coupons(spark):
+    plan = queries()["promo_state"](spark, SF_SMALL)
+    ex = _exchanges(plan)
+    assert len(ex) == 1 and "user_id" in ex[0], ex          # only the per-user latest attempt
+
+
+def test_daily_stock_shuffles_only_for_the_aggregate(spark):
+    ex = _exchanges(queries()["daily_stock"](spark, SF_SMALL))
+    assert len(ex) == 1 and "items_id" in ex[0], ex
