@@ -75,13 +75,14 @@ FEED_SCHEMA = T.StructType([
 def category_paths(groups: DataFrame, root_name: str = ROOT_GROUP, depth: int = 3) -> DataFrame:
     """Distinct (cat_1, cat_2, cat_3) below the named root, as base64 ids.
 
-    The tree is broadcast to every level's join, and the paths themselves
-    carry a broadcast hint when their count is proven small: frames derived
-    from them by projection, filter or explode (the id set, the deepest
-    level) keep that hint without a second check.
+    The tree table is a plain scan, which the planner sizes correctly from
+    its files, so it needs no check of its own. The paths are a chain of
+    joins, which it cannot size: they carry a broadcast hint when their count
+    is proven small, and frames derived from them by projection, filter or
+    explode (the id set, the deepest level) keep that hint.
     """
     root = (F.base64("_parentidrref") == F.lit(ZERO_ID_B64)) & (F.col("_description") == root_name)
-    nodes = broadcast_if_small(groups.select("_idrref", "_parentidrref", "_description"))
+    nodes = groups.select("_idrref", "_parentidrref", "_description")
     paths = expand_hierarchy(nodes, "_idrref", "_parentidrref", root, depth=depth)
     # paths are distinct already and base64 is one-to-one
     return broadcast_if_small(paths.select(*[F.base64(c).alias(c) for c in LEVELS[:depth]]))
@@ -153,11 +154,11 @@ def daily_sales(general: DataFrame, items: DataFrame, stores: DataFrame, paths:
                       & (F.col("opertype") == F.lit(SALE_OPERATION_B64)))
     if ds is not None:
         g = g.where(_on_day("date", ds))
-    # size checks on the projected dimensions (an early-stopping count);
-    # the distinct keeps the broadcast hint
-    it = broadcast_if_small(items.select(F.base64("_idrref").alias("_item"), "_description",
-                                         int_code("_fld26454").alias("item_code"),
-                                         F.base64("_fld2428rref").alias("cat_id"))).distinct()
+    # items is a table the planner sizes from its files; the store
+    # dimension may itself be a join, so it is size-checked
+    it = items.select(F.base64("_idrref").alias("_item"), "_description",
+                      int_code("_fld26454").alias("item_code"),
+                      F.base64("_fld2428rref").alias("cat_id")).distinct()
     st = broadcast_if_small(stores.select("store_id", "store", "city", "country"))
     j = (g.join(it, F.col("item") == F.col("_item"), "left")
          .join(st, F.col("shops") == F.col("store_id"), "left")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-__all__ = ["ingest_files"]
+__all__ = ["ingest_files", "batch_partition_writer"]
 
 
 def ingest_files(spark: SparkSession, source_dir: str, schema: T.StructType, checkpoint: str,
@@ -44,3 +44,13 @@ def ingest_files(spark: SparkSession, source_dir: str, schema: T.StructType, che
              .trigger(availableNow=True).start())
     query.awaitTermination()
     return query
+
+
+def batch_partition_writer(path: str, fmt: str = "parquet"):
+    """An ``on_batch`` that writes each micro-batch as the partition
+    ``batch_id=<id>`` of ``path`` with dynamic overwrite: a batch replayed
+    after a failure replaces its own partition instead of adding a copy."""
+    def write(df: DataFrame, batch_id: int) -> None:
+        (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").format(fmt).save(path))
+    return write
