@@ -1109,3 +1109,63 @@ def q_period_orders_sql(spark, d):
                      {"period_start": _dt.datetime(1998, 1, 1), "period_end": _dt.datetime(1998, 4, 1),
                       "status": "F"},
                      orders=table(spark, d, "orders"))
+
+
+# ------------------------------------------------------- point-in-time fraud
+
+PIT_BLACKLIST_SQL = f"""
+WITH {HISTORY_CTE},
+own AS (
+  SELECT o.o_orderkey AS card_num, c.c_name || '/' || h.priority AS passport,
+         replace(c.c_name || '/' || h.priority, ' ', '') AS norm_passport,
+         c.c_name || ' ' || c.c_mktsegment || ' ' || CAST(c.c_nationkey AS VARCHAR) AS fio,
+         '+7' || lpad(CAST(c.c_custkey AS VARCHAR), 10, '0') AS phone,
+         h.effective_from, h.effective_to
+  FROM orders o JOIN hist h ON h.client_id = o.o_custkey JOIN customer c ON c.c_custkey = o.o_custkey),
+bl AS (
+  SELECT replace(c.c_name || '/' || o.o_orderpriority, ' ', '') AS passport, min(o.o_orderdate) AS entry_dt
+  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
+  WHERE o.o_orderpriority = '1-URGENT' AND o.o_orderstatus = 'F'
+  GROUP BY 1)
+SELECT l.l_shipdate AS event_dt, own.passport, own.fio, own.phone, 1 AS event_type
+FROM lineitem l
+JOIN own ON own.card_num = l.l_orderkey AND l.l_shipdate BETWEEN own.effective_from AND own.effective_to
+JOIN bl ON bl.passport = own.norm_passport
+WHERE bl.entry_dt < l.l_shipdate
+"""
+
+
+@query("rule_blacklisted_pit", PIT_BLACKLIST_SQL)
+def q_rule_blacklisted_pit(spark, d):
+    """Blacklist rule against the owner valid at the operation time (D-11).
+
+    The client's passport is versioned: it changes whenever the client's order
+    priority changes (versions from ``scd2_history``). Cards and accounts are
+    orders, valid throughout. A passport is blacklisted at each urgent,
+    finished order placed under it.
+    """
+    orders, customer = table(spark, d, "orders"), table(spark, d, "customer")
+    hist = priority_history(orders)
+    clients = (hist.join(customer, F.col("client_id") == F.col("c_custkey"))
+               .select("client_id", F.col("c_name").alias("last_name"),
+                       F.col("c_mktsegment").alias("first_name"),
+                       F.col("c_nationkey").cast("string").alias("patronymic"),
+                       F.concat(F.col("c_name"), F.lit("/"), F.col("priority")).alias("passport_num"),
+                       F.lit(None).cast("date").alias("passport_valid_to"),
+                       F.concat(F.lit("+7"), F.lpad(F.col("c_custkey").cast("string"), 10, "0")).alias("phone"),
+                       "effective_from", "effective_to", "deleted_flg"))
+
+    def always(df):
+        return df.select("*", ts_lit("1990-01-01").alias("effective_from"),
+                         ts_lit("5999-12-31").alias("effective_to"), F.lit(0).alias("deleted_flg"))
+
+    accounts = always(orders.select(F.col("o_orderkey").alias("account_num"),
+                                    F.lit(None).cast("timestamp_ntz").alias("valid_to"),
+                                    F.col("o_custkey").alias("client")))
+    cards = always(orders.select(F.col("o_orderkey").alias("card_num"), F.col("o_orderkey").alias("account_num")))
+    owners = fraud.card_owners(clients, accounts, cards, versions="pit")
+    o = orders.where((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "F"))
+    blacklist = (o.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+                 .select(F.concat(F.col("c_name"), F.lit("/"), F.col("o_orderpriority")).alias("passport_num"),
+                         F.col("o_orderdate").alias("entry_dt")))
+    return fraud.rule_blacklisted(lineitem_txns(table(spark, d, "lineitem")), owners, blacklist)
