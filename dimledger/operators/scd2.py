@@ -186,10 +186,14 @@ def pit_join(facts: DataFrame, hist: DataFrame, fact_key: list[str], hist_key: l
     f_side = f_side.withColumn("_ver", F.lit(None).cast(v_side.schema["_ver"].dataType))
     v_side = v_side.withColumn("_fact", F.lit(None).cast(f_side.schema["_fact"].dataType))
     stream = f_side.unionByName(v_side)
+    # Keys are hot because of their facts (a history holds few versions per
+    # key), so only the fact keys are counted; the versions are not computed
+    # twice for the check.
+    hot = hot_keys(f_side.select(*keys), keys, hot_rows) if bucket is not None else None
     # Versions sort before facts at the same instant (effective_from is
     # inclusive); among versions starting together the longer one is last.
     stream = carry_last(stream, keys, ["_t", "_tag", "_vt_order"], "_ver", "_match",
-                        include_current=True, bucket=bucket, hot_rows=hot_rows)
+                        include_current=True, bucket=bucket, hot=hot)
     hit = F.col("_match").isNotNull() & (F.col("_t") <= F.col("_match._vt"))
     matched = stream.where(F.col("_tag") == 1)
     if how == "inner":
