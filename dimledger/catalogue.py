@@ -965,9 +965,10 @@ FROM t LEFT JOIN r ON r.webcode = t.webcode
 """)
 def q_abc_enrich(spark, d):
     """Stock per item ⟕ the ranking snapshot of the day; unranked items get class 'x'."""
-    li = table(spark, d, "lineitem").select(F.col("l_partkey").cast("string").alias("webcode"),
-                                            F.col("l_quantity").alias("stock_value"))
-    totals = sum_by(li, ["webcode"], ["stock_value"], scale=2)
+    # group on the numeric key and turn the (few) results into text codes
+    li = table(spark, d, "lineitem").select("l_partkey", F.col("l_quantity").alias("stock_value"))
+    totals = (sum_by(li, ["l_partkey"], ["stock_value"], scale=2)
+              .select(F.col("l_partkey").cast("string").alias("webcode"), "stock_value"))
     ranks = feed.abc_snapshot(feed_abc(table(spark, d, "part")), feed.abc_cutoff(FEED_DAY))
     return (totals.join(ranks.select("webcode", "class", "abc_rank"), "webcode", "left")
             .select("webcode", "stock_value", F.coalesce("class", F.lit("x")).alias("class"), "abc_rank"))
