@@ -31,12 +31,16 @@ SENTINEL_TS = _dt.datetime(5999, 12, 31)
 
 
 def ts_lit(value) -> Column:
-    """A ``timestamp_ntz`` literal (test data and DuckDB timestamps are zone-less)."""
+    """A ``timestamp_ntz`` literal (test data and DuckDB timestamps are zone-less).
+
+    Built from text, so the wall-clock value does not depend on the session or
+    process time zone.
+    """
     if isinstance(value, str):
         value = _dt.datetime.fromisoformat(value)
     elif isinstance(value, _dt.date) and not isinstance(value, _dt.datetime):
         value = _dt.datetime(value.year, value.month, value.day)
-    return F.lit(value).cast("timestamp_ntz")
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def strip_spaces(c) -> Column:
