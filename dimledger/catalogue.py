@@ -886,7 +886,7 @@ def q_daily_sales(spark, d):
 ABC_SQL = f"""
 WITH {SQL_FEED_CTE},
 abc AS (
-  SELECT CAST(p_partkey AS DOUBLE) AS SKU_ID, p_size * 10.0 AS TOTAL_SALES_QUANTITY,
+  SELECT CAST(p_partkey AS DOUBLE) AS SKU_ID, CAST(p_size * 10 AS DOUBLE) AS TOTAL_SALES_QUANTITY,
          p_retailprice AS TOTAL_SALES_VALUE,
          CASE WHEN p_size < 15 THEN 'X' WHEN p_size < 30 THEN 'Y' ELSE 'Z' END AS XYZ_RANK,
          substr(p_type, 1, 1) AS ABC_RANK, p_brand AS CATEGORY_SHORT, p_type AS class,
@@ -894,7 +894,7 @@ abc AS (
          p_retailprice / 10.0 AS class_category_sizes, CAST(893980800 AS BIGINT) AS "timestamp"
   FROM part WHERE p_size <= 40
   UNION ALL
-  SELECT CAST(p_partkey AS DOUBLE), p_size * 10.0 + 1.0, p_retailprice + 1.0,
+  SELECT CAST(p_partkey AS DOUBLE), CAST(p_size * 10 AS DOUBLE) + 1.0, p_retailprice + 1.0,
          CASE WHEN p_size < 15 THEN 'X' WHEN p_size < 30 THEN 'Y' ELSE 'Z' END,
          substr(p_type, 1, 1), p_brand, p_type, CAST(p_size AS DOUBLE), p_size / 2.0,
          p_retailprice / 10.0, CAST(1893456000 AS BIGINT)

@@ -47,10 +47,17 @@ def test_every_query_has_oracle_sql():
     assert not missing, missing
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = queries()[name](spark, SF_SMALL)
     got = sorted([tuple(_norm(v) for v in r) for r in df.collect()], key=_key)
+    rel = duck.sql(oracle_sql()[name])
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == duck_types
     cur = duck.execute(oracle_sql()[name])
     cols = [c[0] for c in cur.description]
     assert sorted(cols) == sorted(df.columns)
