@@ -763,13 +763,15 @@ nodes AS (
   SELECT encode('R' || CAST(r_regionkey AS VARCHAR)) AS id, unhex('{ZERO_HEX}') AS parent, r_name AS descr FROM region
   UNION ALL SELECT encode('N' || CAST(n_nationkey AS VARCHAR)), encode('R' || CAST(n_regionkey AS VARCHAR)), n_name FROM nation
   UNION ALL SELECT encode('S' || CAST(s_suppkey AS VARCHAR)), encode('N' || CAST(s_nationkey AS VARCHAR)), s_name FROM supplier),
+root AS (
+  SELECT id FROM nodes WHERE to_base64(parent) = 'AAAAAAAAAAAAAAAAAAAAAA==' AND descr = 'ASIA'),
 paths AS (
-  SELECT DISTINCT to_base64(c1.id) AS cat_1, to_base64(c2.id) AS cat_2, to_base64(c3.id) AS cat_3
-  FROM nodes c
-  LEFT JOIN nodes c1 ON c1.parent = c.id
-  LEFT JOIN nodes c2 ON c2.parent = coalesce(c1.id, c.id)
-  LEFT JOIN nodes c3 ON c3.parent = coalesce(c2.id, c1.id, c.id)
-  WHERE to_base64(c.parent) = 'AAAAAAAAAAAAAAAAAAAAAA==' AND c.descr = 'ASIA'),
+  -- a plain parent -> child chain: a level is NULL once a branch ends
+  SELECT DISTINCT to_base64(a.id) AS cat_1, to_base64(b.id) AS cat_2, to_base64(c.id) AS cat_3
+  FROM root
+  LEFT JOIN nodes a ON a.parent = root.id
+  LEFT JOIN nodes b ON b.parent = a.id
+  LEFT JOIN nodes c ON c.parent = b.id),
 catkey AS (
   SELECT p.*, encode(CASE WHEN p_size <= 25 THEN 'N' || CAST(p_size - 1 AS VARCHAR)
                           ELSE 'S' || CAST(p_size * 2 AS VARCHAR) END) AS ck FROM part p),
@@ -806,43 +808,48 @@ general AS (
          to_base64(encode('W' || CAST(l_suppkey AS VARCHAR))) AS whs,
          CAST(l_linenumber AS VARCHAR) AS whs_i
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey),
+codes AS (SELECT DISTINCT zitemsn_n_wc, directortxt, categtxt, categ_id FROM skus),
 sku AS (
-  SELECT DISTINCT CASE WHEN length(cat.directortxt) > 0 THEN cat.directortxt ELSE 'Не присвоено' END
-           AS category_short,
-         prod._description AS item_name, to_base64(prod._idrref) AS items_id,
-         CAST(CAST(prod._fld26454 AS BIGINT) AS VARCHAR) AS webcode, cat.categtxt AS category_name
-  FROM items prod
-  LEFT JOIN (SELECT DISTINCT zitemsn_n_wc AS webcode, directortxt, categtxt, categ_id FROM skus) cat
-    ON CAST(CAST(prod._fld26454 AS DECIMAL(38,0)) AS VARCHAR) = CAST(CAST(cat.webcode AS DECIMAL(38,0)) AS VARCHAR)
-  INNER JOIN paths ON (cat.categ_id = paths.cat_1 OR cat.categ_id = paths.cat_2 OR cat.categ_id = paths.cat_3)),
+  SELECT DISTINCT coalesce(nullif(k.directortxt, ''), 'Не присвоено') AS category_short,
+         i._description AS item_name, to_base64(i._idrref) AS items_id,
+         CAST(CAST(i._fld26454 AS BIGINT) AS VARCHAR) AS webcode, k.categtxt AS category_name
+  FROM items i
+  JOIN codes k ON CAST(TRY_CAST(i._fld26454 AS DECIMAL(38,0)) AS VARCHAR)
+                = CAST(TRY_CAST(k.zitemsn_n_wc AS DECIMAL(38,0)) AS VARCHAR)
+  WHERE EXISTS (SELECT 1 FROM paths p WHERE k.categ_id IN (p.cat_1, p.cat_2, p.cat_3))),
 eligible AS (
   SELECT st.store_id, replace(st.store, 'Магазин ', '') AS store, st.city, to_base64(w._idrref) AS whs_id
-  FROM wh w LEFT JOIN stores st ON st.store_id = to_base64(w._fld30704rref)
-  WHERE st.country = 'KZ' AND st.city <> '{FEED_EXCLUDED_CITY}' AND to_base64(w._fld25076) = 'AQ=='),
+  FROM stores st
+  JOIN wh w ON to_base64(w._fld30704rref) = st.store_id AND to_base64(w._fld25076) = 'AQ=='
+  WHERE st.country = 'KZ' AND st.city <> '{FEED_EXCLUDED_CITY}'),
 stk AS (
   SELECT s.date, s.items_id, CAST(sum(CAST(s.quant AS DECIMAL(18,2))) AS DOUBLE) AS stock,
          CAST(sum(CAST(s.price AS DECIMAL(18,2))) AS DOUBLE) AS price, e.store, e.city
   FROM stock s JOIN eligible e ON s.warehouse_id = e.whs_id
   WHERE s.country = 'KZ' AND (s.quality = 'N' OR s.quality = '')
   GROUP BY s.date, s.items_id, e.store, e.city),
+item_dim AS (
+  SELECT DISTINCT to_base64(_idrref) AS item_b64, _description,
+         CAST(CAST(_fld26454 AS BIGINT) AS VARCHAR) AS item_code, to_base64(_fld2428rref) AS cat_id
+  FROM items),
+sold AS (
+  SELECT * FROM general
+  WHERE post = 'AQ==' AND "delete" <> 'AQ==' AND b2bflag <> 'AQ==' AND item IS NOT NULL
+    AND opertype = 'kE3odS6MJUhDNPleoFllIg=='),
 sales0 AS (
-  SELECT g.date, i.item_code AS webcode, i._description AS item_name,
+  SELECT s.date, d.item_code AS webcode, d._description AS item_name,
          replace(st.store, 'Магазин ', '') AS store,
-         CAST(sum(CAST(g.kf_quan AS INT)) AS BIGINT) AS quantity,
-         CAST(sum(CAST(g.kf_curr AS INT)) AS BIGINT) AS item_total, st.city, i.cat_id
-  FROM general g
-  LEFT JOIN (SELECT DISTINCT to_base64(_idrref) AS item, _description,
-                    CAST(CAST(_fld26454 AS BIGINT) AS VARCHAR) AS item_code,
-                    to_base64(_fld2428rref) AS cat_id FROM items) i ON g.item = i.item
-  LEFT JOIN (SELECT store_id, store_code, store, city, country FROM stores) st ON g.shops = st.store_id
-  WHERE g.post = 'AQ==' AND st.country = 'KZ' AND g."delete" <> 'AQ=='
-    AND g.b2bflag <> 'AQ==' AND g.item IS NOT NULL
-    AND g.opertype = 'kE3odS6MJUhDNPleoFllIg=='
-  GROUP BY g.date, st.store, i.item_code, i._description, st.country, st.city, i.cat_id, g.whs, g.whs_i),
+         CAST(sum(CAST(s.kf_quan AS INT)) AS BIGINT) AS quantity,
+         CAST(sum(CAST(s.kf_curr AS INT)) AS BIGINT) AS item_total, st.city, d.cat_id
+  FROM sold s
+  JOIN stores st ON st.store_id = s.shops AND st.country = 'KZ'
+  LEFT JOIN item_dim d ON d.item_b64 = s.item
+  GROUP BY s.date, st.store, st.city, d.item_code, d._description, d.cat_id, s.whs, s.whs_i),
+leaves AS (SELECT coalesce(cat_3, cat_2, cat_1) AS leaf FROM paths),
 sales AS (
   SELECT s.date, s.webcode, s.item_name, s.store, s.quantity, s.item_total, s.city
-  FROM sales0 s INNER JOIN paths c ON s.cat_id = coalesce(c.cat_3, c.cat_2, c.cat_1)
-  WHERE coalesce(c.cat_3, c.cat_2, c.cat_1) NOT IN ('AccComp Программное обеспечение', 'AccComp Медиа Сервисы')
+  FROM sales0 s JOIN leaves ON leaves.leaf = s.cat_id
+  WHERE leaves.leaf NOT IN ('AccComp Программное обеспечение', 'AccComp Медиа Сервисы')
     AND s.webcode NOT IN ('216158', '62763', '108285'))"""
 
 
@@ -854,8 +861,7 @@ def q_expand_hierarchy(spark, d):
 @query("any_level_join", f"""
 WITH {SQL_FEED_CTE}
 SELECT DISTINCT i.p_partkey, i.p_name
-FROM catkey i JOIN paths ON to_base64(i.ck) = paths.cat_1 OR to_base64(i.ck) = paths.cat_2
-                         OR to_base64(i.ck) = paths.cat_3
+FROM catkey i JOIN paths ON to_base64(i.ck) IN (paths.cat_1, paths.cat_2, paths.cat_3)
 """)
 def q_any_level_join(spark, d):
     paths = feed.category_paths(category_groups(spark, d), root_name="ASIA")
