@@ -25,13 +25,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimledger.functions.columns import SENTINEL, ts_lit
-from dimledger.operators.scd2 import TO, scd2_merge
+from dimledger.functions.columns import SENTINEL, strip_spaces, ts_lit
+from dimledger.operators.scd2 import TO, current_rows, scd2_merge
 from dimledger.operators.watermark import delta_since, next_watermark, watermark_value
 from dimledger.session import checkpoint_dir
+from dimledger.sources import schemas
+from dimledger.sources.readers import read_daily_csv
 from dimledger.sources.sinks import current_version, new_version_path, publish, write_partition
 
-__all__ = ["read_current", "read_history", "load_dimension", "load_facts", "OPEN_PARTITION"]
+__all__ = ["read_current", "read_history", "read_facts", "load_dimension", "load_facts", "daily_fraud_run",
+           "OPEN_PARTITION"]
 
 OPEN_PARTITION = "open"
 
@@ -77,11 +80,83 @@ def load_facts(spark: SparkSession, fact_root: str, meta_root: str, staged: Data
     """Append the staged rows newer than the watermark as the ``load_date``
     partition (replacing it on a rerun), then advance the watermark."""
     meta = read_current(spark, meta_root)
-    delta = delta_since(staged, watermark_value(meta), ts_cols)
-    delta = delta.withColumn("load_date", F.lit(load_date))
+    delta = delta_since(staged, watermark_value(meta), ts_cols).withColumn("load_date", F.lit(load_date))
     write_partition(delta, fact_root, ["load_date"])
-    loaded = spark.read.parquet(fact_root).where(F.col("load_date") == F.lit(load_date))
-    wm = next_watermark(loaded, ts_cols, meta)
+    wm = next_watermark(delta, ts_cols, meta)
     path = new_version_path(meta_root, load_date)
     wm.coalesce(1).write.mode("overwrite").parquet(path)
     publish(spark, meta_root, path)
+
+
+def read_facts(spark: SparkSession, root: str, like: DataFrame) -> DataFrame:
+    """A fact table, or an empty frame shaped like ``like`` (plus
+    ``load_date``) before anything was loaded into it."""
+    try:
+        return spark.read.parquet(root)
+    except AnalysisException:
+        return spark.createDataFrame([], like.withColumn("load_date", F.lit(None).cast("date")).schema)
+
+
+def _upd() -> Column:
+    # a version starts at the source's update time, or its creation time (D-06)
+    return F.coalesce(F.col("update_dt"), F.col("create_dt")).alias("upd")
+
+
+def daily_fraud_run(spark: SparkSession, clients: DataFrame, accounts: DataFrame, cards: DataFrame,
+                    drop_dir: str, warehouse: str, run_date: _dt.date) -> None:
+    """One day of the bank warehouse, end to end, rerun-safe.
+
+    ``clients`` / ``accounts`` / ``cards`` are full extracts of the source
+    system (``sources.schemas.CLIENTS`` / ``ACCOUNTS`` / ``CARDS``); the day's
+    ``transactions_DDMMYYYY.csv`` (``;``), ``terminals_DDMMYYYY.csv`` (``,``)
+    and ``passport_blacklist_DDMMYYYY.csv`` (``;``) are read from ``drop_dir``.
+    Tables live under ``warehouse``: ``dim_*`` (partitioned SCD2 histories),
+    ``fact_*`` (by load date) with their ``meta_*`` watermarks, and
+    ``rep_fraud`` (by report date). The report covers the operations loaded
+    today, matched to the owner valid at each operation's time.
+    """
+    from dimledger.plans.fraud import card_owners, fraud_report, write_report
+
+    root = warehouse.rstrip("/")
+    run_ts = ts_lit(run_date)
+    hist = {n: schemas.with_history_columns(s) for n, s in
+            [("clients", schemas.CLIENTS), ("accounts", schemas.ACCOUNTS), ("cards", schemas.CARDS),
+             ("terminals", schemas.TERMINALS_FILE)]}
+
+    client_attrs = ["last_name", "first_name", "patronymic", "date_of_birth", "passport_num",
+                    "passport_valid_to", "phone"]
+    load_dimension(spark, f"{root}/dim_clients", clients.select("client_id", *client_attrs, _upd()),
+                   ["client_id"], ["passport_num", "phone"], client_attrs, run_ts, run_date,
+                   hist["clients"], from_col="upd")
+    load_dimension(spark, f"{root}/dim_accounts",
+                   accounts.select(F.col("account_num"), "valid_to", "client", _upd()),
+                   ["account_num"], ["client"], ["valid_to", "client"], run_ts, run_date,
+                   hist["accounts"], from_col="upd")
+    load_dimension(spark, f"{root}/dim_cards",
+                   cards.select(strip_spaces("card_num").alias("card_num"), "account_num", _upd()),
+                   ["card_num"], ["account_num"], ["account_num"], run_ts, run_date,
+                   hist["cards"], from_col="upd")
+    terminals = read_daily_csv(spark, drop_dir, "terminals", run_date, schemas.TERMINALS_FILE, sep=",")
+    t_attrs = ["terminal_type", "terminal_city", "terminal_address"]
+    load_dimension(spark, f"{root}/dim_terminals", terminals, ["terminal_id"], t_attrs, t_attrs,
+                   run_ts, run_date, hist["terminals"])
+
+    txn = read_daily_csv(spark, drop_dir, "transactions", run_date, schemas.TRANSACTIONS_FILE).select(
+        strip_spaces("trans_id").alias("trans_id"), F.col("trans_dt").alias("trans_date"),
+        strip_spaces("card_num").alias("card_num"), "oper_type", "amt", "oper_result", "terminal")
+    load_facts(spark, f"{root}/fact_transactions", f"{root}/meta_transactions", txn, ["trans_date"], run_date)
+    bl = read_daily_csv(spark, drop_dir, "passport_blacklist", run_date, schemas.BLACKLIST_FILE).select(
+        strip_spaces("passport_num").alias("passport_num"), "entry_dt")
+    load_facts(spark, f"{root}/fact_passport_blacklist", f"{root}/meta_passport_blacklist", bl,
+               ["entry_dt"], run_date)
+
+    owners = card_owners(read_history(spark, f"{root}/dim_clients", hist["clients"]),
+                         read_history(spark, f"{root}/dim_accounts", hist["accounts"]),
+                         read_history(spark, f"{root}/dim_cards", hist["cards"]), versions="pit")
+    cities = current_rows(read_history(spark, f"{root}/dim_terminals", hist["terminals"], open_only=True))
+    facts = read_facts(spark, f"{root}/fact_transactions", txn)
+    new = facts.where(F.col("load_date") == F.lit(run_date))
+    before = facts.where(F.col("load_date") < F.lit(run_date))
+    report = fraud_report(new, owners, read_facts(spark, f"{root}/fact_passport_blacklist", bl), cities,
+                          report_dt=run_ts, history=before)
+    write_report(report, f"{root}/rep_fraud")

@@ -188,12 +188,18 @@ def velocity_rule(txn: DataFrame, terminals: DataFrame, owners: DataFrame,
 
 def fraud_report(txn: DataFrame, owners: DataFrame, blacklist: DataFrame, terminals: DataFrame,
                  report_dt: Column, inclusive_document: bool = False, within: str = "1 hour",
-                 pit: bool | None = None) -> DataFrame:
+                 pit: bool | None = None, history: DataFrame | None = None) -> DataFrame:
     """All four rules, one row per distinct event (D-10), stamped ``report_dt``.
 
     Rules 1a, 1b and 2 are flags on a single join of the facts with the
     owners (plus the first blacklist entry per passport), so the fact table is
     read and shuffled once for all three.
+
+    For an incremental run ``txn`` holds only the newly loaded operations and
+    ``history`` the operations loaded before; the velocity rule then also
+    looks at earlier operations from ``within`` before the first new one (a
+    card's previous operation may be in yesterday's load) and reports only
+    events at or after it.
     """
     o = _attach_blacklist(owners, blacklist)
     j = _with_owner(txn, o, pit)
@@ -202,7 +208,15 @@ def fraud_report(txn: DataFrame, owners: DataFrame, blacklist: DataFrame, termin
         (_expired_document(inclusive_document), 1),
         (F.col("account_valid_to").isNotNull() & (F.col("trans_date") > F.col("account_valid_to")), 2),
     ])
-    fast = velocity_rule(txn, terminals, owners, within=within, pit=pit)
+    if history is None:
+        fast = velocity_rule(txn, terminals, owners, within=within, pit=pit)
+    else:
+        cols = ["trans_id", "trans_date", "card_num", "terminal"]
+        first_new = txn.select(F.min("trans_date")).scalar()
+        earlier = history.where(F.col("trans_date") >= first_new - F.expr(f"INTERVAL {within}"))
+        recent = txn.select(*cols).unionByName(earlier.select(*cols)).distinct()
+        fast = (velocity_rule(recent, terminals, owners, within=within, pit=pit)
+                .where(F.col("event_dt") >= first_new))
     return (static.unionByName(fast).distinct()
             .withColumn("report_dt", report_dt.cast("timestamp_ntz")))
 

@@ -30,7 +30,7 @@ CLIENTS = _struct(("client_id", S), ("last_name", S), ("first_name", S), ("patro
 ACCOUNTS = _struct(("account_num", S), ("valid_to", D), ("client", S), ("create_dt", TS),
                    ("update_dt", TS))
 CARDS = _struct(("card_num", S), ("account_num", S), ("create_dt", TS), ("update_dt", TS))
-TRANSACTIONS_FILE = _struct(("trans_id", S), ("trans_date", TS), ("amt", T.DecimalType(18, 2)),
+TRANSACTIONS_FILE = _struct(("trans_id", S), ("trans_dt", TS), ("amt", T.DecimalType(18, 2)),
                             ("card_num", S), ("oper_type", S), ("oper_result", S), ("terminal", S))
 TERMINALS_FILE = _struct(("terminal_id", S), ("terminal_type", S), ("terminal_city", S),
                          ("terminal_address", S))
