@@ -236,3 +236,20 @@ def abc_feed(stock: DataFrame, skus: DataFrame, sales: DataFrame, ranks: DataFra
                  "total_sales_value", "xyz_rank", "abc_rank", "category_short_y", "class",
                  "class_size", "category_sizes", "class_category_sizes")
     return conform(t, FEED_SCHEMA)
+
+
+def daily_feed_run(groups: DataFrame, items: DataFrame, skus: DataFrame, general: DataFrame,
+                   stores: DataFrame, warehouses: DataFrame, stock: DataFrame, abc: DataFrame,
+                   day, out_path: str, root_name: str = ROOT_GROUP,
+                   excluded_city: str = EXCLUDED_CITY) -> DataFrame:
+    """Build the day's feed from the warehouse tables and replace that day's
+    partition of ``out_path`` (a rerun leaves one copy). Returns the feed."""
+    from dimledger.sources.sinks import write_partition
+
+    paths = category_paths(groups, root_name=root_name)
+    day_stock = daily_stock(stock, warehouses, stores, ds=day, excluded_city=excluded_city)
+    day_sales = daily_sales(general, items, stores, paths, ds=day)
+    out = abc_feed(day_stock, sku_categories(items, skus, paths), day_sales,
+                   abc_snapshot(abc, abc_cutoff(day)), day)
+    write_partition(out, out_path, ["date"])
+    return out

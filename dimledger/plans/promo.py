@@ -81,3 +81,48 @@ def expire_status(promos: DataFrame, lo: Column, hi: Column) -> DataFrame:
     """Promos whose end date falls in the window and that were never used
     become ``expired``."""
     return expire(promos, "end_date", lo, hi, "status", EXPIRED)
+
+
+def daily_promo_run(spark, coupons: DataFrame, ops: DataFrame, specs: DataFrame, day,
+                    stats_root: str, spec_root: str, created_from: Column) -> None:
+    """One day of the promo tables, rerun-safe.
+
+    * the day's promo states replace the ``load_date=<day>`` partition of
+      ``stats_root`` (D-25: a rerun leaves one copy);
+    * promos that end on ``day`` and were never used become ``expired``; only
+      the partitions holding such rows are rewritten, staged through the
+      checkpoint folder because the table is read and written by one job;
+    * the spec totals are written to a new version of ``spec_root`` and
+      published.
+    """
+    import datetime as _dt
+    import uuid
+
+    from pyspark.errors import AnalysisException
+
+    from dimledger.session import checkpoint_dir
+    from dimledger.sources.sinks import new_version_path, publish, write_partition
+
+    if isinstance(day, str):
+        day = _dt.date.fromisoformat(day)
+    state = promo_state(coupons, ops, day).withColumn("load_date", F.lit(day))
+    write_partition(state, stats_root, ["load_date"])
+
+    table = spark.read.parquet(stats_root)
+    lo, hi = F.lit(day), F.lit(day + _dt.timedelta(days=1))
+    due = (F.col("end_date") >= lo) & (F.col("end_date") < hi) & F.col("status").isNull()
+    touched = table.where(due).select("load_date").distinct()
+    rewritten = expire_status(table.join(touched, "load_date", "left_semi"), lo, hi)
+    stage = f"{checkpoint_dir(spark).rstrip('/')}/dimledger-stage/{uuid.uuid4().hex}"
+    rewritten.write.parquet(stage)
+    try:
+        staged = spark.read.parquet(stage)
+    except AnalysisException:  # nothing to expire today
+        staged = None
+    if staged is not None:
+        write_partition(staged, stats_root, ["load_date"])
+
+    totals = spec_stats(coupons, specs_since(specs, created_from))
+    path = new_version_path(spec_root, day)
+    totals.write.mode("overwrite").parquet(path)
+    publish(spark, spec_root, path)
