@@ -156,7 +156,12 @@ def daily_fraud_run(spark: SparkSession, clients: DataFrame, accounts: DataFrame
     cities = current_rows(read_history(spark, f"{root}/dim_terminals", hist["terminals"], open_only=True))
     facts = read_facts(spark, f"{root}/fact_transactions", txn)
     new = facts.where(F.col("load_date") == F.lit(run_date))
-    before = facts.where(F.col("load_date") < F.lit(run_date))
+    # The velocity rule looks one hour before the first new operation. An
+    # operation is never loaded before it happened, so older loads than the
+    # date of that instant cannot hold it: the partition filter keeps the
+    # look-back from scanning the whole history.
+    since = new.select(F.to_date(F.min("trans_date") - F.expr("INTERVAL 1 HOUR"))).scalar()
+    before = facts.where((F.col("load_date") < F.lit(run_date)) & (F.col("load_date") >= since))
     report = fraud_report(new, owners, read_facts(spark, f"{root}/fact_passport_blacklist", bl), cities,
                           report_dt=run_ts, history=before)
     write_report(report, f"{root}/rep_fraud")
