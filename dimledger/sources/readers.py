@@ -7,7 +7,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-__all__ = ["read_table", "daily_file_name", "read_daily_csv", "read_typed_csv", "read_docs",
+__all__ = ["read_table", "read_jdbc", "daily_file_name", "read_daily_csv", "read_typed_csv", "read_docs",
            "sql_query"]
 
 
@@ -21,6 +21,17 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return df.select(*[f.name for f in schema.fields]) if schema is not None else df
 
 
+def read_jdbc(spark: SparkSession, url: str, table: str, columns: list[str], partition_column: str,
+              lower: int, upper: int, num_partitions: int, properties: dict | None = None) -> DataFrame:
+    """Full extract of a source-system table in ``num_partitions`` parallel
+    range reads on a numeric ``partition_column`` (the source query is pushed
+    down with only ``columns``), instead of one cursor fetching every row into
+    one process. Needs the database's JDBC driver on the classpath."""
+    query = f"(SELECT {', '.join(columns)} FROM {table}) src"
+    return spark.read.jdbc(url, query, column=partition_column, lowerBound=lower, upperBound=upper,
+                           numPartitions=num_partitions, properties=properties or {})
+
+
 def daily_file_name(entity: str, run_date: _dt.date, ext: str = "csv") -> str:
     """``<entity>_DDMMYYYY.<ext>``, the daily drop naming."""
     return f"{entity}_{run_date.strftime('%d%m%Y')}.{ext}"
