@@ -277,6 +277,23 @@ def q_fraud_report(spark, d):
 
 SENT = "TIMESTAMP '5999-12-31 00:00:00'"
 
+
+def open_end_as_null(hist: DataFrame) -> DataFrame:
+    """History as the catalogue shows it: the open end (the 5999-12-31
+    sentinel, kept as such in the tables) appears as ``effective_to`` NULL
+    with ``is_open`` true. Year 5999 is outside the nanosecond range that
+    pandas conversions of a result use; the mapping is one-to-one."""
+    is_open = F.col("effective_to") == ts_lit("5999-12-31")
+    cols = [c for c in hist.columns if c != "effective_to"]
+    return hist.select(*cols[:cols.index("effective_from") + 1],
+                       F.when(~is_open, F.col("effective_to")).alias("effective_to"),
+                       *cols[cols.index("effective_from") + 1:], is_open.alias("is_open"))
+
+
+def sql_open_end_as_null(cte: str, cols: str) -> str:
+    return (f"SELECT {cols}, effective_from, CASE WHEN effective_to = {SENT} THEN NULL ELSE effective_to END "
+            f"AS effective_to, deleted_flg, effective_to = {SENT} AS is_open FROM {cte}")
+
 HISTORY_CTE = f"""
 o AS (
   SELECT o_custkey AS client_id, o_orderpriority AS priority, o_orderdate AS ts, o_orderkey AS tie,
@@ -299,9 +316,9 @@ def priority_history(orders: DataFrame) -> DataFrame:
     return scd2_history(changes, ["client_id"], ["priority"], "ts", "tie")
 
 
-@query("scd2_history", f"WITH {HISTORY_CTE} SELECT * FROM hist")
+@query("scd2_history", f"WITH {HISTORY_CTE} {sql_open_end_as_null('hist', 'client_id, priority')}")
 def q_scd2_history(spark, d):
-    return priority_history(table(spark, d, "orders"))
+    return open_end_as_null(priority_history(table(spark, d, "orders")))
 
 
 PIT_SQL = f"""
@@ -364,7 +381,8 @@ WITH {_snapshot_sql('s1', '1995-07-01 00:00:00')},
 h1 AS (SELECT client_id, priority, status, update_dt AS effective_from FROM s1),
 j AS (SELECT h.client_id AS hk, h.priority AS hp, h.status AS hs, h.effective_from AS hf,
              s.client_id AS sk, s.priority AS sp, s.status AS ss, s.update_dt AS sf
-      FROM h1 h FULL OUTER JOIN s2 s ON h.client_id = s.client_id)
+      FROM h1 h FULL OUTER JOIN s2 s ON h.client_id = s.client_id),
+merged AS (
 SELECT hk AS client_id, hp AS priority, hs AS status, hf AS effective_from, {SENT} AS effective_to,
        0 AS deleted_flg
 FROM j WHERE hk IS NOT NULL AND sk IS NOT NULL AND hp IS NOT DISTINCT FROM sp
@@ -376,7 +394,8 @@ SELECT sk, sp, ss, sf, {SENT}, 0 FROM j WHERE sk IS NOT NULL AND (hk IS NULL OR
 UNION ALL
 SELECT hk, hp, hs, hf, TIMESTAMP '1995-10-01 00:00:00' - INTERVAL 1 SECOND, 0 FROM j WHERE sk IS NULL
 UNION ALL
-SELECT hk, hp, hs, TIMESTAMP '1995-10-01 00:00:00', {SENT}, 1 FROM j WHERE sk IS NULL
+SELECT hk, hp, hs, TIMESTAMP '1995-10-01 00:00:00', {SENT}, 1 FROM j WHERE sk IS NULL)
+{sql_open_end_as_null('merged', 'client_id, priority, status')}
 """
 
 
@@ -393,7 +412,7 @@ def q_scd2_merge(spark, d):
     args = dict(key=["client_id"], tracked=["priority"], attrs=["priority", "status"], from_col="update_dt",
                 dedupe=False)
     h1 = scd2_merge(empty, s1, run_ts=ts_lit("1995-07-01"), **args)
-    return scd2_merge(h1, s2, run_ts=ts_lit("1995-10-01"), **args)
+    return open_end_as_null(scd2_merge(h1, s2, run_ts=ts_lit("1995-10-01"), **args))
 
 
 TERMINAL_MERGE_SQL = f"""
@@ -408,7 +427,8 @@ s2 AS (
   WHERE s.s_acctbal >= 0),
 j AS (SELECT h.terminal_id AS hk, h.terminal_address AS ha, h.terminal_city AS hc,
              s.terminal_id AS sk, s.terminal_address AS sa, s.terminal_city AS sc
-      FROM s1 h FULL OUTER JOIN s2 s ON h.terminal_id = s.terminal_id)
+      FROM s1 h FULL OUTER JOIN s2 s ON h.terminal_id = s.terminal_id),
+merged AS (
 SELECT hk AS terminal_id, ha AS terminal_address, hc AS terminal_city,
        TIMESTAMP '2024-01-01 00:00:00' AS effective_from, {SENT} AS effective_to, 0 AS deleted_flg
 FROM j WHERE sk IS NOT NULL AND hc IS NOT DISTINCT FROM sc AND ha IS NOT DISTINCT FROM sa
@@ -419,7 +439,8 @@ UNION ALL
 SELECT sk, sa, sc, TIMESTAMP '2024-01-02 00:00:00', {SENT}, 0
 FROM j WHERE sk IS NOT NULL AND (hk IS NULL OR hc IS DISTINCT FROM sc OR ha IS DISTINCT FROM sa)
 UNION ALL
-SELECT hk, ha, hc, TIMESTAMP '2024-01-02 00:00:00', {SENT}, 1 FROM j WHERE sk IS NULL
+SELECT hk, ha, hc, TIMESTAMP '2024-01-02 00:00:00', {SENT}, 1 FROM j WHERE sk IS NULL)
+{sql_open_end_as_null('merged', 'terminal_id, terminal_address, terminal_city')}
 """
 
 
@@ -445,7 +466,7 @@ def q_scd2_snapshot_merge(spark, d):
     args = dict(key=["terminal_id"], tracked=["terminal_address", "terminal_city"],
                 attrs=["terminal_address", "terminal_city"])
     h1 = scd2_merge(spark.createDataFrame([], schema), s1, run_ts=ts_lit("2024-01-01"), **args)
-    return scd2_merge(h1, s2, run_ts=ts_lit("2024-01-02"), **args)
+    return open_end_as_null(scd2_merge(h1, s2, run_ts=ts_lit("2024-01-02"), **args))
 
 
 # ------------------------------------------------------------- watermarks
