@@ -5,7 +5,6 @@ import datetime as dt
 import decimal
 import io
 import math
-import os
 
 import duckdb
 import pytest

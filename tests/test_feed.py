@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import rows
+
 from dimledger.plans import feed
 
 DAY = dt.date(2024, 4, 1)
