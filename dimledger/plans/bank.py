@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimledger.functions.columns import SENTINEL, strip_spaces, ts_lit
-from dimledger.operators.scd2 import TO, current_rows, scd2_merge
+from dimledger.operators.scd2 import TO, scd2_merge
 from dimledger.operators.watermark import delta_since, next_watermark, watermark_value
 from dimledger.session import checkpoint_dir
 from dimledger.sources import schemas
@@ -113,7 +113,8 @@ def daily_fraud_run(spark: SparkSession, clients: DataFrame, accounts: DataFrame
     Tables live under ``warehouse``: ``dim_*`` (partitioned SCD2 histories),
     ``fact_*`` (by load date) with their ``meta_*`` watermarks, and
     ``rep_fraud`` (by report date). The report covers the operations loaded
-    today, matched to the owner valid at each operation's time.
+    today, matched to the owner and the terminal cities valid at each
+    operation's time.
     """
     from dimledger.plans.fraud import card_owners, fraud_report, write_report
 
@@ -153,7 +154,7 @@ def daily_fraud_run(spark: SparkSession, clients: DataFrame, accounts: DataFrame
     owners = card_owners(read_history(spark, f"{root}/dim_clients", hist["clients"]),
                          read_history(spark, f"{root}/dim_accounts", hist["accounts"]),
                          read_history(spark, f"{root}/dim_cards", hist["cards"]), versions="pit")
-    cities = current_rows(read_history(spark, f"{root}/dim_terminals", hist["terminals"], open_only=True))
+    cities = read_history(spark, f"{root}/dim_terminals", hist["terminals"])
     facts = read_facts(spark, f"{root}/fact_transactions", txn)
     new = facts.where(F.col("load_date") == F.lit(run_date))
     # The velocity rule looks one hour before the first new operation. An

@@ -160,6 +160,10 @@ def velocity_rule(txn: DataFrame, terminals: DataFrame, owners: DataFrame,
     """Type 3: an operation less than ``within`` after the previous operation of
     the same card, in a different city.
 
+    ``terminals`` is either current cities (``terminal_id``,
+    ``terminal_city``) or the terminal history (with validity columns), in
+    which case each operation's city is the one valid at its time.
+
     The previous operation is found on the fact alone (card, time, id,
     terminal), ordered by time with the transaction id as tie-break (D-12); a
     card with more than ``hot_rows`` operations is split into ``bucket``
@@ -172,16 +176,30 @@ def velocity_rule(txn: DataFrame, terminals: DataFrame, owners: DataFrame,
                       out="_prev", bucket=bucket, hot_rows=hot_rows)
     gap = F.col("trans_date") - F.col("_prev.trans_date")
     near = t.where(F.col("_prev").isNotNull() & (gap < F.expr(f"INTERVAL {within}")))
-    # The terminal dimension meets the facts: broadcast it when its size is
-    # proven small (the planner's join estimate cannot tell), so the card
-    # partitioning of the window output is kept for the owner join.
-    cities = broadcast_if_small(terminals.select("terminal_id", "terminal_city"))
-    cur = cities.select(F.col("terminal_id").alias("_t1"), F.col("terminal_city").alias("_c1"))
-    prev = cities.select(F.col("terminal_id").alias("_t2"), F.col("terminal_city").alias("_c2"))
-    moved = (near.join(cur, F.col("terminal") == F.col("_t1"), "left")
-             .join(prev, F.col("_prev.terminal") == F.col("_t2"), "left")
-             .where(F.col("_c1") != F.col("_c2"))
-             .select("card_num", "trans_date"))
+    if FROM in terminals.columns:
+        # Versioned terminals: each operation's city is the one valid at its
+        # own time, so a terminal that moved between two operations counts
+        # as two cities. Only the few rows under ``within`` are looked up.
+        versions = terminals.select("terminal_id", "terminal_city", FROM, TO, DELETED)
+        near = near.select("card_num", "trans_date", "terminal",
+                           F.col("_prev.terminal").alias("_pt"), F.col("_prev.trans_date").alias("_pd"))
+        near = pit_join(near, versions, ["terminal"], ["terminal_id"], "trans_date", ["terminal_city"],
+                        how="inner", method="range").withColumnRenamed("terminal_city", "_c1")
+        moved = (pit_join(near, versions, ["_pt"], ["terminal_id"], "_pd", ["terminal_city"],
+                          how="inner", method="range")
+                 .where(F.col("_c1") != F.col("terminal_city"))
+                 .select("card_num", "trans_date"))
+    else:
+        # The terminal dimension meets the facts: broadcast it when its size
+        # is proven small (the planner's join estimate cannot tell), so the
+        # card partitioning of the window output is kept for the owner join.
+        cities = broadcast_if_small(terminals.select("terminal_id", "terminal_city"))
+        cur = cities.select(F.col("terminal_id").alias("_t1"), F.col("terminal_city").alias("_c1"))
+        prev = cities.select(F.col("terminal_id").alias("_t2"), F.col("terminal_city").alias("_c2"))
+        moved = (near.join(cur, F.col("terminal") == F.col("_t1"), "left")
+                 .join(prev, F.col("_prev.terminal") == F.col("_t2"), "left")
+                 .where(F.col("_c1") != F.col("_c2"))
+                 .select("card_num", "trans_date"))
     j = _with_owner(moved, owners, pit)
     return _events(j, [(F.lit(True), 3)])
 

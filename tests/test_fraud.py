@@ -111,3 +111,18 @@ def test_card_owners_point_in_time(spark):
     assert [(r[0], r[1]) for r in got] == [(dt.datetime(2024, 1, 15), "P-old"), (dt.datetime(2024, 2, 15), "P-new")]
     cur = fraud.card_owners(clients, accounts, cards, versions="current")
     assert {r[1] for r in rows(fraud.rule_blacklisted(t, cur, bl))} == {"P-new"}
+
+
+def test_velocity_terminal_that_moved_city(spark):
+    S = SENTINEL_TS
+    moved_at = T0 + 30 * MIN
+    versions = spark.createDataFrame(
+        [("t_m", "Almaty", T0 - 60 * MIN, moved_at - dt.timedelta(seconds=1), 0),
+         ("t_m", "Astana", moved_at, S, 0)],
+        "terminal_id string, terminal_city string, effective_from timestamp_ntz, effective_to timestamp_ntz, "
+        "deleted_flg int")
+    t = txn(spark, [("1", T0, "card1", "t_m"), ("2", T0 + 40 * MIN, "card1", "t_m")])
+    got = rows(fraud.velocity_rule(t, versions, owners(spark)))
+    assert [(r[0], r[4]) for r in got] == [(T0 + 40 * MIN, 3)]      # Almaty then Astana
+    current = versions.where("effective_to = timestamp_ntz'5999-12-31 00:00:00'").select("terminal_id", "terminal_city")
+    assert rows(fraud.velocity_rule(t, current, owners(spark))) == []  # same city today
