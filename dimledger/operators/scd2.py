@@ -68,7 +68,7 @@ def scd2_merge(hist: DataFrame, snapshot: DataFrame, key: list[str], tracked: li
     snap = snapshot.select(*cols, *([from_col] if from_col else []))
     if from_col and dedupe:
         snap = latest_per_key(snap, key, [from_col, *attrs])
-    new_from = F.col(f"s.{from_col}") if from_col else run_ts
+    stamped = F.col(f"s.{from_col}") if from_col else run_ts
 
     open_ = open_rows(hist)
     closed = hist.where(F.col(TO) != _sentinel())
@@ -92,6 +92,9 @@ def scd2_merge(hist: DataFrame, snapshot: DataFrame, key: list[str], tracked: li
               .when(differs, "U")
               .otherwise("S"))
     j = j.withColumn("_chg", change)
+    # A change stamped at or before the start of the version it replaces (a
+    # late correction) starts one second after it, so versions never overlap.
+    new_from = F.when(in_h, F.greatest(stamped, F.col(f"h.{FROM}") + one_second())).otherwise(stamped)
 
     def version(side: str, start: Column, end: Column, flag: int | Column) -> Column:
         return F.struct(*[F.col(f"{side}.{c}").alias(c) for c in cols],

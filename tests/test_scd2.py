@@ -144,3 +144,10 @@ def test_pit_join_hot_key_split_equals_range(spark):
     a = pit_join(facts, hist, ["k"], ["k"], "l_shipdate", ["p"], method="asof", bucket="month", hot_rows=5)
     b = pit_join(facts, hist, ["k"], ["k"], "l_shipdate", ["p"], method="range")
     assert rows(a) == rows(b)
+
+
+def test_late_correction_never_overlaps(spark):
+    h1 = merge(spark, spark.createDataFrame([], HIST), [("k", "x", "1", D2)], D2)
+    # the source reports a change stamped before the open version's start
+    h2 = rows(merge(spark, h1, [("k", "y", "1", D1)], D3))
+    assert h2 == [("k", "x", "1", D2, D2, 0), ("k", "y", "1", D2 + SEC, SENTINEL_TS, 0)]
