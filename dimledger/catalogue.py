@@ -415,6 +415,32 @@ def q_scd2_merge(spark, d):
     return open_end_as_null(scd2_merge(h1, s2, run_ts=ts_lit("1995-10-01"), **args))
 
 
+CHANGES_SQL = f"""
+WITH {_snapshot_sql('s1', '1995-07-01 00:00:00')},
+{_snapshot_sql('s2', '1995-10-01 00:00:00',
+               'AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)')}
+SELECT coalesce(s1.client_id, s2.client_id) AS client_id,
+       CASE WHEN s1.client_id IS NULL THEN 'I' WHEN s2.client_id IS NULL THEN 'D'
+            WHEN s1.priority IS DISTINCT FROM s2.priority THEN 'U' ELSE 'S' END AS change
+FROM s1 FULL OUTER JOIN s2 ON s1.client_id = s2.client_id
+"""
+
+
+@query("scd2_changes", CHANGES_SQL)
+def q_scd2_changes(spark, d):
+    """How each client is classified by the second load of ``scd2_merge``:
+    I(nsert), U(pdate), D(elete) or S(ame)."""
+    orders, customer = table(spark, d, "orders"), table(spark, d, "customer")
+    s1 = latest_order_state(orders, "1995-07-01")
+    closed = customer.where(F.col("c_acctbal") < 0).select(F.col("c_custkey").alias("client_id"))
+    s2 = anti_join(latest_order_state(orders, "1995-10-01"), closed, "client_id")
+    args = dict(key=["client_id"], tracked=["priority"], attrs=["priority", "status"], from_col="update_dt",
+                dedupe=False)
+    h1 = scd2_merge(spark.createDataFrame([], HIST_SCHEMA), s1, run_ts=ts_lit("1995-07-01"), **args)
+    merged = scd2_merge(h1, s2, run_ts=ts_lit("1995-10-01"), with_change=True, **args)
+    return merged.where(F.col("_chg").isNotNull()).select("client_id", F.col("_chg").alias("change")).distinct()
+
+
 TERMINAL_MERGE_SQL = f"""
 WITH s1 AS (
   SELECT s.s_suppkey AS terminal_id, s.s_name AS terminal_address, n.n_name AS terminal_city
