@@ -151,9 +151,6 @@ def daily_fraud_run(spark: SparkSession, clients: DataFrame, accounts: DataFrame
     load_facts(spark, f"{root}/fact_passport_blacklist", f"{root}/meta_passport_blacklist", bl,
                ["entry_dt"], run_date)
 
-    owners = card_owners(read_history(spark, f"{root}/dim_clients", hist["clients"]),
-                         read_history(spark, f"{root}/dim_accounts", hist["accounts"]),
-                         read_history(spark, f"{root}/dim_cards", hist["cards"]), versions="pit")
     cities = read_history(spark, f"{root}/dim_terminals", hist["terminals"])
     facts = read_facts(spark, f"{root}/fact_transactions", txn)
     new = facts.where(F.col("load_date") == F.lit(run_date))
@@ -163,6 +160,17 @@ def daily_fraud_run(spark: SparkSession, clients: DataFrame, accounts: DataFrame
     # look-back from scanning the whole history.
     since = new.select(F.to_date(F.min("trans_date") - F.expr("INTERVAL 1 HOUR"))).scalar()
     before = facts.where((F.col("load_date") < F.lit(run_date)) & (F.col("load_date") >= since))
+    # Owners are needed only for the cards seen in this run, so the dimension
+    # histories are cut down to them (semi-joins) before the point-in-time
+    # chain is built: the daily cost follows the active cards, not the
+    # whole customer base.
+    active = new.select("card_num").unionByName(before.select("card_num")).distinct()
+    cards_h = read_history(spark, f"{root}/dim_cards", hist["cards"]).join(active, "card_num", "left_semi")
+    accounts_h = read_history(spark, f"{root}/dim_accounts", hist["accounts"]).join(
+        cards_h.select("account_num").distinct(), "account_num", "left_semi")
+    clients_h = read_history(spark, f"{root}/dim_clients", hist["clients"]).join(
+        accounts_h.select(F.col("client").alias("client_id")).distinct(), "client_id", "left_semi")
+    owners = card_owners(clients_h, accounts_h, cards_h, versions="pit")
     report = fraud_report(new, owners, read_facts(spark, f"{root}/fact_passport_blacklist", bl), cities,
                           report_dt=run_ts, history=before)
     write_report(report, f"{root}/rep_fraud")
