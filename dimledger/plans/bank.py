@@ -34,6 +34,7 @@ from dimledger.sources.readers import read_daily_csv
 from dimledger.sources.sinks import current_version, new_version_path, publish, write_partition
 
 __all__ = ["read_current", "read_history", "read_facts", "load_dimension", "load_facts", "daily_fraud_run",
+           "ingest_transactions",
            "OPEN_PARTITION"]
 
 OPEN_PARTITION = "open"
@@ -174,3 +175,30 @@ def daily_fraud_run(spark: SparkSession, clients: DataFrame, accounts: DataFrame
     report = fraud_report(new, owners, read_facts(spark, f"{root}/fact_passport_blacklist", bl), cities,
                           report_dt=run_ts, history=before)
     write_report(report, f"{root}/rep_fraud")
+
+
+def ingest_transactions(spark: SparkSession, drop_dir: str, warehouse: str, checkpoint: str,
+                        archive_dir: str | None = None):
+    """Load every new ``transactions_DDMMYYYY.csv`` in ``drop_dir`` exactly
+    once (Structured Streaming file source, one file per micro-batch), each as
+    the load date named in its file, behind the transaction watermark. The
+    stream checkpoint records which files were done; a replayed batch
+    rewrites the same load-date partition."""
+    from dimledger.streaming.ingest import ingest_files
+
+    root = warehouse.rstrip("/")
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        named = batch.withColumn(
+            "_day", F.to_date(F.regexp_extract("source_file", r"_(\d{8})\.csv$", 1), "ddMMyyyy"))
+        day = named.select(F.min("_day")).first()[0]   # one file per batch: one date
+        if day is None:
+            return
+        staged = named.select(strip_spaces("trans_id").alias("trans_id"), F.col("trans_dt").alias("trans_date"),
+                              strip_spaces("card_num").alias("card_num"), "oper_type", "amt", "oper_result",
+                              "terminal")
+        load_facts(spark, f"{root}/fact_transactions", f"{root}/meta_transactions", staged,
+                   ["trans_date"], day)
+
+    return ingest_files(spark, drop_dir, schemas.TRANSACTIONS_FILE, checkpoint, load,
+                        archive_dir=archive_dir, max_files_per_trigger=1, pattern="transactions_*.csv")

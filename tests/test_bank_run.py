@@ -73,3 +73,17 @@ def test_two_days_and_rerun(spark, scratch):
     assert report() == first
     assert spark.read.parquet(os.path.join(wh, "fact_transactions")).count() == 5
     assert spark.read.parquet(os.path.join(wh, "dim_clients")).count() == 3
+
+
+def test_ingest_transactions_once_per_file(spark, scratch):
+    from dimledger.plans.bank import ingest_transactions
+    drop, wh, ck = (os.path.join(scratch, n) for n in ("drop2", "dwh2", "ck2"))
+    os.makedirs(drop)
+    _drop(drop, D1, [("t1", "2024-03-01 10:00:00", "10.00", "0000 1111", "PAY", "OK", "T1")], [])
+    _drop(drop, D2, [("t2", "2024-03-02 10:00:00", "10.00", "0000 1111", "PAY", "OK", "T1"),
+                     ("t3", "2024-03-02 11:00:00", "10.00", "0000 2222", "PAY", "OK", "T2")], [])
+    ingest_transactions(spark, drop, wh, ck)
+    ingest_transactions(spark, drop, wh, ck)          # nothing new: nothing loaded twice
+    facts = spark.read.parquet(os.path.join(wh, "fact_transactions"))
+    assert sorted((r["trans_id"], r["load_date"]) for r in facts.collect()) == [
+        ("t1", D1), ("t2", D2), ("t3", D2)]
