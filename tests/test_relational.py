@@ -127,3 +127,12 @@ def test_broadcast_only_within_the_bound(spark):
         assert "BroadcastHashJoin" not in plan(facts.join(broadcast_if_small(dim, max_rows=9), "k"))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_preview_and_union_all(spark):
+    from dimledger.operators.relational import preview, union_all
+    a = spark.createDataFrame([(i, "a") for i in range(30)], "k int, src string")
+    b = spark.createDataFrame([("b", 99)], "src string, k int")
+    assert len(rows(preview(a))) == 10
+    u = union_all(a, b, b)                     # by name, duplicates kept
+    assert u.count() == 32 and u.where("src = 'b'").count() == 2
