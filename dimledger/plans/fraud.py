@@ -81,9 +81,10 @@ def card_owners(clients: DataFrame, accounts: DataFrame, cards: DataFrame,
     return chain.select(*OWNER_COLUMNS, FROM, TO).withColumn(DELETED, F.lit(0))
 
 
-def _with_owner(txn: DataFrame, owners: DataFrame, pit: bool | None) -> DataFrame:
+def _with_owner(txn: DataFrame, owners: DataFrame, pit: bool | None, sized: bool = False) -> DataFrame:
     """Owner fields per operation: the owner valid at the operation time when
-    ``owners`` has validity intervals (``pit=None`` detects it), else by card."""
+    ``owners`` has validity intervals (``pit=None`` detects it), else by card.
+    ``sized`` says the caller already ran the size check on ``owners``."""
     t = txn.select("card_num", "trans_date")
     if pit is None:
         pit = FROM in owners.columns
@@ -93,7 +94,7 @@ def _with_owner(txn: DataFrame, owners: DataFrame, pit: bool | None) -> DataFram
     # The owner chain is a join of dimensions, which the planner cannot size;
     # when it is proven small the facts stream past it without a shuffle,
     # otherwise both sides are shuffled on the card.
-    return t.join(broadcast_if_small(owners), "card_num")
+    return t.join(owners if sized else broadcast_if_small(owners), "card_num")
 
 
 def _blacklist_first_entry(blacklist: DataFrame) -> DataFrame:
@@ -156,7 +157,8 @@ def rule_expired_contract(txn: DataFrame, owners: DataFrame, pit: bool | None =
 
 def velocity_rule(txn: DataFrame, terminals: DataFrame, owners: DataFrame,
                   within: str = "1 hour", bucket: str | None = "hour",
-                  hot_rows: int = HOT_ROWS, pit: bool | None = None) -> DataFrame:
+                  hot_rows: int = HOT_ROWS, pit: bool | None = None,
+                  owners_sized: bool = False) -> DataFrame:
     """Type 3: an operation less than ``within`` after the previous operation of
     the same card, in a different city.
 
@@ -200,7 +202,7 @@ def velocity_rule(txn: DataFrame, terminals: DataFrame, owners: DataFrame,
                  .join(prev, F.col("_prev.terminal") == F.col("_t2"), "left")
                  .where(F.col("_c1") != F.col("_c2"))
                  .select("card_num", "trans_date"))
-    j = _with_owner(moved, owners, pit)
+    j = _with_owner(moved, owners, pit, sized=owners_sized)
     return _events(j, [(F.lit(True), 3)])
 
 
@@ -220,20 +222,26 @@ def fraud_report(txn: DataFrame, owners: DataFrame, blacklist: DataFrame, termin
     events at or after it.
     """
     o = _attach_blacklist(owners, blacklist)
-    j = _with_owner(txn, o, pit)
+    if pit is None:
+        pit = FROM in o.columns
+    if not pit:
+        # one size check and one broadcast serve the static rules and the
+        # velocity rule (which reads only the owner columns it needs)
+        o = broadcast_if_small(o)
+    j = _with_owner(txn, o, pit, sized=True)
     static = _events(j, [
         (F.col("blacklisted_at") < F.col("trans_date"), 1),
         (_expired_document(inclusive_document), 1),
         (F.col("account_valid_to").isNotNull() & (F.col("trans_date") > F.col("account_valid_to")), 2),
     ])
     if history is None:
-        fast = velocity_rule(txn, terminals, owners, within=within, pit=pit)
+        fast = velocity_rule(txn, terminals, o, within=within, pit=pit, owners_sized=True)
     else:
         cols = ["trans_id", "trans_date", "card_num", "terminal"]
         first_new = txn.select(F.min("trans_date")).scalar()
         earlier = history.where(F.col("trans_date") >= first_new - F.expr(f"INTERVAL {within}"))
         recent = txn.select(*cols).unionByName(earlier.select(*cols)).distinct()
-        fast = (velocity_rule(recent, terminals, owners, within=within, pit=pit)
+        fast = (velocity_rule(recent, terminals, o, within=within, pit=pit, owners_sized=True)
                 .where(F.col("event_dt") >= first_new))
     return (static.unionByName(fast).distinct()
             .withColumn("report_dt", report_dt.cast("timestamp_ntz")))
