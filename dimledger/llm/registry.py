@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("quality",)
+MODULES = ("quality", "huffman")
 
 QUERIES: dict = {}
 ORACLE: dict = {}
