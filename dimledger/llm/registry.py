@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("quality", "huffman")
+MODULES = ("quality", "curriculum", "huffman")
 
 QUERIES: dict = {}
 ORACLE: dict = {}
