@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("quality", "curriculum", "huffman")
+MODULES = ("licenses", "quality", "curriculum", "huffman")
 
 QUERIES: dict = {}
 ORACLE: dict = {}
