@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("minhash", "licenses", "quality", "curriculum", "chat", "huffman")
+MODULES = ("minhash", "licenses", "quality", "curriculum", "chat", "huffman", "toxicity")
 
 QUERIES: dict = {}
 ORACLE: dict = {}
