@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("minhash", "licenses", "quality", "curriculum", "chat", "huffman", "toxicity")
+MODULES = ("minhash", "licenses", "quality", "curriculum", "chat", "huffman", "pii", "toxicity")
 
 QUERIES: dict = {}
 ORACLE: dict = {}
