@@ -2,8 +2,8 @@
 
 from importlib import import_module
 
-MODULES = ("minhash", "licenses", "quality", "decontaminate", "curriculum", "chat", "huffman", "pii",
-           "toxicity")
+MODULES = ("minhash", "licenses", "quality", "decontaminate", "curriculum", "chat", "huffman",
+           "html_layout", "pii", "toxicity")
 
 QUERIES: dict = {}
 ORACLE: dict = {}
