@@ -132,6 +132,31 @@ def training_order(mix: DataFrame) -> DataFrame:
             .orderBy("position", "row_key", "text_key", "copy"))
 
 
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The documents of the mix in training order, columns of ``docs`` unchanged:
+    a row for every copy taken.
+
+    Texts move once, to their place in the order: the narrow mix is joined on
+    the keys it was made from. Rows equal in doc_id and text share those keys;
+    ``turn`` tells them apart so that each keeps its own copies.
+    """
+    keys = ["row_key", "text_key", "of_source"]
+    seed = options.get("seed", SEED)
+    mix = curriculum_mix(docs, **options)
+    per_key = Window.partitionBy("row_key", "text_key", "source").orderBy("positions")
+    taken = (mix.withColumn("turn", F.row_number().over(per_key)).filter(F.size("positions") > 0)
+             .select(F.col("row_key").alias("k1"), F.col("text_key").alias("k2"), F.col("source").alias("k3"),
+                     F.col("turn").alias("k4"), "positions"))
+    named = docs.select(F.struct(*docs.columns).alias("row"), F.md5(F.concat(
+        F.lit(seed), F.lit(":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))).alias("row_key"),
+        F.md5(F.coalesce("text", F.lit(""))).alias("text_key"), F.col("source").alias("of_source"))
+    numbered = named.withColumn("turn", F.row_number().over(Window.partitionBy(*keys).orderBy("row_key")))
+    joined = numbered.join(taken, (F.col("row_key") == F.col("k1")) & (F.col("text_key") == F.col("k2"))
+                           & F.col("of_source").eqNullSafe(F.col("k3")) & (F.col("turn") == F.col("k4")))
+    return (joined.select("row", "row_key", "text_key", F.explode("positions").alias("position"))
+            .orderBy("position", "row_key", "text_key").select("row.*"))
+
+
 def op5_curriculum_mix(spark, sf_dir):
     """Per document what the mix takes, in the order of first training position."""
     mix = curriculum_mix(relation(spark, sf_dir, "documents"))

@@ -118,9 +118,13 @@ def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = QUALITY_RULES,
 
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = QUALITY_RULES) -> DataFrame:
-    """The rows of ``docs`` whose text is kept, with their columns unchanged."""
+    """The rows of ``docs`` whose text is kept, with their columns unchanged.
+
+    A generator rather than a filter: a filter on ``kept`` would be pushed
+    below the projection, each of its measures written out again inside it.
+    """
     judged = quality_rules(docs, rules, carry=tuple(docs.columns))
-    return judged.filter("kept").select("carried.*")
+    return judged.select(F.inline(F.when(F.col("kept"), F.array("carried"))))
 
 
 def op3_quality_rules(spark, sf_dir):
