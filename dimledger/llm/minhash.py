@@ -19,15 +19,13 @@ Flow at scale:
 * texts are hashed where they are read; equal texts (equal digests) become
   one representative before anything is joined, with a map-side combine, so
   copies in any number cost one narrow row each;
-* members of a bucket are checked against the bucket's first member, not
-  with each other: a star per bucket, and a pair that shares many buckets is
-  checked once;
-* members that are not linked to the first member, or joined to it through
-  others, meet again in the next round without it, until every bucket has
-  been resolved: each round removes a member from each bucket and all members
-  that belong to its class. A bucket's members of different classes are thus
-  compared first member by first member; no pair is emitted twice and no cap
-  on partners exists;
+* members of a bucket are checked against the bucket's hub, not with each
+  other: a star per bucket, and a pair that shares many buckets is checked
+  once. The hub is the member that meets most other texts;
+* buckets that then still hold several classes are gone over once more: two
+  members of different classes are compared if an upper bound, from what each
+  has in common with the hub, lets them reach the threshold. No cap on
+  partners exists, and no pair within a class is formed;
 * classes come from alternating star contraction over the links, with a
   written table per round.
 
@@ -43,7 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimledger.llm.common import hash_strings, mix64, relation, slices, staged, words_csr
@@ -216,19 +214,20 @@ def _elements(weighted: bool, size: int):
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Weighted Jaccard similarity of pairs of sorted element lists."""
+    """Weight in common and weighted Jaccard similarity of pairs of element lists."""
     for batch in batches:
         a, wa, b, wb = (batch.column(c) for c in ("elements_a", "weights_a", "elements_b", "weights_b"))
-        out = np.zeros(batch.num_rows)
+        out, common = np.zeros(batch.num_rows), np.zeros(batch.num_rows, dtype=np.int64)
         for i in range(batch.num_rows):
             # Sorted as unsigned when made; order does not matter to the intersection.
             x, y = a[i].values.to_numpy(), b[i].values.to_numpy()
             _, at_x, at_y = np.intersect1d(x, y, assume_unique=True, return_indices=True)
             p, q = wa[i].values.to_numpy(), wb[i].values.to_numpy()
-            both = np.minimum(p[at_x], q[at_y]).sum()
-            out[i] = both / max(p.sum() + q.sum() - both, 1)
+            common[i] = np.minimum(p[at_x], q[at_y]).sum()
+            out[i] = common[i] / max(p.sum() + q.sum() - common[i], 1)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("a"), batch.column("b"), pa.array(out)], names=["a", "b", "similarity"])
+            [batch.column("a"), batch.column("b"), pa.array(common), pa.array(out)],
+            names=["a", "b", "common", "similarity"])
 
 
 # ------------------------------------------------------------------ classes
@@ -265,20 +264,26 @@ def connected_classes(links: DataFrame, vertices: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ the join
 
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The (a, b) pairs whose sets are ``threshold`` similar or more."""
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b) pairs with the weight their sets have in common and their similarity."""
     left, right = (sets.select(F.col("digest").alias(x), F.col("elements").alias(f"elements_{x}"),
                                F.col("weights").alias(f"weights_{x}")) for x in ("a", "b"))
-    joined = pairs.join(left, "a").join(right, "b")
-    return (joined.mapInArrow(_compare, "a binary, b binary, similarity double")
-            .filter(F.col("similarity") >= threshold))
+    return pairs.join(left, "a").join(right, "b").mapInArrow(
+        _compare, "a binary, b binary, common long, similarity double")
 
 
-def _upper_bound(shared: str, total: str, other_shared: str, other_total: str):
-    """No pair of sets is more similar than this: what they have in common is
-    at most the smaller of the parts that occur in any other set."""
-    common = F.least(F.col(shared), F.col(other_shared))
-    return common / F.greatest(F.col(total) + F.greatest(F.col(other_total), common) - common, F.lit(1))
+def _upper_bound() -> Column:
+    """No two members of a bucket (columns of the one, and ``other_`` ones) are
+    more similar than this.
+
+    What they share lies in the hub or outside it. In the hub it is at most
+    the smaller of what each shares with the hub; outside at most the smaller
+    of what each has there that any other text has as well.
+    """
+    inside = F.least("common", "other_common")
+    outside = F.least("outside", "other_outside")
+    most = F.least(inside + outside, "total", "other_total")
+    return most / F.greatest(F.col("total") + F.col("other_total") - most, F.lit(1))
 
 
 def near_duplicates(docs: DataFrame, weighted: bool = False, threshold: float = THRESHOLD,
@@ -299,10 +304,17 @@ def near_duplicates(docs: DataFrame, weighted: bool = False, threshold: float =
         F.min("doc_id").alias("doc_id"), F.first("total").alias("total"), F.first("bands").alias("bands")), "texts")
     vertices = texts.select(F.col("digest").alias("vertex"))
 
-    keyed = texts.select("digest", "total", F.explode("bands").alias("bucket"))
-    stats = keyed.groupBy("bucket").agg(F.min("digest").alias("hub"), F.min_by("total", "digest").alias("hub_total"),
-                                        F.count("*").alias("n")).filter("n > 1")
-    members = staged(keyed.join(stats, "bucket"), "members")
+    # Buckets of several texts. A bucket's hub is its member that meets most
+    # other texts over all its buckets: in a family of copies, the original.
+    keyed = staged(texts.select("digest", "total", F.explode("bands").alias("bucket")), "keyed")
+    crowded = keyed.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    met = staged(keyed.join(crowded, "bucket"), "met")
+    central = met.groupBy("digest").agg(F.sum("n").alias("meets"))
+    rated = staged(met.join(central, "digest"), "rated")
+    hubs = rated.groupBy("bucket").agg(F.max_by(F.struct("digest", "total"), F.struct("meets", "digest")).alias("hub"))
+    members = staged(rated.join(hubs, "bucket").select(
+        "bucket", "n", "digest", "total", F.col("hub.digest").alias("hub"), F.col("hub.total").alias("hub_total")),
+        "members")
 
     # Sets of the texts that share a bucket; one row of each such text is read.
     wanted = members.select("digest").distinct().join(texts.select("digest", "doc_id"), "digest").select(
@@ -313,51 +325,41 @@ def near_duplicates(docs: DataFrame, weighted: bool = False, threshold: float =
     sets = staged(once.mapInArrow(_elements(weighted, size),
                                   "digest binary, elements array<bigint>, weights array<bigint>"), "sets")
 
-    # Round 1: every member against its bucket's first member.
+    # Round 1: every member against its bucket's hub.
     stars = members.filter("digest <> hub").filter(
         F.least("total", "hub_total") >= F.lit(threshold) * F.greatest("total", "hub_total"))
-    links = staged(_verified(stars.select(F.col("hub").alias("a"), F.col("digest").alias("b")).distinct(),
-                             sets, threshold).select("a", "b"), "links_1")
+    spokes = staged(_compared(stars.select(F.col("hub").alias("a"), F.col("digest").alias("b")).distinct(), sets),
+                    "spokes")
+    links = spokes.filter(F.col("similarity") >= threshold).select("a", "b")
     classes = staged(connected_classes(links, vertices), "classes_1")
 
-    # Round 2: buckets of three and more that still hold different classes.
-    # ``shared``: weight of the elements that occur in another set as well.
-    # A member that could reach the threshold with no text of its bucket is out.
-    open_members = _mixed(members.filter("n > 2").select("bucket", "digest", "total"), classes)
-    loose = open_members.select("digest").distinct()
+    # Round 2: buckets of three and more that still hold different classes,
+    # members of different classes, and only pairs that can reach the
+    # threshold by what each has in common with the hub. ``alone`` is the
+    # weight of elements that no other text of these buckets has.
+    mixed = staged(_mixed(members.filter("n > 2"), classes), "mixed")
+    loose = mixed.select("digest").distinct()
     exploded = (sets.join(loose, "digest", "left_semi")
                 .select("digest", F.explode(F.arrays_zip("elements", "weights")).alias("e"))
                 .select("digest", "e.elements", "e.weights"))
     alone = (exploded.groupBy("elements").agg(F.count("*").alias("sets"), F.min("digest").alias("digest"),
                                               F.sum("weights").alias("weight"))
              .filter("sets = 1").groupBy("digest").agg(F.sum("weight").alias("alone")))
-    rated = open_members.join(alone, "digest", "left").withColumn(
-        "shared", F.col("total") - F.coalesce("alone", F.lit(0))).drop("alone", "class")
-    reach = rated.groupBy("bucket").agg(F.max("shared").alias("most_shared"), F.min("total").alias("least_total"))
-    able = rated.join(reach, "bucket").filter(
-        _upper_bound("shared", "total", "most_shared", "least_total") >= threshold).drop("most_shared", "least_total")
-    able = staged(able, "able")
-    left = _mixed(able, classes)
-    medoid = left.groupBy("bucket").agg(F.max_by(F.struct("digest", "class", "shared", "total"), F.struct(
-        F.col("shared") / F.col("total"), "digest")).alias("hub"))
-    spokes = left.join(medoid, "bucket").filter("class <> hub.class").select(
-        "*", F.col("hub.shared").alias("hub_shared"), F.col("hub.total").alias("hub_total")).filter(
-        _upper_bound("shared", "total", "hub_shared", "hub_total") >= threshold)
-    more = staged(_verified(spokes.select(F.least("digest", "hub.digest").alias("a"),
-                                          F.greatest("digest", "hub.digest").alias("b")).distinct(),
-                            sets, threshold).select("a", "b"), "links_2")
-    links = links.unionByName(more)
-    classes = staged(connected_classes(links, vertices), "classes_2")
-
-    # Round 3: what is left in buckets of several classes, across classes only.
-    rest = staged(_mixed(able, classes), "rest")
-    other = rest.select("bucket", *[F.col(c).alias(f"other_{c}") for c in ("digest", "class", "shared", "total")])
-    across = rest.join(other, "bucket").filter(
+    known = spokes.select(F.col("a").alias("hub"), F.col("b").alias("digest"), "common")
+    spread = staged(
+        mixed.filter("digest <> hub").join(alone, "digest", "left").join(known, ["hub", "digest"], "left")
+        .withColumn("shared", F.col("total") - F.coalesce("alone", F.lit(0)))
+        # Too different in size for a comparison: what they have in common is not known.
+        .withColumn("outside", F.col("shared") - F.coalesce("common", F.lit(0)))
+        .withColumn("common", F.coalesce("common", F.least("shared", "hub_total")))
+        .select("bucket", "digest", "class", "total", "common", "outside"), "spread")
+    other = spread.select("bucket", *[F.col(c).alias(f"other_{c}") for c in spread.columns if c != "bucket"])
+    across = spread.join(other, "bucket").filter(
         (F.col("digest") < F.col("other_digest")) & (F.col("class") != F.col("other_class"))
-        & (_upper_bound("shared", "total", "other_shared", "other_total") >= threshold))
-    last = staged(_verified(across.select(F.col("digest").alias("a"), F.col("other_digest").alias("b")).distinct(),
-                            sets, threshold).select("a", "b"), "links_3")
-    classes = connected_classes(links.unionByName(last), vertices)
+        & (_upper_bound() >= threshold))
+    rest = _compared(across.select(F.col("digest").alias("a"), F.col("other_digest").alias("b")).distinct(), sets)
+    more = staged(rest.filter(F.col("similarity") >= threshold).select("a", "b"), "links_2")
+    classes = connected_classes(links.unionByName(more), vertices)
 
     named = staged(texts.select("digest", "doc_id").join(classes.withColumnRenamed("vertex", "digest"), "digest"),
                    "named")
