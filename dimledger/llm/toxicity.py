@@ -6,11 +6,13 @@ log-count ratio between toxic and other labelled texts; n-grams whose ratio
 is near zero or whose support is small have scale 0 and drop out. A logistic
 regression on the scaled features gives the score.
 
-Counts run over all labelled rows outside the held-out fifth, summed per task
-and then by n-gram; the driver gets one row per hash bucket with a scale (at
-most ``BUCKETS``). The regression is fitted on at most ``MAX_ROWS`` labelled
-rows, the first in the order of a hash of doc_id. Scoring is a pass over the
-texts without a shuffle.
+The classifier (ratios and regression) is fitted on at most ``MAX_ROWS``
+labelled rows outside the held-out fifth, the first in the order of a hash of
+doc_id. That many (doc_id, label) pairs are broadcast, so no text is shuffled
+to meet its label; texts of labelled documents are counted per task, then by
+n-gram, and the driver gets one row per hash bucket with a scale (at most
+``BUCKETS``) and the scaled features of the fitted rows. Scoring is a pass
+over the texts without a shuffle.
 
 Defined results: a NULL or empty text has no n-gram and gets the score of the
 intercept; a doc_id with several labels counts as toxic if one says so; NULL
@@ -37,7 +39,7 @@ BUCKET_BITS = 19
 BUCKETS = 1 << BUCKET_BITS
 MIN_SUPPORT = 5        # labelled texts that hold an n-gram, at least
 MIN_RATIO = 1.0        # absolute log-count ratio, at least
-MAX_ROWS = 40_000      # labelled rows the regression is fitted on, at most
+MAX_ROWS = 40_000      # labelled rows the classifier is fitted on, at most
 SMOOTH = 0.5
 
 
@@ -131,8 +133,15 @@ def fit_logistic(offsets: np.ndarray, features: np.ndarray, scale: np.ndarray, y
     return weights, float(b)
 
 
-def fit(labelled: DataFrame, max_rows: int = MAX_ROWS, min_support: int = MIN_SUPPORT,
-        min_ratio: float = MIN_RATIO) -> Model:
+def labelled_texts(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+    """(doc_id, text, toxic) of at most ``max_rows`` labels (one per doc_id)."""
+    one = (labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id")
+           .agg(F.max("toxic").cast("int").alias("toxic")))
+    chosen = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")   # max_rows pairs of numbers
+
+
+def fit(labelled: DataFrame, min_support: int = MIN_SUPPORT, min_ratio: float = MIN_RATIO) -> Model:
     """Fit on (doc_id, text, toxic) rows; toxic is 0 or 1."""
     train = staged(labelled.select(F.xxhash64("doc_id").alias("place"), "text", F.col("toxic").cast("int")
                                    .alias("toxic")), "labelled")
@@ -149,7 +158,7 @@ def fit(labelled: DataFrame, max_rows: int = MAX_ROWS, min_support: int = MIN_SU
     scale = np.zeros(BUCKETS)
     scale[counted["bucket"].to_numpy()] = counted["ratio"].to_numpy()
     rows = (train.mapInArrow(_selected(scale), "place long, toxic int, features array<int>")
-            .orderBy("place", "toxic").limit(max_rows).toArrow())
+            .orderBy("place", "toxic").toArrow())
     lists = rows.column("features").combine_chunks()
     y = rows.column("toxic").to_numpy().astype(np.float64)
     weights, intercept = fit_logistic(lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py(),
@@ -177,10 +186,9 @@ def held_out(doc_id: Column) -> Column:
 
 
 def op10_toxicity(spark, sf_dir):
-    docs = relation(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = (relation(spark, sf_dir, "labels").filter("toxic IS NOT NULL AND doc_id IS NOT NULL")
-              .filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    model = fit(docs.join(labels, "doc_id"))
+    docs = relation(spark, sf_dir, "documents")
+    labels = relation(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id")))
+    model = fit(labelled_texts(docs, labels))
     return score(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                                      F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
