@@ -1,6 +1,6 @@
 """Toxicity: a character n-gram linear classifier on naive Bayes ratios.
 
-A text is the set of its hashed character n-grams (3 to 5 characters, lower
+A text is the set of its hashed character n-grams (4 to 6 characters, lower
 case, white space as one blank). Each n-gram is scaled by its naive Bayes
 log-count ratio between toxic and other labelled texts; n-grams whose ratio
 is near zero or whose support is small have scale 0 and drop out. A logistic
@@ -34,11 +34,11 @@ from pyspark.sql import functions as F
 
 from dimledger.llm.common import mix64, relation, staged
 
-SIZES = (3, 4, 5)
-BUCKET_BITS = 19
+SIZES = (4, 5, 6)
+BUCKET_BITS = 20
 BUCKETS = 1 << BUCKET_BITS
-MIN_SUPPORT = 5        # labelled texts that hold an n-gram, at least
-MIN_RATIO = 1.0        # absolute log-count ratio, at least
+MIN_SUPPORT = 8        # labelled texts that hold an n-gram, at least (a 40th of the toxic ones, if those are few)
+MIN_RATIO = 2.0        # absolute log-count ratio, at least
 MAX_ROWS = 40_000      # labelled rows the classifier is fitted on, at most
 SMOOTH = 0.5
 
@@ -110,13 +110,12 @@ class Model:
 
 
 def fit_logistic(offsets: np.ndarray, features: np.ndarray, scale: np.ndarray, y: np.ndarray,
-                 ridge: float = 1e-3, rounds: int = 150) -> tuple[np.ndarray, float]:
+                 ridge: float = 0.1, rounds: int = 200) -> tuple[np.ndarray, float]:
     """Weights of a logistic regression on ``scale``-d 0/1 features (CSR), by
     Adagrad steps over all rows with a ridge penalty."""
     used, columns = np.unique(features, return_inverse=True)
     x = scale[used][columns]
     rows = np.repeat(np.arange(len(y)), np.diff(offsets))
-    # Long texts have many features: unit length keeps steps alike.
     w, b = np.zeros(len(used)), 0.0
     seen_w, seen_b = np.full(len(used), 1e-8), 1e-8
     for _ in range(rounds):
@@ -149,6 +148,7 @@ def fit(labelled: DataFrame, min_support: int = MIN_SUPPORT, min_ratio: float =
     clean, toxic = totals.get(0, 0), totals.get(1, 0)
     if not clean or not toxic:
         return Model(np.zeros(0), 0.0, constant=toxic / max(clean + toxic, 1))
+    min_support = min(min_support, max(3, toxic // 40))
     ratio = F.log((F.col("toxic") + SMOOTH) / (toxic + 2 * SMOOTH)) - F.log(
         (F.col("clean") + SMOOTH) / (clean + 2 * SMOOTH))
     counted = (train.select("text", "toxic").mapInArrow(_count, "bucket int, clean long, toxic long")
