@@ -92,16 +92,16 @@ KNOWN = {
         "3. This notice may not be removed or altered from any source distribution."],
 }
 
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # A line that only says whose copyright it is, after lower-casing.
 NOTICE_LINE = r"(^|\n)[\x20\t#*/;-]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
 # ASCII punctuation and space, no-break space, the Latin-1 copyright signs and quotes, general punctuation.
 PUNCTUATION = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F\x{A0}\x{A9}\x{AB}\x{AE}\x{BB}\x{2000}-\x{206F}]+"
 
 
-def canonical(text: Column) -> Column:
-    """The form in which texts of one licence agree ('' if nothing is left)."""
-    out = F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower())
+def canonical(lowered: Column) -> Column:
+    """The form in which texts of one licence agree ('' if nothing is left), of
+    a text already in lower case."""
+    out = lowered
     # Twice: notices on neighbouring lines share the line break between them.
     for _ in range(2):
         out = F.regexp_replace(out, NOTICE_LINE, "\n")
@@ -111,9 +111,9 @@ def canonical(text: Column) -> Column:
     return F.trim(out)
 
 
-def digest(text: Column) -> Column:
+def digest(lowered: Column) -> Column:
     """SHA-256 of the canonical form; NULL where that is empty."""
-    form = canonical(text)
+    form = canonical(lowered)
     return F.when(form != "", F.sha2(form, 256))
 
 
@@ -122,7 +122,7 @@ def known_licenses(spark: SparkSession, known: dict[str, list[str]] | None = Non
     rows = [F.struct(F.lit(name).alias("license"), F.lit(text).alias("text"))
             for name, texts in (known or KNOWN).items() for text in texts]
     return (spark.range(1).select(F.inline(F.array(*rows)))
-            .select("license", digest(F.col("text")).alias("known_digest"))
+            .select("license", digest(F.lower("text")).alias("known_digest"))
             .groupBy("known_digest").agg(F.min("license").alias("license")))
 
 
@@ -131,7 +131,7 @@ def license_scan(docs: DataFrame, known: dict[str, list[str]] | None = None,
     """One row per document: doc_id, ``digest`` and ``license`` of its entire
     text, and the licences of its lines, sorted (``notices``)."""
     source = docs.select(F.monotonically_increasing_id().alias("row_no"), F.col(id_col).alias("doc_id"),
-                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+                         F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
     text = F.col("text")
     lines = F.transform(F.split(text, "\n"), lambda x: F.struct(F.lit(False).alias("entire"), x.alias("unit")))
     whole = F.struct(F.lit(True).alias("entire"), text.alias("unit"))
@@ -157,7 +157,7 @@ def _sql_text(value: str) -> str:
 
 
 def _sql_canonical(column: str) -> str:
-    out = f"translate(coalesce({column}, ''), '{UPPER}', '{UPPER.lower()}')"
+    out = f"lower(coalesce({column}, ''))"
     for _ in range(2):
         out = f"regexp_replace({out}, {_sql_text(NOTICE_LINE)}, chr(10), 'g')"
     out = f"(' ' || regexp_replace({out}, {_sql_text(PUNCTUATION)}, ' ', 'g') || ' ')"
