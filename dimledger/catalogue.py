@@ -327,7 +327,7 @@ f AS (SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_shipdate, o.o_custke
       FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey)
 SELECT f.*, h.priority, h.effective_from
 FROM f JOIN hist h ON h.client_id = f.client_id
- AND f.l_shipdate BETWEEN h.effective_from AND h.effective_to
+ AND f.l_shipdate >= h.effective_from AND f.l_shipdate < h.effective_to + INTERVAL 1 SECOND
 """
 
 
@@ -1183,7 +1183,7 @@ bl AS (
   GROUP BY 1)
 SELECT l.l_shipdate AS event_dt, own.passport, own.fio, own.phone, 1 AS event_type
 FROM lineitem l
-JOIN own ON own.card_num = l.l_orderkey AND l.l_shipdate BETWEEN own.effective_from AND own.effective_to
+JOIN own ON own.card_num = l.l_orderkey AND l.l_shipdate >= own.effective_from AND l.l_shipdate < own.effective_to + INTERVAL 1 SECOND
 JOIN bl ON bl.passport = own.norm_passport
 WHERE bl.entry_dt < l.l_shipdate
 """

@@ -7,7 +7,6 @@ whole-stage codegen; none is a Python UDF.
 from __future__ import annotations
 
 import datetime as _dt
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,8 +14,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "SENTINEL", "SENTINEL_TS", "ZERO_ID_B64", "TRUE_FLAG_B64", "UNASSIGNED_LABEL",
     "ts_lit", "strip_spaces", "full_name", "default_label", "flag_set", "flag_unset",
-    "normalise_code", "int_code", "day_bounds", "in_window", "nullify_missing",
-    "lenient_timestamp", "changed", "latest_change", "exact_sum",
+    "normalise_code", "int_code", "whole_number", "day_bounds", "in_window", "lenient_timestamp", "exact_sum",
 ]
 
 # Fixed values that must equal the reference's for the same results:
@@ -91,6 +89,13 @@ def int_code(c) -> Column:
     return F.round(c.cast("double")).cast("bigint").cast("string")
 
 
+def whole_number(c) -> Column:
+    """``CAST(x AS INT)`` as the warehouse does it: rounded, as a bigint; text
+    that is no number gives NULL."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.round(c.cast("string").try_cast("double")).cast("bigint")
+
+
 def day_bounds(day) -> tuple[Column, Column]:
     """Half-open ``[day, day + 1)`` as ``timestamp_ntz`` literals (D-24)."""
     if isinstance(day, str):
@@ -104,38 +109,21 @@ def in_window(c, lo: Column, hi: Column) -> Column:
     return (c >= lo) & (c < hi)
 
 
-def nullify_missing(c, markers=("None", "nan", "NaN", "")) -> Column:
-    """Text placeholders for a missing value become a real NULL."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.when(c.isin(*markers), F.lit(None).cast("string")).otherwise(c)
-
-
 def lenient_timestamp(c) -> Column:
     """Parse text to ``timestamp_ntz``; garbage gives NULL (pandas errors='coerce')."""
     c = F.col(c) if isinstance(c, str) else c
     return c.cast("string").try_cast("timestamp_ntz")
 
 
-def changed(left: str, right: str, tracked: list[str]) -> Column:
-    """Any tracked attribute differs, null-safe (value→NULL counts, D-03)."""
-    if not tracked:
-        return F.lit(False)
-    return reduce(lambda a, b: a | b,
-                  [~F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in tracked])
-
-
-def latest_change(*cols) -> Column:
-    """``greatest`` skipping NULLs: create time or a later update time."""
-    return F.greatest(*[F.col(c) if isinstance(c, str) else c for c in cols])
-
-
-def exact_sum(c, scale: int = 2) -> Column:
+def exact_sum(c, scale: int = 6) -> Column:
     """Sum of a money/quantity column that does not depend on row order.
 
     Double addition is not associative, so partial sums on different executors
     can differ in the last bit from run to run. Values are summed as whole
     units of ``10^-scale`` in a long (exact and fast, unlike a widened
     decimal) and returned as double; equal to summing ``decimal(18, scale)``.
+    ``scale`` must cover the column's own decimals; a group beyond the long's
+    range raises (9.2e12 at the default).
     """
     c = F.col(c) if isinstance(c, str) else c
     unit = 10 ** scale

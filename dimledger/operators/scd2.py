@@ -60,15 +60,17 @@ def scd2_merge(hist: DataFrame, snapshot: DataFrame, key: list[str], tracked: li
 
     A new version starts at ``from_col`` of the snapshot row (the source's
     update time) or at ``run_ts``. Closed history rows never enter the join.
-    The snapshot is reduced to one row per key first (latest by ``from_col``,
-    D-35); ``dedupe=False`` skips that when the caller already guarantees it.
+    A NULL ``from_col`` falls back to ``run_ts``. The snapshot is reduced to one
+    row per key first (latest by ``from_col``, then greatest by attributes, so
+    equal times do not open two versions, D-35); ``dedupe=False`` skips that
+    when the caller already guarantees it.
     Running the same snapshot twice gives the same history.
     """
     cols = [*key, *attrs]
     snap = snapshot.select(*cols, *([from_col] if from_col else []))
-    if from_col and dedupe:
-        snap = latest_per_key(snap, key, [from_col, *attrs])
-    stamped = F.col(f"s.{from_col}") if from_col else run_ts
+    if dedupe:
+        snap = latest_per_key(snap, key, [*([from_col] if from_col else []), *attrs])
+    stamped = F.coalesce(F.col(f"s.{from_col}"), run_ts) if from_col else run_ts
 
     open_ = open_rows(hist)
     closed = hist.where(F.col(TO) != _sentinel())
@@ -101,7 +103,7 @@ def scd2_merge(hist: DataFrame, snapshot: DataFrame, key: list[str], tracked: li
                         start.cast("timestamp_ntz").alias(FROM),
                         end.cast("timestamp_ntz").alias(TO),
                         (F.lit(flag) if isinstance(flag, int) else flag).cast("int").alias(DELETED),
-                        F.col("_chg").alias("_chg"))
+                        F.col("_chg").alias("_chg"), F.lit(True).alias("_present"))
 
     chg = F.col("_chg")
     # The existing open row: kept, or closed just before what replaces it.
@@ -113,9 +115,9 @@ def scd2_merge(hist: DataFrame, snapshot: DataFrame, key: list[str], tracked: li
     new = F.when(chg.isin("I", "U"), version("s", new_from, _sentinel(), 0)) \
         .when(chg == "D", version("h", run_ts, _sentinel(), 1))
 
-    # inline turns a NULL element into a row of NULLs; every real version has
-    # an effective_from, so that drops them (no lambda: stays in codegen)
-    merged = j.select(F.inline(F.array(old, new))).where(F.col(FROM).isNotNull())
+    # inline turns an empty slot into a row of NULLs, without the presence
+    # flag (no lambda: stays in codegen)
+    merged = j.select(F.inline(F.array(old, new))).where(F.col("_present")).drop("_present")
     passthrough = closed.select(*cols, FROM, TO, DELETED).withColumn("_chg", F.lit(None).cast("string"))
     out = passthrough.unionByName(merged)
     return out if with_change else out.drop("_chg")
@@ -154,8 +156,10 @@ def pit_join(facts: DataFrame, hist: DataFrame, fact_key: list[str], hist_key: l
              ts: str, cols: list[str], how: str = "inner", method: str = "asof",
              include_deleted: bool = False, bucket: str | None = "hour",
              hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Attach to each fact the ``cols`` of the version valid at ``ts``
-    (``effective_from <= ts <= effective_to``), point in time (D-11).
+    """Attach to each fact the ``cols`` of the version valid at ``ts``, point
+    in time (D-11). A version is valid from ``effective_from`` up to one second
+    after ``effective_to`` (exclusive): versions end a second before the next
+    one starts, and a fact inside that second belongs to the one that ends.
 
     ``method='asof'`` (default) merges facts and versions into one ordered
     stream per key and carries the latest version forward, bucketed by day:
@@ -170,7 +174,7 @@ def pit_join(facts: DataFrame, hist: DataFrame, fact_key: list[str], hist_key: l
                             *cols, F.col(FROM).alias("_vf"), F.col(TO).alias("_vt"))
         cond = reduce(lambda a, b: a & b,
                       [facts[f] == h[f"_hk{i}"] for i, f in enumerate(fact_key)])
-        cond = cond & (facts[ts] >= h["_vf"]) & (facts[ts] <= h["_vt"])
+        cond = cond & (facts[ts] >= h["_vf"]) & (facts[ts] < h["_vt"] + one_second())
         out = facts.join(h, cond, how)
         return out.drop(*[f"_hk{i}" for i in range(len(hist_key))], "_vf", "_vt")
 
@@ -197,7 +201,7 @@ def pit_join(facts: DataFrame, hist: DataFrame, fact_key: list[str], hist_key: l
     # inclusive); among versions starting together the longer one is last.
     stream = carry_last(stream, keys, ["_t", "_tag", "_vt_order"], "_ver", "_match",
                         include_current=True, bucket=bucket, hot=hot)
-    hit = F.col("_match").isNotNull() & (F.col("_t") <= F.col("_match._vt"))
+    hit = F.col("_match").isNotNull() & (F.col("_t") < F.col("_match._vt") + one_second())
     matched = stream.where(F.col("_tag") == 1)
     if how == "inner":
         matched = matched.where(hit)

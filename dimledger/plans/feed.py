@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimledger.functions.columns import (ZERO_ID_B64, default_label, exact_sum, flag_set,
-                                         flag_unset, int_code, normalise_code, ts_lit)
+                                         flag_unset, int_code, normalise_code, ts_lit, whole_number)
 from dimledger.operators.sizing import broadcast_if_small
 from dimledger.operators.relational import (any_level_join, deepest_level_join, exclude,
                                             expand_hierarchy, fill, snapshot_as_of, sum_by)
@@ -165,8 +165,8 @@ def daily_sales(general: DataFrame, items: DataFrame, stores: DataFrame, paths:
          .where(F.col("country") == country))
     sales = (j.groupBy(F.col("date").cast("date").alias("date"), "store", "item_code", "_description",
                        "country", "city", "cat_id", "whs", "whs_i")
-             .agg(F.sum(F.col("kf_quan").cast("int")).alias("quantity"),
-                  F.sum(F.col("kf_curr").cast("int")).alias("item_total")))
+             .agg(F.sum(whole_number("kf_quan")).alias("quantity"),
+                  F.sum(whole_number("kf_curr")).alias("item_total")))
     sales = sales.select("date", F.col("item_code").alias("webcode"),
                          F.col("_description").alias("item_name"),
                          _store_label("store").alias("store"), "quantity", "item_total", "city",
@@ -215,12 +215,12 @@ def abc_feed(stock: DataFrame, skus: DataFrame, sales: DataFrame, ranks: DataFra
     s = stock.join(skus, "items_id")
     s = s.select("webcode", "item_name", "price", F.col("stock").alias("quant"), "city",
                  F.col("store").alias("shop_name"), "category_short", "category_name")
-    s = sum_by(s, keys6, ["price", "quant"], scale=2)
+    s = sum_by(s, keys6, ["price", "quant"], scale=6)
     sl = sales.select("webcode", "item_name", F.col("store").alias("shop_name"),
                       F.col("quantity").cast("double").alias("quantity"),
                       F.col("item_total").cast("double").alias("item_total"), "city")
     if grain == "keys":
-        sl = sum_by(sl, keys4, ["quantity", "item_total"], scale=2)
+        sl = sum_by(sl, keys4, ["quantity", "item_total"], scale=6)
     t = s.join(sl, keys4, "left")
     t = fill(t, {"quantity": 0.0, "item_total": 0.0})
     t = exclude(t, "category_name", excluded, keep_null=True)

@@ -1,5 +1,7 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 
 from dimledger.plans import feed
 
@@ -43,3 +45,10 @@ def test_abc_feed_fan_out_fill_and_ranks(spark):
 
 def test_abc_cutoff():
     assert feed.abc_cutoff("2024-04-01") == int(dt.datetime(2024, 4, 2, 6, tzinfo=dt.timezone.utc).timestamp())
+
+
+def test_sums_keep_decimals_and_casts_round(spark):
+    from dimledger.functions.columns import exact_sum, whole_number
+    df = spark.createDataFrame([(0.125, "1.7"), (0.125, "2.2"), (0.004, "n/a")], "x double, q string")
+    got = df.agg(exact_sum("x").alias("x"), F.sum(whole_number("q")).alias("q")).first()
+    assert got == (0.254, 4)

@@ -125,10 +125,10 @@ def test_pit_join_edges(spark):
         "id int, k string, ts timestamp_ntz")
     for method in ("asof", "range"):
         got = rows(pit_join(facts, hist, ["k"], ["k"], "ts", ["v"], method=method).select("id", "v"))
-        # at effective_from, at effective_to, and in the gap between versions
-        # (v1 ends at D2-1s); before the first version and on a tombstone
-        # nothing matches
-        assert got == [(1, "v1"), (2, "v1"), (4, "v2")], method
+        # at effective_from, at effective_to, and in the last second of a
+        # version (v1 ends at D2-1s, v2 starts at D2); before the first version
+        # and on a tombstone nothing matches
+        assert got == [(1, "v1"), (2, "v1"), (3, "v1"), (4, "v2")], method
     left = rows(pit_join(facts, hist, ["k"], ["k"], "ts", ["v"], how="left").select("id", "v"))
     assert len(left) == 7 and (6, None) in left and (5, None) in left
 
@@ -151,3 +151,11 @@ def test_late_correction_never_overlaps(spark):
     # the source reports a change stamped before the open version's start
     h2 = rows(merge(spark, h1, [("k", "y", "1", D1)], D3))
     assert h2 == [("k", "x", "1", D2, D2, 0), ("k", "y", "1", D2 + SEC, SENTINEL_TS, 0)]
+
+
+def test_merge_keeps_keys_without_a_time_and_opens_one_version_each(spark):
+    h = merge(spark, spark.createDataFrame([], HIST), [("x", "1", "a", None), ("y", "1", "a", D1), ("y", "2", "a", D1)], D2)
+    assert [(r[0], r[1], r[3]) for r in rows(h)] == [("x", "1", D2), ("y", "2", D1)]
+    # without a source time, repeated keys of a snapshot still open one version
+    twice = merge(spark, spark.createDataFrame([], HIST), [("t", "1", "a", None), ("t", "2", "a", None)], D2, from_col=None)
+    assert [(r[0], r[1]) for r in rows(twice)] == [("t", "2")]
