@@ -179,6 +179,10 @@ def pit_join(facts: DataFrame, hist: DataFrame, fact_key: list[str], hist_key: l
         return out.drop(*[f"_hk{i}" for i in range(len(hist_key))], "_vf", "_vt")
 
     fact_cols = facts.columns
+    # A fact without its key matches nothing; all of them would be one key.
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in fact_key])
+    unknown = facts.where(~known)
+    facts = facts.where(known)
     keys = [f"_pk{i}" for i in range(len(fact_key))]
     f_side = facts.select(*[F.col(k).alias(n) for k, n in zip(fact_key, keys)],
                           F.col(ts).alias("_t"), F.lit(1).alias("_tag"),
@@ -207,5 +211,8 @@ def pit_join(facts: DataFrame, hist: DataFrame, fact_key: list[str], hist_key: l
         matched = matched.where(hit)
     elif how != "left":
         raise ValueError("pit_join supports how='inner' or 'left'")
-    return matched.select(*[F.col("_fact")[c].alias(c) for c in fact_cols],
-                          *[F.when(hit, F.col("_match")[c]).alias(c) for c in cols])
+    out = matched.select(*[F.col("_fact")[c].alias(c) for c in fact_cols],
+                         *[F.when(hit, F.col("_match")[c]).alias(c) for c in cols])
+    if how == "left":
+        out = out.unionByName(unknown, allowMissingColumns=True)
+    return out

@@ -6,21 +6,21 @@ facts behind a high-water mark, written so that a rerun is harmless.
   closed to ``closed_on=<run date>``. A run reads only the open partition
   (partition pruning), merges it, stages the result in the shared checkpoint
   folder (cutting the lineage to the table it is about to replace) and
-  replaces the open partition and its own closed partition. Closed history
-  is never read or rewritten again, so the daily cost follows the number of
-  live keys, not the length of the history.
-* Facts are partitioned by load date and a day is replaced as a whole, so
-  loading the same day twice keeps one copy.
-* The watermark is a one-row table written to a new version directory and
-  published last.
+  replaces the open partition and its own closed partition, which keeps what
+  earlier runs of the same day closed. Older closed history is never read or
+  rewritten, so the daily cost follows the number of live keys, not the
+  length of the history.
+* Facts are partitioned by load date and a day is replaced as a whole: by the
+  delivery's rows beyond the watermark of the days *before* it, so that a day
+  delivered again, with more rows or out of order, is complete.
+* The watermark is a table of one row per load date, written to a new version
+  directory and published last.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,10 +28,10 @@ from pyspark.sql import types as T
 from dimledger.functions.columns import SENTINEL, strip_spaces, ts_lit
 from dimledger.operators.scd2 import TO, scd2_merge
 from dimledger.operators.watermark import delta_since, next_watermark, watermark_value
-from dimledger.session import checkpoint_dir
 from dimledger.sources import schemas
 from dimledger.sources.readers import read_daily_csv
-from dimledger.sources.sinks import current_version, new_version_path, publish, write_partition
+from dimledger.sources.sinks import (current_version, new_version_path, publish, read_if_exists,
+                                     replace_partition, staged, write_partition)
 
 __all__ = ["read_current", "read_history", "read_facts", "load_dimension", "load_facts", "daily_fraud_run",
            "ingest_transactions",
@@ -52,9 +52,8 @@ def read_current(spark: SparkSession, root: str, schema: T.StructType | None = N
 def read_history(spark: SparkSession, root: str, schema: T.StructType,
                  open_only: bool = False) -> DataFrame:
     """A dimension history (all versions, or only the open partition)."""
-    try:
-        hist = spark.read.parquet(root)
-    except AnalysisException:  # first load: no table yet
+    hist = read_if_exists(spark, root)
+    if hist is None:  # first load: no table yet
         return spark.createDataFrame([], schema)
     if open_only:
         hist = hist.where(F.col("closed_on") == OPEN_PARTITION)
@@ -68,22 +67,37 @@ def load_dimension(spark: SparkSession, root: str, snapshot: DataFrame, key: lis
     open_rows = read_history(spark, root, history_schema, open_only=True)
     merged = scd2_merge(open_rows, snapshot, key=key, tracked=tracked, attrs=attrs,
                         run_ts=run_ts, from_col=from_col)
-    labelled = merged.withColumn(
-        "closed_on", F.when(F.col(TO) == ts_lit(SENTINEL), F.lit(OPEN_PARTITION))
-        .otherwise(F.lit(run_date.isoformat())))
-    stage = f"{checkpoint_dir(spark).rstrip('/')}/dimledger-stage/{uuid.uuid4().hex}"
-    labelled.write.parquet(stage)
-    write_partition(spark.read.parquet(stage), root, ["closed_on"])
-
-
-def load_facts(spark: SparkSession, fact_root: str, meta_root: str, staged: DataFrame,
+    today = run_date.isoformat()
+    is_open = F.col(TO) == ts_lit(SENTINEL)
+    # Both partitions are replaced by one commit; versions closed by an earlier
+    # run of the day stay, and a replayed run does not add them twice.
+    closed = merged.where(~is_open)
+    table = read_if_exists(spark, root)
+    if table is not None:
+        closed = closed.unionByName(table.where(F.col("closed_on") == today).select(*closed.columns)).distinct()
+    labelled = (merged.where(is_open).withColumn("closed_on", F.lit(OPEN_PARTITION))
+                .unionByName(closed.withColumn("closed_on", F.lit(today))))
+    with staged(labelled) as copy:
+        write_partition(copy, root, ["closed_on"])
+
+
+def load_facts(spark: SparkSession, fact_root: str, meta_root: str, delivery: DataFrame,
                ts_cols: list[str], load_date: _dt.date) -> None:
-    """Append the staged rows newer than the watermark as the ``load_date``
-    partition (replacing it on a rerun), then advance the watermark."""
+    """Make the delivery's rows beyond the watermark of the earlier load dates
+    the ``load_date`` partition, then store this date's watermark.
+
+    The watermark table has a row per load date, so a day delivered again (with
+    more rows, or none) or after a newer day is loaded as if in its turn.
+    """
     meta = read_current(spark, meta_root)
-    delta = delta_since(staged, watermark_value(meta), ts_cols).withColumn("load_date", F.lit(load_date))
-    write_partition(delta, fact_root, ["load_date"])
-    wm = next_watermark(delta, ts_cols, meta)
+    day = F.lit(load_date)
+    earlier = None if meta is None else meta.where(F.col("load_date") < day)
+    delta = delta_since(delivery, watermark_value(earlier), ts_cols)
+    replace_partition(delta, fact_root, "load_date", load_date.isoformat())
+    loaded = spark.read.parquet(f"{fact_root.rstrip('/')}/load_date={load_date.isoformat()}")
+    wm = next_watermark(loaded, ts_cols).withColumn("load_date", day)
+    if meta is not None:
+        wm = wm.unionByName(meta.where(F.col("load_date") != day))
     path = new_version_path(meta_root, load_date)
     wm.coalesce(1).write.mode("overwrite").parquet(path)
     publish(spark, meta_root, path)
@@ -92,10 +106,10 @@ def load_facts(spark: SparkSession, fact_root: str, meta_root: str, staged: Data
 def read_facts(spark: SparkSession, root: str, like: DataFrame) -> DataFrame:
     """A fact table, or an empty frame shaped like ``like`` (plus
     ``load_date``) before anything was loaded into it."""
-    try:
-        return spark.read.parquet(root)
-    except AnalysisException:
+    facts = read_if_exists(spark, root)
+    if facts is None:
         return spark.createDataFrame([], like.withColumn("load_date", F.lit(None).cast("date")).schema)
+    return facts
 
 
 def _upd() -> Column:
@@ -174,7 +188,7 @@ def daily_fraud_run(spark: SparkSession, clients: DataFrame, accounts: DataFrame
     owners = card_owners(clients_h, accounts_h, cards_h, versions="pit")
     report = fraud_report(new, owners, read_facts(spark, f"{root}/fact_passport_blacklist", bl), cities,
                           report_dt=run_ts, history=before)
-    write_report(report, f"{root}/rep_fraud")
+    write_report(report, f"{root}/rep_fraud", run_date)
 
 
 def ingest_transactions(spark: SparkSession, drop_dir: str, warehouse: str, checkpoint: str,
@@ -194,10 +208,10 @@ def ingest_transactions(spark: SparkSession, drop_dir: str, warehouse: str, chec
         day = named.select(F.min("_day")).first()[0]   # one file per batch: one date
         if day is None:
             return
-        staged = named.select(strip_spaces("trans_id").alias("trans_id"), F.col("trans_dt").alias("trans_date"),
+        delivery = named.select(strip_spaces("trans_id").alias("trans_id"), F.col("trans_dt").alias("trans_date"),
                               strip_spaces("card_num").alias("card_num"), "oper_type", "amt", "oper_result",
                               "terminal")
-        load_facts(spark, f"{root}/fact_transactions", f"{root}/meta_transactions", staged,
+        load_facts(spark, f"{root}/fact_transactions", f"{root}/meta_transactions", delivery,
                    ["trans_date"], day)
 
     return ingest_files(spark, drop_dir, schemas.TRANSACTIONS_FILE, checkpoint, load,

@@ -27,7 +27,6 @@ from pyspark.sql import types as T
 
 from dimledger.functions.columns import (ZERO_ID_B64, default_label, exact_sum, flag_set,
                                          flag_unset, int_code, normalise_code, ts_lit, whole_number)
-from dimledger.operators.sizing import broadcast_if_small
 from dimledger.operators.relational import (any_level_join, deepest_level_join, exclude,
                                             expand_hierarchy, fill, snapshot_as_of, sum_by)
 from dimledger.sources.schemas import conform
@@ -73,19 +72,12 @@ FEED_SCHEMA = T.StructType([
 
 
 def category_paths(groups: DataFrame, root_name: str = ROOT_GROUP, depth: int = 3) -> DataFrame:
-    """Distinct (cat_1, cat_2, cat_3) below the named root, as base64 ids.
-
-    The tree table is a plain scan, which the planner sizes correctly from
-    its files, so it needs no check of its own. The paths are a chain of
-    joins, which it cannot size: they carry a broadcast hint when their count
-    is proven small, and frames derived from them by projection, filter or
-    explode (the id set, the deepest level) keep that hint.
-    """
+    """Distinct (cat_1, cat_2, cat_3) below the named root, as base64 ids."""
     root = (F.base64("_parentidrref") == F.lit(ZERO_ID_B64)) & (F.col("_description") == root_name)
     nodes = groups.select("_idrref", "_parentidrref", "_description")
     paths = expand_hierarchy(nodes, "_idrref", "_parentidrref", root, depth=depth)
     # paths are distinct already and base64 is one-to-one
-    return broadcast_if_small(paths.select(*[F.base64(c).alias(c) for c in LEVELS[:depth]]))
+    return paths.select(*[F.base64(c).alias(c) for c in LEVELS[:depth]])
 
 
 def sku_categories(items: DataFrame, skus: DataFrame, paths: DataFrame) -> DataFrame:
@@ -133,7 +125,7 @@ def daily_stock(stock: DataFrame, warehouses: DataFrame, stores: DataFrame, ds=N
     s = stock.where((F.col("country") == country) & F.col("quality").isin(*GOOD_QUALITY))
     if ds is not None:
         s = s.where(_on_day("date", ds))
-    shops = broadcast_if_small(eligible_stores(warehouses, stores, country, excluded_city))
+    shops = eligible_stores(warehouses, stores, country, excluded_city)
     j = s.join(shops, F.col("warehouse_id") == F.col("whs_id"))
     return (j.groupBy(F.col("date").cast("date").alias("date"), "items_id", "store", "city")
             .agg(exact_sum("quant").alias("stock"), exact_sum("price").alias("price"))
@@ -154,12 +146,10 @@ def daily_sales(general: DataFrame, items: DataFrame, stores: DataFrame, paths:
                       & (F.col("opertype") == F.lit(SALE_OPERATION_B64)))
     if ds is not None:
         g = g.where(_on_day("date", ds))
-    # items is a table the planner sizes from its files; the store
-    # dimension may itself be a join, so it is size-checked
     it = items.select(F.base64("_idrref").alias("_item"), "_description",
                       int_code("_fld26454").alias("item_code"),
                       F.base64("_fld2428rref").alias("cat_id")).distinct()
-    st = broadcast_if_small(stores.select("store_id", "store", "city", "country"))
+    st = stores.select("store_id", "store", "city", "country")
     j = (g.join(it, F.col("item") == F.col("_item"), "left")
          .join(st, F.col("shops") == F.col("store_id"), "left")
          .where(F.col("country") == country))
@@ -173,7 +163,6 @@ def daily_sales(general: DataFrame, items: DataFrame, stores: DataFrame, paths:
                          "cat_id")
     deepest = paths.withColumn("_deep", F.coalesce(*[F.col(c) for c in reversed(LEVELS)]))
     deepest = deepest.where(~F.col("_deep").isin(*excluded_categories))
-    # derived from the size-checked paths by projection and filter
     out = deepest_level_join(sales, "cat_id", deepest.select(*LEVELS), LEVELS)
     out = out.where(~F.col("webcode").isin(*excluded_webcodes))
     return out.select("date", "webcode", "item_name", "store", "quantity", "item_total", "city")
@@ -243,13 +232,14 @@ def daily_feed_run(groups: DataFrame, items: DataFrame, skus: DataFrame, general
                    day, out_path: str, root_name: str = ROOT_GROUP,
                    excluded_city: str = EXCLUDED_CITY) -> DataFrame:
     """Build the day's feed from the warehouse tables and replace that day's
-    partition of ``out_path`` (a rerun leaves one copy). Returns the feed."""
-    from dimledger.sources.sinks import write_partition
+    partition (``feed_date``) of ``out_path``: a rerun leaves one copy, or none
+    if the day is now empty. Returns the feed."""
+    from dimledger.sources.sinks import replace_partition
 
     paths = category_paths(groups, root_name=root_name)
     day_stock = daily_stock(stock, warehouses, stores, ds=day, excluded_city=excluded_city)
     day_sales = daily_sales(general, items, stores, paths, ds=day)
     out = abc_feed(day_stock, sku_categories(items, skus, paths), day_sales,
                    abc_snapshot(abc, abc_cutoff(day)), day)
-    write_partition(out, out_path, ["date"])
+    replace_partition(out, out_path, "feed_date", day if isinstance(day, str) else day.isoformat())
     return out

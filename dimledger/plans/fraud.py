@@ -28,9 +28,8 @@ from pyspark.sql import functions as F
 from dimledger.functions.columns import full_name, strip_spaces
 from dimledger.operators.scan import HOT_ROWS, with_previous
 from dimledger.operators.scd2 import DELETED, FROM, TO, current_rows, pit_join
-from dimledger.operators.sizing import broadcast_if_small
 from dimledger.sources.schemas import REPORT, conform
-from dimledger.sources.sinks import write_partition
+from dimledger.sources.sinks import replace_partition, write_partition
 
 __all__ = ["card_owners", "rule_blacklisted", "rule_expired_document", "rule_expired_contract",
            "velocity_rule", "fraud_report", "write_report", "REPORT_COLUMNS"]
@@ -81,20 +80,18 @@ def card_owners(clients: DataFrame, accounts: DataFrame, cards: DataFrame,
     return chain.select(*OWNER_COLUMNS, FROM, TO).withColumn(DELETED, F.lit(0))
 
 
-def _with_owner(txn: DataFrame, owners: DataFrame, pit: bool | None, sized: bool = False) -> DataFrame:
+def _with_owner(txn: DataFrame, owners: DataFrame, pit: bool | None) -> DataFrame:
     """Owner fields per operation: the owner valid at the operation time when
     ``owners`` has validity intervals (``pit=None`` detects it), else by card.
-    ``sized`` says the caller already ran the size check on ``owners``."""
+    The join strategy is left to adaptive execution, which knows the bytes of
+    the owner chain once it is shuffled."""
     t = txn.select("card_num", "trans_date")
     if pit is None:
         pit = FROM in owners.columns
     if pit:
         cols = [c for c in owners.columns if c not in ("card_num", FROM, TO, DELETED)]
         return pit_join(t, owners, ["card_num"], ["card_num"], "trans_date", cols)
-    # The owner chain is a join of dimensions, which the planner cannot size;
-    # when it is proven small the facts stream past it without a shuffle,
-    # otherwise both sides are shuffled on the card.
-    return t.join(owners if sized else broadcast_if_small(owners), "card_num")
+    return t.join(owners, "card_num")
 
 
 def _blacklist_first_entry(blacklist: DataFrame) -> DataFrame:
@@ -157,8 +154,7 @@ def rule_expired_contract(txn: DataFrame, owners: DataFrame, pit: bool | None =
 
 def velocity_rule(txn: DataFrame, terminals: DataFrame, owners: DataFrame,
                   within: str = "1 hour", bucket: str | None = "hour",
-                  hot_rows: int = HOT_ROWS, pit: bool | None = None,
-                  owners_sized: bool = False) -> DataFrame:
+                  hot_rows: int = HOT_ROWS, pit: bool | None = None) -> DataFrame:
     """Type 3: an operation less than ``within`` after the previous operation of
     the same card, in a different city.
 
@@ -173,7 +169,9 @@ def velocity_rule(txn: DataFrame, terminals: DataFrame, owners: DataFrame,
     are looked up only for the few rows that pass the time test; an unknown
     terminal has no city and is never flagged.
     """
-    t = txn.select("trans_id", "trans_date", "card_num", "terminal")
+    # An operation without a card has no owner and is never reported: all of
+    # them would be one key of the window.
+    t = txn.select("trans_id", "trans_date", "card_num", "terminal").where(F.col("card_num").isNotNull())
     t = with_previous(t, ["card_num"], ["trans_date", "trans_id"], ["trans_date", "terminal"],
                       out="_prev", bucket=bucket, hot_rows=hot_rows)
     gap = F.col("trans_date") - F.col("_prev.trans_date")
@@ -192,17 +190,14 @@ def velocity_rule(txn: DataFrame, terminals: DataFrame, owners: DataFrame,
                  .where(F.col("_c1") != F.col("terminal_city"))
                  .select("card_num", "trans_date"))
     else:
-        # The terminal dimension meets the facts: broadcast it when its size
-        # is proven small (the planner's join estimate cannot tell), so the
-        # card partitioning of the window output is kept for the owner join.
-        cities = broadcast_if_small(terminals.select("terminal_id", "terminal_city"))
+        cities = terminals.select("terminal_id", "terminal_city")
         cur = cities.select(F.col("terminal_id").alias("_t1"), F.col("terminal_city").alias("_c1"))
         prev = cities.select(F.col("terminal_id").alias("_t2"), F.col("terminal_city").alias("_c2"))
         moved = (near.join(cur, F.col("terminal") == F.col("_t1"), "left")
                  .join(prev, F.col("_prev.terminal") == F.col("_t2"), "left")
                  .where(F.col("_c1") != F.col("_c2"))
                  .select("card_num", "trans_date"))
-    j = _with_owner(moved, owners, pit, sized=owners_sized)
+    j = _with_owner(moved, owners, pit)
     return _events(j, [(F.lit(True), 3)])
 
 
@@ -224,31 +219,31 @@ def fraud_report(txn: DataFrame, owners: DataFrame, blacklist: DataFrame, termin
     o = _attach_blacklist(owners, blacklist)
     if pit is None:
         pit = FROM in o.columns
-    if not pit:
-        # one size check and one broadcast serve the static rules and the
-        # velocity rule (which reads only the owner columns it needs)
-        o = broadcast_if_small(o)
-    j = _with_owner(txn, o, pit, sized=True)
+    j = _with_owner(txn, o, pit)
     static = _events(j, [
         (F.col("blacklisted_at") < F.col("trans_date"), 1),
         (_expired_document(inclusive_document), 1),
         (F.col("account_valid_to").isNotNull() & (F.col("trans_date") > F.col("account_valid_to")), 2),
     ])
     if history is None:
-        fast = velocity_rule(txn, terminals, o, within=within, pit=pit, owners_sized=True)
+        fast = velocity_rule(txn, terminals, o, within=within, pit=pit)
     else:
         cols = ["trans_id", "trans_date", "card_num", "terminal"]
         first_new = txn.select(F.min("trans_date")).scalar()
         earlier = history.where(F.col("trans_date") >= first_new - F.expr(f"INTERVAL {within}"))
         recent = txn.select(*cols).unionByName(earlier.select(*cols)).distinct()
-        fast = (velocity_rule(recent, terminals, o, within=within, pit=pit, owners_sized=True)
+        fast = (velocity_rule(recent, terminals, o, within=within, pit=pit)
                 .where(F.col("event_dt") >= first_new))
     return (static.unionByName(fast).distinct()
             .withColumn("report_dt", report_dt.cast("timestamp_ntz")))
 
 
-def write_report(report: DataFrame, path: str) -> None:
+def write_report(report: DataFrame, path: str, run_date=None) -> None:
     """Store a report run as the partition of its report date, replacing that
-    day on a rerun (D-10): the reference appended every run instead."""
+    day on a rerun (D-10), also when the rerun has no events if ``run_date``
+    names the day: the reference appended every run instead."""
     out = conform(report, REPORT).withColumn("report_date", F.to_date("report_dt"))
-    write_partition(out, path, ["report_date"])
+    if run_date is None:
+        write_partition(out, path, ["report_date"])
+    else:
+        replace_partition(out, path, "report_date", run_date.isoformat())

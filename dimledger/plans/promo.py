@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from dimledger.functions.columns import day_bounds, in_window, lenient_timestamp
 from dimledger.operators.relational import latest_per_key
-from dimledger.operators.sizing import broadcast_if_small
 from dimledger.sources.schemas import PROMO_STATS, SPEC_STATS, conform
 from dimledger.sources.sinks import expire
 
@@ -53,22 +52,20 @@ def promo_state(coupons: DataFrame, ops: DataFrame, day) -> DataFrame:
     ``used``. The day is the half-open ``[day, day + 1)`` (D-24).
 
     The coupon table is large and scanned whole; one day of operations is
-    small. Both joins therefore stream the coupons against a broadcast of the
-    day's operations (size-checked), so the coupon table is never shuffled.
-    The operation → coupon lookup is an inner join: an operation on an
+    small. Adaptive execution broadcasts the day's operations where their bytes
+    allow it, so the coupon table need not be shuffled. The operation → coupon lookup is an inner join: an operation on an
     unknown coupon can only be a cancellation, which the final join from the
     coupon side drops anyway.
     """
     lo, hi = day_bounds(day)
-    day_ops = broadcast_if_small(
-        ops.where(in_window("updated", lo, hi)).select("op_id", "coupon_id", "status", "updated", "user_id"))
+    day_ops = ops.where(in_window("updated", lo, hi)).select("op_id", "coupon_id", "status", "updated", "user_id")
     o = coupons.select("coupon_id", "active").join(day_ops, "coupon_id")
     attempts = o.where(F.col("status").isin(USED, ABORTED) & (F.col("active") == F.lit(True)))
     last = latest_per_key(attempts, ["coupon_id", "user_id"], ["updated", "op_id"])
     kept = (o.where(F.col("status") == CANCELED)
             .unionByName(last.where(F.col("status") == USED))
             .select("coupon_id", "status", "updated"))
-    p = coupons.join(broadcast_if_small(kept), "coupon_id", "left")
+    p = coupons.join(kept, "coupon_id", "left")
     start, end, upd = lenient_timestamp("start"), lenient_timestamp("end"), lenient_timestamp("updated")
     p = p.where(in_window(start, lo, hi) | in_window(upd, lo, hi))
     return conform(p.select(F.col("coupon_id").alias("promocode_id"), "code", "specification_id",
@@ -87,8 +84,10 @@ def daily_promo_run(spark, coupons: DataFrame, ops: DataFrame, specs: DataFrame,
                     stats_root: str, spec_root: str, created_from: Column) -> None:
     """One day of the promo tables, rerun-safe.
 
-    * the day's promo states replace the ``load_date=<day>`` partition of
-      ``stats_root`` (D-25: a rerun leaves one copy);
+    * the day's states of the promos of recent specifications (created since
+      ``created_from``) replace the ``load_date=<day>`` partition of
+      ``stats_root`` (D-25: a rerun leaves one copy, or none if the day is now
+      empty); promos that a later run marked ``expired`` stay so;
     * promos that end on ``day`` and were never used become ``expired``; only
       the partitions holding such rows are rewritten, staged through the
       checkpoint folder because the table is read and written by one job;
@@ -96,33 +95,31 @@ def daily_promo_run(spark, coupons: DataFrame, ops: DataFrame, specs: DataFrame,
       published.
     """
     import datetime as _dt
-    import uuid
 
-    from pyspark.errors import AnalysisException
-
-    from dimledger.session import checkpoint_dir
-    from dimledger.sources.sinks import new_version_path, publish, write_partition
+    from dimledger.sources.sinks import (new_version_path, publish, read_if_exists, replace_partition, staged,
+                                         write_partition)
 
     if isinstance(day, str):
         day = _dt.date.fromisoformat(day)
-    state = promo_state(coupons, ops, day).withColumn("load_date", F.lit(day))
-    write_partition(state, stats_root, ["load_date"])
+    recent = specs_since(specs, created_from)
+    state = promo_state(coupons_of(coupons, recent), ops, day)
+    before = read_if_exists(spark, f"{stats_root.rstrip('/')}/load_date={day.isoformat()}")
+    if before is not None:
+        gone = before.where(F.col("status") == EXPIRED).select("promocode_id", F.lit(EXPIRED).alias("_was")).distinct()
+        state = (state.join(gone, "promocode_id", "left")
+                 .withColumn("status", F.coalesce("status", "_was")).drop("_was"))
+    with staged(state) as copy:
+        replace_partition(copy, stats_root, "load_date", day.isoformat())
 
     table = spark.read.parquet(stats_root)
     lo, hi = F.lit(day), F.lit(day + _dt.timedelta(days=1))
     due = (F.col("end_date") >= lo) & (F.col("end_date") < hi) & F.col("status").isNull()
     touched = table.where(due).select("load_date").distinct()
     rewritten = expire_status(table.join(touched, "load_date", "left_semi"), lo, hi)
-    stage = f"{checkpoint_dir(spark).rstrip('/')}/dimledger-stage/{uuid.uuid4().hex}"
-    rewritten.write.parquet(stage)
-    try:
-        staged = spark.read.parquet(stage)
-    except AnalysisException:  # nothing to expire today
-        staged = None
-    if staged is not None:
-        write_partition(staged, stats_root, ["load_date"])
-
-    totals = spec_stats(coupons, specs_since(specs, created_from))
+    with staged(rewritten) as copy:
+        write_partition(copy, stats_root, ["load_date"])
+
+    totals = spec_stats(coupons, recent)
     path = new_version_path(spec_root, day)
     totals.write.mode("overwrite").parquet(path)
     publish(spark, spec_root, path)

@@ -17,10 +17,16 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-__all__ = ["write_partition", "append", "overwrite", "replace_window", "expire",
+from dimledger.session import checkpoint_dir
+
+__all__ = ["write_partition", "replace_partition", "read_if_exists", "staged", "append", "overwrite", "replace_window", "expire",
            "new_version_path", "publish", "current_version"]
 
 
@@ -30,6 +36,37 @@ def write_partition(df: DataFrame, path: str, partition_cols: list[str], fmt: st
      .partitionBy(*partition_cols).format(fmt).save(path))
 
 
+def replace_partition(df: DataFrame, path: str, col: str, value) -> None:
+    """Make ``df`` the whole content of the partition ``col=value``, also when it
+    has no rows (a dynamic overwrite would leave the old ones). ``df`` must not
+    read the partition it replaces; see ``staged``."""
+    df.drop(col).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{col}={value}")
+
+
+def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None where nothing was written yet. Any other
+    failure (permissions, storage, a damaged file) is raised: it must not look
+    like a first run."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+@contextmanager
+def staged(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` written to the shared checkpoint folder, for a table that is
+    replaced from itself; the copy is removed once the block succeeded."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/dimledger-stage/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    yield spark.read.schema(df.schema).parquet(path)
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def append(df: DataFrame, path: str, partition_cols: list[str] | None = None,
            fmt: str = "parquet") -> None:
     w = df.write.mode("append").format(fmt)
@@ -78,9 +115,8 @@ def publish(spark: SparkSession, root: str, version_path: str) -> None:
 
 def current_version(spark: SparkSession, root: str) -> str | None:
     """The last published version directory of ``root``, or None before the first run."""
-    try:
-        pointers = spark.read.parquet(f"{root.rstrip('/')}/_versions")
-    except Exception:  # no pointer table yet
+    pointers = read_if_exists(spark, f"{root.rstrip('/')}/_versions")
+    if pointers is None:
         return None
     last = pointers.orderBy(F.col("published_at").desc(), F.col("path").desc()).first()
     return last["path"] if last else None

@@ -41,3 +41,23 @@ def test_daily_feed_run_replaces_its_day(spark, scratch):
     got = spark.read.parquet(out)
     assert got.count() == expected
     assert got.select(F.countDistinct("date")).first()[0] in (0, 1)
+
+
+def test_promo_run_keeps_old_specs_out_and_expiry_through_a_rerun(spark, scratch):
+    stats, specs_root = os.path.join(scratch, "stats2"), os.path.join(scratch, "specs2")
+    old = spark.createDataFrame([("s1", "Old", dt.datetime(2020, 1, 1))],
+                                "specification_id string, title string, created timestamp_ntz")
+    cut = F.lit(dt.datetime(2022, 1, 1)).cast("timestamp_ntz")
+    promo.daily_promo_run(spark, coupons(spark), ops(spark), old, DAY, stats, specs_root, cut)
+    assert spark.read.parquet(stats).where("specification_id = 's1'").count() == 0
+
+    specs = spark.createDataFrame([("s1", "Spring", dt.datetime(2023, 1, 1)), ("s2", "Old", dt.datetime(2023, 1, 1))],
+                                  "specification_id string, title string, created timestamp_ntz")
+    run = lambda day: promo.daily_promo_run(
+        spark, coupons(spark), ops(spark), specs, day, stats, specs_root, cut)
+    run(DAY)
+    run(dt.date(2024, 6, 1))       # c_new ends on this day, unused
+    before = sorted((r.promocode_id, r.status or "") for r in spark.read.parquet(stats).collect())
+    assert ("c_new", "expired") in before
+    run(DAY)       # an older day again: what expired later stays expired
+    assert sorted((r.promocode_id, r.status or "") for r in spark.read.parquet(stats).collect()) == before

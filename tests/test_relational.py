@@ -106,29 +106,6 @@ def test_watermark_rules(spark):
     assert ts_lit("2024-01-01") is not None
 
 
-def test_broadcast_only_within_the_bound(spark):
-    import contextlib
-    import io
-
-    from dimledger.operators.sizing import broadcast_if_small
-
-    def plan(df):
-        buf = io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            df.explain()
-        return buf.getvalue()
-
-    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # only explicit hints broadcast
-    try:
-        facts = spark.range(1000).withColumnRenamed("id", "k")
-        dim = spark.range(10).withColumnRenamed("id", "k")
-        assert "BroadcastHashJoin" in plan(facts.join(broadcast_if_small(dim, max_rows=10), "k"))
-        assert "BroadcastHashJoin" not in plan(facts.join(broadcast_if_small(dim, max_rows=9), "k"))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
-
-
 def test_preview_and_union_all(spark):
     from dimledger.operators.relational import preview, union_all
     a = spark.createDataFrame([(i, "a") for i in range(30)], "k int, src string")

@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -8,7 +9,9 @@ from dimledger.functions.columns import ts_lit
 from dimledger.plans.bank import load_dimension, load_facts, read_current, read_history
 from dimledger.sources import schemas
 from dimledger.sources.readers import daily_file_name, read_daily_csv
-from dimledger.sources.sinks import current_version, publish, replace_window, write_partition
+from dimledger.session import checkpoint_dir
+from dimledger.sources.sinks import (current_version, publish, replace_partition, replace_window,
+                                     write_partition)
 from dimledger.sources.schemas import conform
 from dimledger.streaming import ingest_files
 from dimledger.streaming.ingest import batch_partition_writer
@@ -82,7 +85,70 @@ def test_fact_load_is_rerun_safe(spark, scratch):
     load_facts(spark, facts, meta, staged, ["trans_dt"], dt.date(2024, 3, 5))
     load_facts(spark, facts, meta, staged, ["trans_dt"], dt.date(2024, 3, 5))
     assert spark.read.parquet(facts).count() == 2
-    assert rows(read_current(spark, meta)) == [(t + dt.timedelta(hours=1),)]
+    assert rows(read_current(spark, meta)) == [(t + dt.timedelta(hours=1), dt.date(2024, 3, 5))]
+
+
+T = "trans_id string, trans_dt timestamp_ntz"
+
+
+def test_redelivered_late_and_empty_days_are_complete(spark, scratch):
+    facts, meta = os.path.join(scratch, "facts"), os.path.join(scratch, "meta")
+    d1, d2 = dt.date(2024, 3, 1), dt.date(2024, 3, 2)
+
+    def at(day, hour):
+        return dt.datetime(day.year, day.month, day.day, hour)
+
+    def load(day, data):
+        load_facts(spark, facts, meta, spark.createDataFrame(data, T), ["trans_dt"], day)
+        return sorted(r.trans_id for r in spark.read.parquet(facts).collect())
+
+    assert load(d2, [("c", at(d2, 9))]) == ["c"]
+    # a file of an older day arrives after a newer one
+    assert load(d1, [("a", at(d1, 9)), ("b", at(d1, 10))]) == ["a", "b", "c"]
+    # the day is delivered again with one more row, then with none
+    assert load(d2, [("b", at(d1, 10)), ("c", at(d2, 9)), ("d", at(d2, 8))]) == ["a", "b", "c", "d"]
+    assert load(d2, []) == ["a", "b"]
+    assert load(d2, [("c", at(d2, 9))]) == ["a", "b", "c"]
+
+
+def test_two_runs_of_a_day_keep_what_each_closed(spark, scratch):
+    hist_schema = schemas.with_history_columns(schemas.TERMINALS_FILE)
+    root = os.path.join(scratch, "dim")
+    names = schemas.TERMINALS_FILE.fieldNames()
+    attrs = names[1:]
+    day, nxt = dt.date(2024, 3, 5), dt.date(2024, 3, 6)
+
+    def load(cities, when):
+        snap = spark.createDataFrame([tuple([k, *[city] * len(attrs)]) for k, city in cities.items()], schemas.TERMINALS_FILE)
+        load_dimension(spark, root, snap, key=[names[0]], tracked=attrs, attrs=attrs, run_ts=ts_lit(when),
+                       run_date=when, history_schema=hist_schema)
+
+    load({"x": "1", "y": "1"}, day)
+    load({"x": "2", "y": "1"}, nxt)
+    load({"x": "2", "y": "2"}, nxt)
+    load({"x": "2", "y": "2"}, nxt)
+    got = sorted((r[names[0]], r[attrs[0]]) for r in read_history(spark, root, hist_schema).collect())
+    assert got == [("x", "1"), ("x", "2"), ("y", "1"), ("y", "2")]
+    assert not os.listdir(os.path.join(checkpoint_dir(spark), "dimledger-stage"))
+
+
+def test_storage_errors_are_not_a_first_run(spark, scratch):
+    bad = os.path.join(scratch, "bad")
+    os.makedirs(bad)
+    with open(os.path.join(bad, "part-0.parquet"), "w") as f:
+        f.write("this is no parquet file")
+    with pytest.raises(Exception):
+        read_history(spark, bad, schemas.TERMINALS_FILE)
+    assert read_history(spark, os.path.join(scratch, "none"), schemas.TERMINALS_FILE).count() == 0
+
+
+def test_replace_partition_with_nothing(spark, scratch):
+    path = os.path.join(scratch, "t")
+    df = spark.createDataFrame([(1, "a")], "x int, d string")
+    replace_partition(df, path, "d", "2024-01-01")
+    replace_partition(df, path, "d", "2024-01-02")
+    replace_partition(df.limit(0), path, "d", "2024-01-01")
+    assert [str(r.d) for r in spark.read.parquet(path).collect()] == ["2024-01-02"]
 
 
 def test_ingest_files_once(spark, scratch):
