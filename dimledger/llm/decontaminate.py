@@ -306,20 +306,29 @@ def search(items: Items, idf: np.ndarray, basis: np.ndarray, cosine: float, shar
                 rows, latent = project(p[cut], t[cut], v[cut], basis)
                 norm = np.linalg.norm(latent, axis=1, keepdims=True)
                 cosines = (latent / np.maximum(norm, 1e-12)) @ queries.T
-                for r, i in zip(*np.nonzero(cosines >= cosine), strict=True):
-                    passage = int(rows[r])
-                    d, item = int(doc[passage]), items.codes[i]
-                    if found.get((d, int(i)), (0, 0))[0] == len(item):
+                r, i = np.nonzero(cosines >= cosine)
+                order = np.lexsort((r, i))
+                r, i = r[order], i[order]
+                d, at = doc[rows[r]], begin[rows[r]]
+                # Neighbouring passages of a document are one place to look at.
+                starts = np.flatnonzero(np.concatenate([[True], (i[1:] != i[:-1]) | (d[1:] != d[:-1])
+                                                        | (at[1:] - at[:-1] > WINDOW)])) if len(r) else r
+                lasts = np.append(starts[1:], len(r)) - 1
+                peaks = np.maximum.reduceat(cosines[r, i], starts) if len(r) else r
+                for doc_no, item_no, low, high, peak in zip(d[starts].tolist(), i[starts].tolist(), at[starts].tolist(),
+                                                            at[lasts].tolist(), peaks.tolist(), strict=True):
+                    item, known = items.codes[item_no], found.get((doc_no, item_no), (0, 0))[0]
+                    if known == len(item):
                         continue
-                    length, at = best_stretch(item, members[i], rare[i], codes[d], int(begin[passage]) - len(item),
-                                              int(begin[passage]) + WINDOW, enough[i], rare_enough[i])
-                    if length < enough[i] or length <= found.get((d, int(i)), (0, 0))[0]:
+                    length, place = best_stretch(item, members[item_no], rare[item_no], codes[doc_no],
+                                                 low - len(item), high + WINDOW, enough[item_no], rare_enough[item_no])
+                    if length < enough[item_no] or length <= known:
                         continue
-                    answer = items.answers[i]
-                    around = codes[d][max(0, at - len(item)):at + 3 * len(item)]
+                    answer = items.answers[item_no]
+                    around = codes[doc_no][max(0, place - len(item)):place + 3 * len(item)]
                     if len(answer) and lcs(answer, around) < np.ceil(0.8 * len(answer)):
                         continue
-                    found[(d, int(i))] = (length, float(cosines[r, i]))
+                    found[(doc_no, item_no)] = (length, peak)
             doc_ids = batch.column("doc_id").to_pylist()
             links = [(doc_ids[d], items.ids[i], cos, length, len(items.codes[i]))
                      for (d, i), (length, cos) in sorted(found.items())]
