@@ -720,7 +720,7 @@ def feed_stock(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(
         F.base64(_bin("P", "l_partkey")).alias("items_id"),
         F.base64(_bin("W", "l_suppkey")).alias("warehouse_id"),
-        F.col("l_quantity").alias("quant"), F.col("l_extendedprice").alias("price"),
+        (F.col("l_quantity") * 0.125).alias("quant"), F.col("l_extendedprice").alias("price"),
         F.trunc("l_shipdate", "month").alias("date"),
         F.when(F.col("l_returnflag") == "R", F.lit("UZ")).otherwise(F.lit("KZ")).alias("country"),
         F.when(F.col("l_discount") > 0.08, F.lit("B")).when(F.col("l_linestatus") == "O", F.lit("N"))
@@ -733,8 +733,8 @@ def feed_general(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
     return j.select(
         F.base64(_bin("P", "l_partkey")).alias("item"),
         F.base64(_bin("N", "s_nationkey")).alias("shops"),
-        F.col("l_quantity").cast("bigint").cast("string").alias("kf_quan"),
-        F.round("l_extendedprice").cast("bigint").cast("string").alias("kf_curr"),
+        F.col("l_quantity").cast("string").alias("kf_quan"),
+        F.col("l_extendedprice").cast("string").alias("kf_curr"),
         F.when(F.col("l_returnflag") == "A", zero).otherwise(one).alias("post"),
         F.when(F.col("l_returnflag") == "R", one).otherwise(zero).alias("delete"),
         F.when(F.col("l_discount") == 0, F.lit(None).cast("string")).otherwise(zero).alias("b2bflag"),
@@ -822,82 +822,42 @@ paths AS (
 catkey AS (
   SELECT p.*, encode(CASE WHEN p_size <= 25 THEN 'N' || CAST(p_size - 1 AS VARCHAR)
                           ELSE 'S' || CAST(p_size * 2 AS VARCHAR) END) AS ck FROM part p),
-items AS (SELECT encode('P' || CAST(p_partkey AS VARCHAR)) AS _idrref, p_name AS _description,
-                 CAST(p_partkey AS DOUBLE) AS _fld26454, ck AS _fld2428rref FROM catkey),
-skus AS (SELECT CAST(p_partkey AS VARCHAR) AS zitemsn_n_wc,
-                CASE WHEN p_brand = 'Brand#1' THEN '' ELSE p_brand END AS directortxt,
-                p_type AS categtxt, to_base64(ck) AS categ_id FROM catkey),
-stores AS (
-  SELECT to_base64(encode('N' || CAST(n_nationkey AS VARCHAR))) AS store_id,
-         CAST(n_nationkey AS VARCHAR) AS store_code, 'Магазин ' || n_name AS store, n_name AS city,
-         CASE WHEN r_name IN ('ASIA', 'EUROPE') THEN 'KZ' ELSE 'US' END AS country
-  FROM nation JOIN region ON n_regionkey = r_regionkey),
-wh AS (SELECT encode('W' || CAST(s_suppkey AS VARCHAR)) AS _idrref,
-              encode('N' || CAST(s_nationkey AS VARCHAR)) AS _fld30704rref,
-              CASE WHEN s_acctbal > 0 THEN unhex('01') ELSE unhex('00') END AS _fld25076 FROM supplier),
-stock AS (
-  SELECT to_base64(encode('P' || CAST(l_partkey AS VARCHAR))) AS items_id,
-         to_base64(encode('W' || CAST(l_suppkey AS VARCHAR))) AS warehouse_id,
-         l_quantity AS quant, l_extendedprice AS price, CAST(date_trunc('month', l_shipdate) AS DATE) AS date,
-         CASE WHEN l_returnflag = 'R' THEN 'UZ' ELSE 'KZ' END AS country,
-         CASE WHEN l_discount > 0.08 THEN 'B' WHEN l_linestatus = 'O' THEN 'N' ELSE '' END AS quality
-  FROM lineitem),
-general AS (
-  SELECT to_base64(encode('P' || CAST(l_partkey AS VARCHAR))) AS item,
-         to_base64(encode('N' || CAST(s_nationkey AS VARCHAR))) AS shops,
-         CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS kf_quan,
-         CAST(CAST(round(l_extendedprice) AS BIGINT) AS VARCHAR) AS kf_curr,
-         CASE WHEN l_returnflag = 'A' THEN 'AA==' ELSE 'AQ==' END AS post,
-         CASE WHEN l_returnflag = 'R' THEN 'AQ==' ELSE 'AA==' END AS "delete",
-         CASE WHEN l_discount = 0 THEN NULL ELSE 'AA==' END AS b2bflag,
-         CASE WHEN l_linestatus = 'O' THEN to_base64(unhex('{SALE_HEX}')) ELSE 'AA==' END AS opertype,
-         CAST(date_trunc('month', l_shipdate) AS DATE) AS date,
-         to_base64(encode('W' || CAST(l_suppkey AS VARCHAR))) AS whs,
-         CAST(l_linenumber AS VARCHAR) AS whs_i
-  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey),
-codes AS (SELECT DISTINCT zitemsn_n_wc, directortxt, categtxt, categ_id FROM skus),
+-- What the feed means in the test tables' own keys; text labels are made last.
+asia_nation AS (
+  SELECT n_nationkey AS nk FROM nation WHERE n_regionkey IN (SELECT r_regionkey FROM region WHERE r_name = 'ASIA')),
+asia_supplier AS (SELECT s_suppkey AS sk, s_nationkey AS nk FROM supplier SEMI JOIN asia_nation ON s_nationkey = nk),
+goods AS (
+  SELECT p_partkey AS pk, p_name, p_brand, p_type, CAST(p_partkey AS VARCHAR) AS code,
+         -- a nation with suppliers below it is no end of a path
+         p_size > 25 OR p_size - 1 NOT IN (SELECT nk FROM asia_supplier) AS at_end
+  FROM part
+  WHERE CASE WHEN p_size > 25 THEN p_size * 2 IN (SELECT sk FROM asia_supplier)
+             ELSE p_size - 1 IN (SELECT nk FROM asia_nation) END),
+kz_nation AS (
+  SELECT n_nationkey AS nk, n_name FROM nation JOIN region ON n_regionkey = r_regionkey
+  WHERE r_name IN ('ASIA', 'EUROPE')),
+line AS (
+  SELECT l.*, s_acctbal, n_name, CAST(date_trunc('month', l_shipdate) AS DATE) AS month
+  FROM lineitem l, supplier, kz_nation WHERE l_suppkey = s_suppkey AND s_nationkey = nk),
 sku AS (
-  SELECT DISTINCT coalesce(nullif(k.directortxt, ''), 'Не присвоено') AS category_short,
-         i._description AS item_name, to_base64(i._idrref) AS items_id,
-         CAST(CAST(i._fld26454 AS BIGINT) AS VARCHAR) AS webcode, k.categtxt AS category_name
-  FROM items i
-  JOIN codes k ON CAST(TRY_CAST(i._fld26454 AS DECIMAL(38,0)) AS VARCHAR)
-                = CAST(TRY_CAST(k.zitemsn_n_wc AS DECIMAL(38,0)) AS VARCHAR)
-  WHERE EXISTS (SELECT 1 FROM paths p WHERE k.categ_id IN (p.cat_1, p.cat_2, p.cat_3))),
-eligible AS (
-  SELECT st.store_id, replace(st.store, 'Магазин ', '') AS store, st.city, to_base64(w._idrref) AS whs_id
-  FROM stores st
-  JOIN wh w ON to_base64(w._fld30704rref) = st.store_id AND to_base64(w._fld25076) = 'AQ=='
-  WHERE st.country = 'KZ' AND st.city <> '{FEED_EXCLUDED_CITY}'),
+  SELECT CASE p_brand WHEN 'Brand#1' THEN 'Не присвоено' ELSE p_brand END AS category_short, p_name AS item_name,
+         to_base64(encode('P' || code)) AS items_id, code AS webcode, p_type AS category_name FROM goods),
 stk AS (
-  SELECT s.date, s.items_id, CAST(sum(CAST(s.quant AS DECIMAL(18,2))) AS DOUBLE) AS stock,
-         CAST(sum(CAST(s.price AS DECIMAL(18,2))) AS DOUBLE) AS price, e.store, e.city
-  FROM stock s JOIN eligible e ON s.warehouse_id = e.whs_id
-  WHERE s.country = 'KZ' AND (s.quality = 'N' OR s.quality = '')
-  GROUP BY s.date, s.items_id, e.store, e.city),
-item_dim AS (
-  SELECT DISTINCT to_base64(_idrref) AS item_b64, _description,
-         CAST(CAST(_fld26454 AS BIGINT) AS VARCHAR) AS item_code, to_base64(_fld2428rref) AS cat_id
-  FROM items),
-sold AS (
-  SELECT * FROM general
-  WHERE post = 'AQ==' AND "delete" <> 'AQ==' AND b2bflag <> 'AQ==' AND item IS NOT NULL
-    AND opertype = 'kE3odS6MJUhDNPleoFllIg=='),
-sales0 AS (
-  SELECT s.date, d.item_code AS webcode, d._description AS item_name,
-         replace(st.store, 'Магазин ', '') AS store,
-         CAST(sum(CAST(s.kf_quan AS INT)) AS BIGINT) AS quantity,
-         CAST(sum(CAST(s.kf_curr AS INT)) AS BIGINT) AS item_total, st.city, d.cat_id
-  FROM sold s
-  JOIN stores st ON st.store_id = s.shops AND st.country = 'KZ'
-  LEFT JOIN item_dim d ON d.item_b64 = s.item
-  GROUP BY s.date, st.store, st.city, d.item_code, d._description, d.cat_id, s.whs, s.whs_i),
-leaves AS (SELECT coalesce(cat_3, cat_2, cat_1) AS leaf FROM paths),
+  SELECT month AS date, to_base64(encode('P' || CAST(l_partkey AS VARCHAR))) AS items_id, stock, price,
+         n_name AS store, n_name AS city
+  FROM (SELECT month, l_partkey, n_name, CAST(sum(CAST(l_quantity * 0.125 AS DECIMAL(18,6))) AS DOUBLE) AS stock,
+               CAST(sum(CAST(l_extendedprice AS DECIMAL(18,6))) AS DOUBLE) AS price
+        FROM line
+        WHERE s_acctbal > 0 AND l_returnflag <> 'R' AND l_discount <= 0.08 AND n_name <> '{FEED_EXCLUDED_CITY}'
+        GROUP BY ALL)),
 sales AS (
-  SELECT s.date, s.webcode, s.item_name, s.store, s.quantity, s.item_total, s.city
-  FROM sales0 s JOIN leaves ON leaves.leaf = s.cat_id
-  WHERE leaves.leaf NOT IN ('AccComp Программное обеспечение', 'AccComp Медиа Сервисы')
-    AND s.webcode NOT IN ('216158', '62763', '108285'))"""
+  SELECT month AS date, code AS webcode, p_name AS item_name, n_name AS store, quantity, item_total, n_name AS city
+  FROM (SELECT month, l_partkey, n_name, l_suppkey, l_linenumber, CAST(sum(round(l_quantity)) AS BIGINT) AS quantity,
+               CAST(sum(round(l_extendedprice)) AS BIGINT) AS item_total
+        FROM line WHERE l_returnflag NOT IN ('A', 'R') AND l_discount <> 0 AND l_linestatus = 'O'
+        GROUP BY ALL)
+  JOIN goods ON l_partkey = pk
+  WHERE at_end AND pk NOT IN (216158, 62763, 108285))"""
 
 
 @query("expand_hierarchy", f"WITH {SQL_FEED_CTE} SELECT * FROM paths")
@@ -960,8 +920,8 @@ ranks AS (
   FROM abc WHERE "timestamp" = (SELECT max("timestamp") FROM abc WHERE "timestamp" <= {feed.abc_cutoff(FEED_DAY)})),
 st6 AS (
   SELECT webcode, item_name, city, store AS shop_name, category_short, category_name,
-         coalesce(CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE), 0.0) AS price,
-         coalesce(CAST(sum(CAST(stock AS DECIMAL(18,2))) AS DOUBLE), 0.0) AS quant
+         coalesce(CAST(sum(CAST(price AS DECIMAL(18,6))) AS DOUBLE), 0.0) AS price,
+         coalesce(CAST(sum(CAST(stock AS DECIMAL(18,6))) AS DOUBLE), 0.0) AS quant
   FROM stk JOIN sku USING (items_id)
   WHERE stk.date = DATE '{FEED_DAY}' AND webcode IS NOT NULL AND item_name IS NOT NULL
     AND city IS NOT NULL AND store IS NOT NULL AND category_short IS NOT NULL
