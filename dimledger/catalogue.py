@@ -12,6 +12,8 @@ DuckDB SQL over the same parquet files giving the same rows.
 from __future__ import annotations
 
 import datetime as _dt
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +26,8 @@ from dimledger.operators.relational import (anti_join, any_level_join, exclude,
                                             null_safe_join, profile, snapshot_as_of, sum_by)
 from dimledger.operators.scd2 import pit_join, scd2_history, scd2_merge
 from dimledger.operators.watermark import delta_since, next_watermark, watermark_value
-from dimledger.plans import feed, fraud, promo
+from dimledger.plans import bank, feed, fraud, promo
+from dimledger.session import checkpoint_dir
 from dimledger.sources.readers import sql_query
 from dimledger.sources.sinks import replace_window
 
@@ -614,16 +617,42 @@ def q_fill_normalise(spark, d):
 
 
 @query("replace_window", """
-SELECT o_orderkey, o_custkey, o_totalprice, CAST(o_orderdate AS DATE) AS load_date FROM orders
-WHERE CAST(o_orderdate AS DATE) <= DATE '1999-01-04'
+SELECT o_orderkey, o_custkey,
+       CASE WHEN CAST(o_orderdate AS DATE) = DATE '1999-01-04' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
+       CAST(o_orderdate AS DATE) AS load_date
+FROM orders
+WHERE CAST(o_orderdate AS DATE) < DATE '1999-01-04'
+   OR (CAST(o_orderdate AS DATE) = DATE '1999-01-04' AND o_orderstatus <> 'P')
 """)
 def q_replace_window(spark, d):
-    """Orders loaded through 1999-01-04, then 1999-01-04 loaded again."""
-    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice",
+    """Orders loaded through 1999-01-04, then that day loaded again with other
+    prices and without its pending orders."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus",
                                          F.col("o_orderdate").cast("date").alias("load_date"))
     day = _dt.date(1999, 1, 4)
-    loaded = o.where(F.col("load_date") <= F.lit(day))
-    return replace_window(loaded, o.where(F.col("load_date") == F.lit(day)), "load_date", [day])
+    loaded = o.where(F.col("load_date") <= F.lit(day)).drop("o_orderstatus")
+    again = (o.where((F.col("load_date") == F.lit(day)) & (F.col("o_orderstatus") != "P"))
+             .withColumn("o_totalprice", F.col("o_totalprice") * 2).drop("o_orderstatus"))
+    return replace_window(loaded, again, "load_date", [day])
+
+
+@query("fact_reload", """
+SELECT o_orderkey, o_custkey, o_orderdate,
+       CASE WHEN o_orderdate <= TIMESTAMP '1998-01-01 00:00:00' THEN DATE '1998-01-01' ELSE DATE '2100-01-01' END AS load_date
+FROM orders WHERE o_orderdate IS NOT NULL
+""")
+def q_fact_reload(spark, d):
+    """All orders through the fact load in two deliveries: the newer one first,
+    the older one in part, then both again in full."""
+    root = f"{checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix='dimledger-ckpt-'))}/dimledger-query/{uuid.uuid4().hex}"
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("timestamp_ntz")
+                                              .alias("o_orderdate")).where("o_orderdate IS NOT NULL")
+    cut = ts_lit("1998-01-01 00:00:00")
+    old, new = orders.where(F.col("o_orderdate") <= cut), orders.where(F.col("o_orderdate") > cut)
+    for delivery, day in ((new, _dt.date(2100, 1, 1)), (old.where("o_orderstatus = 'F'"), _dt.date(1998, 1, 1)),
+                          (old, _dt.date(1998, 1, 1)), (new, _dt.date(2100, 1, 1))):
+        bank.load_facts(spark, f"{root}/facts", f"{root}/meta", delivery, ["o_orderdate"], day)
+    return spark.read.parquet(f"{root}/facts").select("o_orderkey", "o_custkey", "o_orderdate", "load_date")
 
 
 @query("profile", """
@@ -1073,6 +1102,19 @@ def q_promo_state(spark, d):
                              PROMO_DAY)
 
 
+# Only coupons of specifications created since a date: the brand number dates the specification.
+@query("promo_state_recent_specs", ORACLE["promo_state"].replace(
+    "  FROM part),\nops AS",
+    "  FROM part WHERE DATE '2022-11-01' + CAST(regexp_extract(p_brand, '(\\d+)', 1) AS INT) >= DATE '2022-11-13'),\nops AS"))
+def q_promo_state_recent_specs(spark, d):
+    part = table(spark, d, "part")
+    number = F.regexp_extract("p_brand", r"(\d+)", 1).cast("int")
+    specs = part.select(F.col("p_brand").alias("specification_id"), F.col("p_brand").alias("title"),
+                        F.date_add(F.lit(_dt.date(2022, 11, 1)), number).cast("timestamp_ntz").alias("created")).distinct()
+    recent = promo.specs_since(specs, ts_lit("2022-11-13 00:00:00"))
+    return promo.promo_state(promo.coupons_of(promo_coupons(part), recent), promo_ops(table(spark, d, "events")), PROMO_DAY)
+
+
 @query("spec_stats", f"""
 WITH {SQL_PROMO_CTE},
 sp AS (SELECT specification_id, title FROM specs WHERE created >= TIMESTAMP '2022-12-01 06:00:00')
