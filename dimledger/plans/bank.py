@@ -29,7 +29,7 @@ from dimledger.functions.columns import SENTINEL, strip_spaces, ts_lit
 from dimledger.operators.scd2 import TO, scd2_merge
 from dimledger.operators.watermark import delta_since, next_watermark, watermark_value
 from dimledger.sources import schemas
-from dimledger.sources.readers import read_daily_csv
+from dimledger.sources.readers import daily_csv_rejects, read_daily_csv
 from dimledger.sources.sinks import (current_version, new_version_path, publish, read_if_exists,
                                      replace_partition, staged, write_partition)
 
@@ -166,6 +166,13 @@ def daily_fraud_run(spark: SparkSession, clients: DataFrame, accounts: DataFrame
     load_facts(spark, f"{root}/fact_passport_blacklist", f"{root}/meta_passport_blacklist", bl,
                ["entry_dt"], run_date)
 
+    # Lines that fit no schema are kept per entity and day, not dropped unseen.
+    for entity, schema, sep in (("terminals", schemas.TERMINALS_FILE, ","),
+                                ("transactions", schemas.TRANSACTIONS_FILE, ";"),
+                                ("passport_blacklist", schemas.BLACKLIST_FILE, ";")):
+        bad = daily_csv_rejects(spark, drop_dir, entity, run_date, schema, sep=sep)
+        replace_partition(bad, f"{root}/rejects/{entity}", "load_date", run_date.isoformat())
+
     cities = read_history(spark, f"{root}/dim_terminals", hist["terminals"])
     facts = read_facts(spark, f"{root}/fact_transactions", txn)
     new = facts.where(F.col("load_date") == F.lit(run_date))

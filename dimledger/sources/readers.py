@@ -5,9 +5,11 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-__all__ = ["read_table", "read_jdbc", "daily_file_name", "read_daily_csv", "read_typed_csv", "read_docs",
+__all__ = ["read_table", "read_jdbc", "daily_file_name", "read_daily_csv", "daily_csv_rejects", "read_typed_csv",
+           "read_docs",
            "sql_query"]
 
 
@@ -40,10 +42,36 @@ def daily_file_name(entity: str, run_date: _dt.date, ext: str = "csv") -> str:
 def read_daily_csv(spark: SparkSession, directory: str, entity: str, run_date: _dt.date,
                    schema: T.StructType, sep: str = ";", header: bool = True,
                    ext: str = "csv") -> DataFrame:
-    """One day's delimited file with a declared schema (no inference)."""
+    """One day's delimited file with a declared schema (no inference).
+
+    The header must name the schema's columns in its order, or reading fails.
+    Lines that do not fit the schema are left out; ``daily_csv_rejects`` has
+    them.
+    """
+    raw = _daily_lines(spark, directory, entity, run_date, schema, sep, header, ext)
+    return raw.where(F.col(BAD_LINE).isNull()).drop(BAD_LINE)
+
+
+BAD_LINE = "_bad_line"
+
+
+def _daily_lines(spark, directory, entity, run_date, schema, sep, header, ext) -> DataFrame:
     path = f"{directory.rstrip('/')}/{daily_file_name(entity, run_date, ext)}"
-    return (spark.read.schema(schema).option("sep", sep).option("header", header)
-            .option("mode", "PERMISSIVE").csv(path))
+    with_bad = T.StructType([*schema.fields, T.StructField(BAD_LINE, T.StringType())])
+    lines = (spark.read.schema(with_bad).option("sep", sep).option("header", header)
+             .option("enforceSchema", False).option("mode", "PERMISSIVE")
+             .option("columnNameOfCorruptRecord", BAD_LINE).csv(path))
+    # Whether a line is bad depends on all its columns, so none may be pruned
+    # from the read: the condition holds for every row and needs them all.
+    return lines.where(F.xxhash64(*schema.fieldNames()) >= F.lit(-2 ** 63))
+
+
+def daily_csv_rejects(spark: SparkSession, directory: str, entity: str, run_date: _dt.date,
+                      schema: T.StructType, sep: str = ";", header: bool = True,
+                      ext: str = "csv") -> DataFrame:
+    """The lines of one day's file that do not fit the schema (``line``)."""
+    raw = _daily_lines(spark, directory, entity, run_date, schema, sep, header, ext)
+    return raw.where(F.col(BAD_LINE).isNotNull()).select(F.col(BAD_LINE).alias("line"))
 
 
 def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType,

@@ -8,7 +8,7 @@ from conftest import rows
 from dimledger.functions.columns import ts_lit
 from dimledger.plans.bank import load_dimension, load_facts, read_current, read_history
 from dimledger.sources import schemas
-from dimledger.sources.readers import daily_file_name, read_daily_csv
+from dimledger.sources.readers import daily_csv_rejects, daily_file_name, read_daily_csv
 from dimledger.session import checkpoint_dir
 from dimledger.sources.sinks import (current_version, publish, replace_partition, replace_window,
                                      write_partition)
@@ -211,3 +211,19 @@ def test_read_docs(spark, scratch):
     schema = T.StructType([T.StructField("_id", T.StringType()), T.StructField("title", T.StringType()),
                            T.StructField("created", T.TimestampNTZType())])
     assert rows(read_docs(spark, p, schema)) == [("s1", "A", dt.datetime(2023, 1, 1))]
+
+
+def test_bad_lines_are_kept_apart_and_headers_checked(spark, scratch):
+    day = dt.date(2024, 3, 5)
+    path = os.path.join(scratch, daily_file_name("passport_blacklist", day))
+    with open(path, "w") as f:
+        f.write("date;passport_num;entry_dt\n2024-03-05;P1;2024-03-05 10:00:00\nno date at all;P2;x\n")
+    good = read_daily_csv(spark, scratch, "passport_blacklist", day, schemas.BLACKLIST_FILE)
+    assert [r.passport_num for r in good.collect()] == ["P1"] and good.count() == 1
+    assert good.select("passport_num").count() == 1
+    bad = daily_csv_rejects(spark, scratch, "passport_blacklist", day, schemas.BLACKLIST_FILE)
+    assert [r.line for r in bad.collect()] == ["no date at all;P2;x"]
+    with open(path, "w") as f:
+        f.write("date;entry_dt;passport_num\n2024-03-05;2024-03-05 10:00:00;P1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_daily_csv(spark, scratch, "passport_blacklist", day, schemas.BLACKLIST_FILE).collect()
