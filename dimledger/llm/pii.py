@@ -286,12 +286,10 @@ def spans_of(text: str, model: SpanModel, add_from: float = ADD_FROM) -> list[tu
     found = candidates(text)
     spans = [(c.kind, c.start, c.end, True) for c in found if c.origin == "base"]
     taken = sorted((s, e) for _, s, e, _ in spans)
-    blocked = [(s, e) for i, (s, e) in enumerate(taken)]
-    reach, ends = 0, []
-    for _, e in blocked:                    # furthest end so far, for overlaps across kinds
+    starts, ends, reach = [s for s, _ in taken], [], 0
+    for _, e in taken:                      # furthest end so far, for overlaps across kinds
         reach = max(reach, e)
         ends.append(reach)
-    starts = [s for s, _ in blocked]
     last = 0
     for c in sorted((c for c in found if c.origin != "base"), key=lambda c: (c.start, KINDS.index(c.kind))):
         i = bisect_left(starts, c.end)
