@@ -6,8 +6,13 @@ item nor move its vector. Documents are cut into passages of ``WINDOW`` words,
 weighted by TF-IDF: end to end where statistics are gathered, so that every
 word counts once, and ``STRIDE`` apart where they are searched. A randomised
 SVD of all passages (one pass: ``A'A`` times a Gaussian test matrix, then a Nystrom
-factorisation of that sketch) gives the latent space; passages whose cosine
-with an item is at least ``COSINE`` there are candidates. A candidate counts
+factorisation of that sketch) gives the latent space; the items' own rows
+belong to the factorised matrix, weighted so that the space holds them.
+Passages whose cosine with an item is at least ``COSINE`` there are candidates.
+A space of bounded rank and windows of one length cannot vouch for every item,
+so stretches that hold enough of an item's rarest words (``Anchors``) are
+candidates as well: that test passes every place the check could accept,
+whatever the item's length, its neighbours or the corpus. A candidate counts
 if the longest common subsequence of item and passage is at least
 ``LCS_SHARE`` of the item's words within a stretch not much longer than the
 item, and, for items with an answer part, if the answer is there too.
@@ -41,6 +46,7 @@ from dimledger.llm.common import relation, slices, staged, words_csr
 
 WINDOW, STRIDE = 48, 24
 RANK, OVERSAMPLE = 192, 16
+ANCHOR_SHARE = 6        # an item asks for a sixth of its words as anchors, 2 at least
 COSINE = 0.45
 LCS_SHARE = 0.6
 STRETCH = 1.25          # words of a matched stretch, in words of the item
@@ -225,6 +231,22 @@ def _add(rows: "pa.Table") -> "pa.Table":
                      "row": pa.array([values.sum(axis=0)], pa.list_(pa.float32()))})
 
 
+def item_rows(items: Items, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Unit TF-IDF rows of the items as (item, term, value)."""
+    own = np.repeat(np.arange(len(items.codes)), [len(c) for c in items.codes])
+    key, times = np.unique(own * items.size + np.concatenate(items.codes), return_counts=True)
+    return weighted(key // items.size, key % items.size, times, len(items.codes), idf)
+
+
+def item_sketch(items: Items, idf: np.ndarray, width: int) -> np.ndarray:
+    """The items' share of ``A'(A Omega)``, before their weight."""
+    i, t, v = item_rows(items, idf)
+    out = np.zeros((items.size, width))
+    rows, product = project(i, t, v, test_matrix(items.size, width))
+    np.add.at(out, t, product[np.searchsorted(rows, i)] * v[:, None])
+    return out
+
+
 def latent_basis(sketched: np.ndarray, rank: int) -> np.ndarray:
     """Right singular vectors of the passages from the sketch ``Y = A'A Omega``
     (Nystrom: ``A'A ~ Y (Omega'Y)^-1 Y'``), strongest first."""
@@ -281,14 +303,63 @@ def best_stretch(item: np.ndarray, members: np.ndarray, rare: np.ndarray, text:
     return best
 
 
-def search(items: Items, idf: np.ndarray, basis: np.ndarray, cosine: float, share: float):
-    """Links of documents and items: candidates by cosine, checked by words."""
+class Anchors:
+    """The rarest words of every item, and where texts hold enough of them.
+
+    A subsequence of ``enough`` of an item's words misses ``len - enough`` of
+    them, so of any ``len - enough + k`` words it holds k. The rarest words are
+    taken (all with weight, more where these are few), which keeps the places
+    few; no place the check could accept is missed."""
+
+    def __init__(self, items: Items, idf: np.ndarray, total: np.ndarray, enough: list[int]):
+        pairs, need = [], []
+        for i, (own, least) in enumerate(zip(items.codes, enough, strict=True)):
+            missed = len(own) - least
+            size = min(len(own), max(int(np.count_nonzero(idf[own] > 0)),
+                                     missed + max(2, len(own) // ANCHOR_SHARE)))
+            rarest = own[np.argsort(total[own], kind="stable")[:size]]
+            need.append(size - missed)
+            pairs += [(t, i) for t in set(rarest.tolist())]
+        term, self.item = np.array(sorted(pairs), dtype=np.int64).T
+        self.count = np.bincount(term, minlength=items.size)
+        self.first = np.cumsum(self.count) - self.count
+        self.need = np.array(need, dtype=np.int64)
+        self.span = np.array([int(np.ceil(len(c) * STRETCH)) for c in items.codes], dtype=np.int64)
+
+    def places(self, codes: list[np.ndarray]) -> Iterator[tuple[int, int, int, int]]:
+        """(document, item, first, last) word of the neighbouring places of an item."""
+        lengths = np.array([len(c) for c in codes], dtype=np.int64)
+        ends = np.cumsum(lengths)
+        flat = np.concatenate(codes) if codes else np.empty(0, dtype=np.int64)
+        at = np.flatnonzero(self.count[flat])
+        times = self.count[flat[at]]
+        nth = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+        item = self.item[np.repeat(self.first[flat[at]], times) + nth]
+        key = np.sort(item * max(len(flat), 1) + np.repeat(at, times))
+        item, at = key // max(len(flat), 1), key % max(len(flat), 1)
+        until = np.arange(len(key)) + self.need[item] - 1
+        inside = until < len(key)
+        item_to, at_to = item[until[inside]], at[until[inside]]
+        item, at = item[inside], at[inside]
+        doc = np.searchsorted(ends, at, side="right")
+        hit = (item == item_to) & (at_to - at < self.span[item]) & (at_to < ends[doc])
+        item, at, doc = item[hit], at[hit], doc[hit]
+        if not len(at):
+            return
+        starts = np.flatnonzero(np.concatenate([[True], (item[1:] != item[:-1]) | (doc[1:] != doc[:-1])
+                                                | (at[1:] - at[:-1] > self.span[item[1:]])]))
+        lasts = np.append(starts[1:], len(at)) - 1
+        base = (ends - lengths)[doc[starts]]
+        yield from zip(doc[starts].tolist(), item[starts].tolist(), (at[starts] - base).tolist(),
+                       (at[lasts] - base).tolist(), strict=True)
+
+
+def search(items: Items, total: np.ndarray, idf: np.ndarray, basis: np.ndarray, cosine: float, share: float):
+    """Links of documents and items: candidates by cosine and by anchors, checked by words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n_items = len(items.ids)
         own = np.concatenate([np.full(len(c), i) for i, c in enumerate(items.codes)])
-        key, times = np.unique(own * items.size + np.concatenate(items.codes), return_counts=True)
-        p, t, v = weighted(key // items.size, key % items.size, times, n_items, idf)
-        rows, latent = project(p, t, v, basis)
+        rows, latent = project(*item_rows(items, idf), basis)
         queries = np.zeros((n_items, basis.shape[1]), dtype=np.float32)
         queries[rows] = latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
         members = np.zeros((n_items, items.size), dtype=bool)
@@ -297,38 +368,60 @@ def search(items: Items, idf: np.ndarray, basis: np.ndarray, cosine: float, shar
         # A subsequence of ``enough`` words misses len - enough words of the item.
         enough = [int(np.ceil(share * len(c))) for c in items.codes]
         rare_enough = [int(np.count_nonzero(idf[c] > 0)) - len(c) + e for c, e in zip(items.codes, enough, strict=True)]
+        anchors = Anchors(items, idf, total, enough)
         for batch in batches:
             codes = [np.frombuffer(c, "<u4").astype(np.int64) for c in batch.column("codes").to_pylist()]
             p, t, c, doc, begin = passages(codes, items.size, STRIDE)
             p, t, v = weighted(p, t, c, len(doc), idf)
             found: dict[tuple[int, int], tuple[int, float]] = {}
+
+            def checked(doc_no: int, item_no: int, low: int, high: int) -> tuple[int, int] | None:
+                """(longest common subsequence, first word), if the check accepts it and it beats what is found."""
+                item, known = items.codes[item_no], found.get((doc_no, item_no), (0, 0))[0]
+                if known == len(item):
+                    return None
+                length, place = best_stretch(item, members[item_no], rare[item_no], codes[doc_no], low, high,
+                                             enough[item_no], rare_enough[item_no])
+                if length < enough[item_no] or length <= known:
+                    return None
+                answer = items.answers[item_no]
+                around = codes[doc_no][max(0, place - len(item)):place + 3 * len(item)]
+                if len(answer) and lcs(answer, around) < np.ceil(0.8 * len(answer)):
+                    return None
+                return length, place
+
             for cut in pieces(p):
                 rows, latent = project(p[cut], t[cut], v[cut], basis)
                 norm = np.linalg.norm(latent, axis=1, keepdims=True)
                 cosines = (latent / np.maximum(norm, 1e-12)) @ queries.T
                 r, i = np.nonzero(cosines >= cosine)
+                if not len(r):
+                    continue
                 order = np.lexsort((r, i))
                 r, i = r[order], i[order]
                 d, at = doc[rows[r]], begin[rows[r]]
                 # Neighbouring passages of a document are one place to look at.
                 starts = np.flatnonzero(np.concatenate([[True], (i[1:] != i[:-1]) | (d[1:] != d[:-1])
-                                                        | (at[1:] - at[:-1] > WINDOW)])) if len(r) else r
+                                                        | (at[1:] - at[:-1] > WINDOW)]))
                 lasts = np.append(starts[1:], len(r)) - 1
-                peaks = np.maximum.reduceat(cosines[r, i], starts) if len(r) else r
+                peaks = np.maximum.reduceat(cosines[r, i], starts)
                 for doc_no, item_no, low, high, peak in zip(d[starts].tolist(), i[starts].tolist(), at[starts].tolist(),
                                                             at[lasts].tolist(), peaks.tolist(), strict=True):
-                    item, known = items.codes[item_no], found.get((doc_no, item_no), (0, 0))[0]
-                    if known == len(item):
-                        continue
-                    length, place = best_stretch(item, members[item_no], rare[item_no], codes[doc_no],
-                                                 low - len(item), high + WINDOW, enough[item_no], rare_enough[item_no])
-                    if length < enough[item_no] or length <= known:
-                        continue
-                    answer = items.answers[item_no]
-                    around = codes[doc_no][max(0, place - len(item)):place + 3 * len(item)]
-                    if len(answer) and lcs(answer, around) < np.ceil(0.8 * len(answer)):
-                        continue
-                    found[(doc_no, item_no)] = (length, peak)
+                    better = checked(doc_no, item_no, low - len(items.codes[item_no]), high + WINDOW)
+                    if better:
+                        found[(doc_no, item_no)] = (better[0], peak)
+            for doc_no, item_no, low, high in anchors.places(codes):
+                better = checked(doc_no, item_no, low - int(anchors.span[item_no]), high)
+                if better:
+                    # The passages around the place; those without weight have no direction, cosine 0.
+                    of_doc = np.searchsorted(doc, [doc_no, doc_no + 1])
+                    near = of_doc[0] + np.searchsorted(begin[of_doc[0]:of_doc[1]],
+                                                       [better[1] - WINDOW, better[1] + len(items.codes[item_no])])
+                    cut = slice(*np.searchsorted(p, near))
+                    _, latent = project(p[cut], t[cut], v[cut], basis)
+                    norm = np.linalg.norm(latent, axis=1)
+                    cosines = latent @ queries[item_no] / np.maximum(norm, 1e-12)
+                    found[(doc_no, item_no)] = (better[0], float(cosines.max(initial=0.0)))
             doc_ids = batch.column("doc_id").to_pylist()
             links = [(doc_ids[d], items.ids[i], cos, length, len(items.codes[i]))
                      for (d, i), (length, cos) in sorted(found.items())]
@@ -372,8 +465,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE,
         y = np.zeros((items.size, width), dtype=np.float32)
         if rows.num_rows:
             y[rows.column("term").to_numpy()] = np.stack(rows.column("row").to_numpy())
+        # No more than ``rank`` directions of the passages are stronger than a share of 1 / rank of them.
+        y += (max(int(total[0]), 1) / rank * item_sketch(items, idf, width)).astype(np.float32)
         basis = latent_basis(y, rank)
-        out = out.unionByName(table.mapInArrow(search(items, idf, basis, cosine, share), LINKS))
+        out = out.unionByName(table.mapInArrow(search(items, total, idf, basis, cosine, share), LINKS))
     return out
 
 
