@@ -4,7 +4,7 @@ import random
 
 from helpers import documents
 
-from dimledger.llm import decontaminate
+from dimledger.llm import decontaminate, quality
 
 
 # ------------------------------------------------------------------ decontamination
@@ -37,3 +37,27 @@ def test_every_planted_item_is_found(spark):
         assert (200_000 + i, i) in got
     planted = {(base + i, i) for i, _ in short + longer for base in (100_000, 200_000)}
     assert {p for p in got if p[1] >= 1_000} == planted
+
+
+# ------------------------------------------------------------------ quality rules
+
+def test_few_lines_and_other_languages_are_kept(spark):
+    body = " ".join(f"word{i} the" for i in range(40))
+    foreign = " ".join(f"sana{i}" for i in range(80))
+    rows = [(1, f"A short line\n{body}\nA short line"), (2, "\n".join([body] * 2 + ["x"])),
+            (3, "\n".join(f"line {i % 6} of the list {i % 6}" for i in range(40)))]
+    docs = documents(spark, rows)
+    assert [r.doc_id for r in quality.keep_good(docs).collect()] == [1]
+    strange = documents(spark, [(4, foreign)])
+    assert quality.keep_good(strange).count() == 0
+    for lang in ("fi", None):
+        assert quality.keep_good(strange.selectExpr("* EXCEPT (lang)", f"{f"'{lang}'" if lang else 'NULL'} AS lang")
+                                 .selectExpr("* EXCEPT (lang)", "CAST(lang AS string) AS lang")).count() == 1
+
+
+def test_no_labelled_clean_document_falls_to_the_line_rule(spark):
+    table = "/root/testdata/sf0.1"
+    clean = spark.read.parquet(f"{table}/documents.parquet").join(
+        spark.read.parquet(f"{table}/labels.parquet").filter("quality = 1").select("doc_id"), "doc_id")
+    judged = quality.quality_rules(clean, quality.CLEAN_RULES, lang_col="lang").select("base_failed", "kept").collect()
+    assert [r for r in judged if not r.base_failed and not r.kept] == []
