@@ -8,7 +8,9 @@ licences. A document's units are its entire text and, because notices often
 stand alone on a line, each of its lines as a text of its own.
 
 Everything is Spark functions: no user function, no Python on the executors.
-The known licences are a fixed list in the code (bounded; broadcast). The
+The known licences are the notices and short texts of ``KNOWN`` and the full
+published texts in ``license_texts``, one file each, with and without their
+title lines and appendices (bounded; only their digests are broadcast). The
 units of a document are made and joined inside one task; one shuffle of
 narrow partial results puts them together per row.
 
@@ -19,6 +21,10 @@ empty table gives an empty result; other columns of the input are not read.
 
 from __future__ import annotations
 
+import re
+from functools import cache
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,6 +98,46 @@ KNOWN = {
         "3. This notice may not be removed or altered from any source distribution."],
 }
 
+# Title lines that stand above a licence that is published without one.
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "Expat License"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)"],
+    "Zlib": ["zlib License", "The zlib License", "The zlib/libpng License", "zlib/libpng License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", "The 2-Clause BSD License",
+                     "BSD 2-Clause \"Simplified\" License", "Simplified BSD License", "BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", "The 3-Clause BSD License",
+                     "BSD 3-Clause \"New\" or \"Revised\" License", "New BSD License", "Modified BSD License",
+                     "BSD License", "The BSD License"],
+    "Unlicense": ["The Unlicense", "Unlicense"],
+}
+# The first line of a published text that does not belong to its title, and
+# the lines at which its end or an appendix of it begins.
+BODY = re.compile(r"(?m)^[ \t]*(?:TERMS AND CONDITIONS FOR USE|Everyone is permitted to copy|Preamble|Statement of Purpose"
+                  r"|1\. Definitions|0\. PREAMBLE|This version of the GNU Lesser|1\. Definitions\.).*$")
+APPENDIX = re.compile(r"(?mi)^[ \t]*(?:END OF TERMS AND CONDITIONS|APPENDIX: |Appendix: How to Apply|How to Apply These Terms"
+                      r"|Exhibit [AB] - |EXHIBIT A|ADDENDUM: How to use|For more information, please refer to).*$")
+
+
+@cache
+def published() -> dict[str, list[str]]:
+    """The full published texts by licence, each with and without its title
+    lines and with its end at every appendix or at none."""
+    out = {}
+    texts = {path.stem: path.read_text(encoding="utf-8")
+             for path in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
+    texts |= {name: KNOWN[name][0] for name in ("MIT", "ISC", "Zlib")}
+    for name, text in texts.items():
+        ends = [text]
+        for m in APPENDIX.finditer(text):
+            ends += [text[:m.start()], text[:m.end()]]
+        body = BODY.search(text)
+        forms = ends + [f"{title}\n{end}" for title in TITLES.get(name, []) for end in ends]
+        if body and name not in TITLES:
+            forms += [end[body.start():] for end in ends if len(end) > body.end()]
+        out[name] = list(dict.fromkeys(forms))
+    return out
+
+
 # A line that only says whose copyright it is, after lower-casing.
 NOTICE_LINE = r"(^|\n)[\x20\t#*/;-]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
 # ASCII punctuation and space, no-break space, the Latin-1 copyright signs and quotes, general punctuation.
@@ -118,9 +164,11 @@ def digest(lowered: Column) -> Column:
 
 
 def known_licenses(spark: SparkSession, known: dict[str, list[str]] | None = None) -> DataFrame:
-    """(license, known_digest) of a registry of licence texts."""
+    """(license, known_digest) of a registry of licence texts, by default
+    ``KNOWN`` and the published ones."""
+    registries = [known] if known else [KNOWN, published()]
     rows = [F.struct(F.lit(name).alias("license"), F.lit(text).alias("text"))
-            for name, texts in (known or KNOWN).items() for text in texts]
+            for registry in registries for name, texts in registry.items() for text in texts]
     return (spark.range(1).select(F.inline(F.array(*rows)))
             .select("license", digest(F.lower("text")).alias("known_digest"))
             .groupBy("known_digest").agg(F.min("license").alias("license")))

@@ -1,10 +1,11 @@
 """Cases in which the training-data operators once did less than the whole job."""
 
 import random
+from pathlib import Path
 
 from helpers import documents
 
-from dimledger.llm import decontaminate, quality
+from dimledger.llm import decontaminate, licenses, quality
 
 
 # ------------------------------------------------------------------ decontamination
@@ -61,3 +62,30 @@ def test_no_labelled_clean_document_falls_to_the_line_rule(spark):
         spark.read.parquet(f"{table}/labels.parquet").filter("quality = 1").select("doc_id"), "doc_id")
     judged = quality.quality_rules(clean, quality.CLEAN_RULES, lang_col="lang").select("base_failed", "kept").collect()
     assert [r for r in judged if not r.base_failed and not r.kept] == []
+
+
+# ------------------------------------------------------------------ licences
+
+def test_full_licence_texts_are_known(spark):
+    common = Path("/usr/share/common-licenses")
+    files = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1",
+             "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    texts = [((common / file).read_text(), name) for file, name in files.items()]
+    apache = (common / "Apache-2.0").read_text()
+    gpl = (common / "GPL-3").read_text()
+    texts += [(apache[:apache.index("APPENDIX: ")], "Apache-2.0"),
+              (apache[:apache.index("END OF TERMS")], "Apache-2.0"),
+              (apache[apache.index("TERMS AND CONDITIONS FOR USE"):], "Apache-2.0"),
+              (gpl[:gpl.index("END OF TERMS")], "GPL-3.0"), (gpl[:gpl.index("How to Apply These")], "GPL-3.0")]
+    mit = licenses.KNOWN["MIT"][0]
+    texts += [(f"{title}\n\nCopyright (c) 2020 A. Person\n\n{mit}\n", "MIT")
+              for title in ("MIT License", "The MIT License (MIT)", "The MIT License")]
+    texts += [(f"{title}\n\nCopyright (c) 2020, A. Person\n{rights}\n{licenses.published()[name][0]}", name)
+              for name in ("BSD-2-Clause", "BSD-3-Clause") for rights in ("", "All rights reserved.\n")
+              for title in ("", f"BSD {name[4]}-Clause License")]
+    texts += [(licenses.published()["Unlicense"][0], "Unlicense"), (apache[:5000], None), (mit + " but not so", None)]
+    docs = documents(spark, [(i, text) for i, (text, _) in enumerate(texts)])
+    got = {r.doc_id: r.license for r in licenses.license_scan(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == [name for _, name in texts]
+    assert {r["known_digest"] for r in licenses.known_licenses(spark, licenses.KNOWN).collect()} <= {
+        r["known_digest"] for r in licenses.known_licenses(spark).collect()}
