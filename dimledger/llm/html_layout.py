@@ -9,8 +9,12 @@ behind their marker with nesting indented, preformatted text as it is, and
 table cells in aligned columns (spans included, the last column not padded).
 
 Invisible are scripts, styles, templates, the head, comments, ``hidden``
-elements, those styled ``display:none`` or ``visibility:hidden``, hidden
-inputs, and what browsers replace (``noscript``, media fallbacks).
+elements, those styled ``display:none`` or ``visibility:hidden``, inputs that
+show no text (hidden, passwords, files, check boxes and the like), lists of
+suggestions (``datalist``), titles, descriptions and definitions of diagrams,
+annotations of formulas, and what browsers replace (``noscript``, media
+fallbacks). Formulas, text of diagrams, options, the content of text areas and
+the value or label of buttons and fields are visible.
 
 One page at a time in a task, no shuffle; no recursion, so nesting of any
 depth is fine. Defined results: NULL or empty html gives the empty text;
@@ -33,19 +37,26 @@ from dimledger.llm.common import relation
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 UNSEEN = frozenset("script style template head title meta link noscript iframe noembed noframes object video audio "
-                   "canvas svg math datalist select textarea".split())
+                   "canvas datalist".split())
+# Not shown inside a diagram or a formula.
+UNSEEN_IN = {"svg": frozenset("title desc defs metadata symbol clippath mask pattern marker".split()),
+             "math": frozenset("annotation annotation-xml mphantom".split())}
+STACKED = frozenset("mfrac mroot mtr mtd munder mover munderover".split())    # parts of a formula that stand apart
+# Kinds of input whose value is no text on the page.
+NO_INPUT = frozenset("hidden password file checkbox radio color range image".split())
 IN_HEAD = frozenset("html head title meta link style script base noscript template".split())
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption "
                    "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre "
-                   "search section summary table tbody td tfoot th thead tr ul caption option".split())
+                   "search section summary table tbody td tfoot th thead tr ul caption option optgroup".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre dl figure ul ol menu dir table hr".split())
-CLOSES_P = BLOCKS - frozenset("html body td th tr tbody thead tfoot caption option legend".split())
+CLOSES_P = BLOCKS - frozenset("html body td th tr tbody thead tfoot caption option optgroup legend".split())
 LISTS = frozenset("ul ol menu dir".split())
 
 # A start closes open elements of the second set, looked for up to the third.
 CLOSED_BY = {
     "li": ({"li"}, LISTS), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
-    "option": ({"option"}, {"select", "datalist"}), "td": ({"td", "th"}, {"tr", "table"}),
+    "option": ({"option"}, {"select", "datalist", "optgroup"}),
+    "optgroup": ({"optgroup"}, {"select", "datalist"}), "td": ({"td", "th"}, {"tr", "table"}),
     "th": ({"td", "th"}, {"tr", "table"}), "tr": ({"tr", "caption"}, {"table"}),
     "tbody": ({"thead", "tbody", "tfoot", "caption"}, {"table"}),
     "thead": ({"thead", "tbody", "tfoot", "caption"}, {"table"}),
@@ -61,10 +72,11 @@ MAX_SPAN = 1000          # as in HTML
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "children")
+    __slots__ = ("tag", "attributes", "children", "foreign")
 
-    def __init__(self, tag: str, attributes: str = ""):
+    def __init__(self, tag: str, attributes: str = "", foreign: str = ""):
         self.tag, self.attributes, self.children = tag, attributes, []
+        self.foreign = foreign           # svg, text (in an svg) or math around or at the element
 
     def attribute(self, name: str) -> str | None:
         for m in ATTRIBUTE.finditer(self.attributes):
@@ -96,7 +108,12 @@ def parse(html: str) -> Node:
             close(*CLOSED_BY[tag])
             if tag in ("td", "th") and stack[-1].tag in ("table", "tbody", "thead", "tfoot"):
                 start("tr", "")
-        node = Node(tag, attributes)
+        around = stack[-1].foreign
+        if tag in UNSEEN_IN:
+            around = tag
+        elif around in ("svg", "text") and tag in ("text", "foreignobject"):
+            around = "text" if tag == "text" else ""
+        node = Node(tag, attributes, around)
         stack[-1].children.append(node)
         if tag not in VOID:
             stack.append(node)
@@ -114,7 +131,9 @@ def parse(html: str) -> Node:
         tag = m[2].lower()
         if not m[1]:
             start(tag, m[3])
-            if tag in RAW:
+            if tag not in VOID and stack[-1].foreign and m[3].rstrip().endswith("/"):
+                stack.pop()                             # in diagrams and formulas an element can close itself
+            elif tag in RAW:
                 end = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
                 stack[-1].children.append(html[at:end.start() if end else len(html)])
                 at = end.end() if end else len(html)
@@ -136,12 +155,22 @@ def parse(html: str) -> Node:
     return root
 
 
+def _kind(node: Node) -> str:
+    return (node.attribute("type") or "text").strip().lower()
+
+
+def field_text(node: Node) -> str:
+    """What an input shows: its value, or the placeholder of an empty field."""
+    return node.attribute("value") or ("" if _kind(node) in ("button", "submit", "reset")
+                                       else node.attribute("placeholder") or "")
+
+
 def hidden(node: Node) -> bool:
-    if node.tag in UNSEEN:
+    if node.tag in UNSEEN or node.foreign and node.tag in UNSEEN_IN["math" if node.foreign == "math" else "svg"]:
         return True
     if not node.attributes or node.attributes.isspace():
         return False
-    if node.tag == "input":
+    if node.tag == "input" and _kind(node) in NO_INPUT:
         return True
     low = node.attributes.lower()
     if "hidden" in low and node.attribute("hidden") is not None:
@@ -258,6 +287,29 @@ def render(root: Node) -> str:
             if tag == "br":
                 page.newline(keep=True)
                 continue
+            if tag == "input":
+                if shown := field_text(node):
+                    page.text(f" {shown} ")
+                continue
+            children = node.children
+            if tag == "textarea":
+                children = [c.removeprefix("\n") for c in children]
+                if not any(children):
+                    page.text(f" {node.attribute('placeholder') or ''} ")
+                preformatted += 1
+            elif tag == "optgroup" or tag == "option":
+                label = node.attribute("label")
+                if label:
+                    page.newline()
+                    page.text(label)
+                    page.newline()
+                    children = children if tag == "optgroup" else []
+            elif node.foreign == "svg":
+                children = [c for c in children if not isinstance(c, str)]     # only its text elements show text
+            elif tag == "text" and node.foreign or tag == "tspan" and node.attributes:
+                page.text(" ")
+            elif tag in STACKED and node.foreign == "math":
+                children = [x for c in children for x in (c, " ")]
             if tag in ("td", "th"):
                 canvases.append(Canvas())
             elif tag == "tr":
@@ -284,9 +336,13 @@ def render(root: Node) -> str:
                 elif tag == "pre":
                     preformatted += 1
             work.append((node, False))
-            work.extend((child, True) for child in reversed(node.children))
+            work.extend((child, True) for child in reversed(children))
             continue
-        if tag in ("td", "th"):
+        if tag == "textarea":
+            preformatted -= 1
+        elif tag == "text" and node.foreign:
+            page.text(" ")
+        elif tag in ("td", "th"):
             lines = canvases.pop().result()
             if tables and tables[-1].rows:
                 tables[-1].rows[-1].append((lines, _span(node, "colspan"), _span(node, "rowspan")))

@@ -3,9 +3,10 @@
 import random
 from pathlib import Path
 
+import pytest
 from helpers import documents
 
-from dimledger.llm import decontaminate, licenses, quality
+from dimledger.llm import decontaminate, html_layout, licenses, quality
 
 
 # ------------------------------------------------------------------ decontamination
@@ -89,3 +90,23 @@ def test_full_licence_texts_are_known(spark):
     assert [got[i] for i in range(len(texts))] == [name for _, name in texts]
     assert {r["known_digest"] for r in licenses.known_licenses(spark, licenses.KNOWN).collect()} <= {
         r["known_digest"] for r in licenses.known_licenses(spark).collect()}
+
+
+# ------------------------------------------------------------------ visible text
+
+@pytest.mark.parametrize("html,text", [
+    ("<p>So <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></math> holds.</p>", "So x=1 2 holds."),
+    ("<p>a <math><semantics><mi>y</mi><annotation>\\\\y</annotation></semantics></math> b</p>", "a y b"),
+    ("<p>See <svg><title>t</title><desc>d</desc><defs><text>no</text></defs><path d='M0'/><g>stray"
+     "<text x='1'>left <tspan>end</tspan></text><text>right</text></g></svg> here.</p>", "See left end right here."),
+    ("<p>Pick</p><select><optgroup label='Fruit'><option>Apple<option selected>Pear</optgroup>"
+     "<option label='Other'>x</option></select><p>now</p>", "Pick\n\nFruit\nApple\nPear\nOther\n\nnow"),
+    ("<p>Note: <textarea rows=2>\none &amp; <b>\ntwo</textarea></p>", "Note: one & <b>\ntwo"),
+    ("<form><input type=submit value='Send it'><input type='BUTTON' value=Go><input type=hidden value=h>"
+     "<input type=password value=p><input value=Ann><input placeholder='Town'><input type=checkbox value=on></form>",
+     "Send it Go Ann Town"),
+    ("<p>a<datalist><option>no</option></datalist> <input type=submit value=no hidden>b</p>", "a b"),
+    ("<svg/><p>after <svg><circle r='1'/><circle r='2'/></svg>all</p><title>no</title>", "after all"),
+])
+def test_every_visible_kind_of_text_is_kept(html, text):
+    assert html_layout.visible_text(html) == text
