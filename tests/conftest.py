@@ -8,9 +8,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from dimledger.session import build_session, checkpoint_dir  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -25,9 +22,3 @@ def spark():
 @pytest.fixture()
 def scratch():
     return tempfile.mkdtemp(prefix="dimledger-test-")
-
-
-def rows(df, order=None):
-    """Collected rows as plain tuples, sorted."""
-    out = [tuple(r) for r in df.collect()]
-    return sorted(out, key=lambda r: tuple((x is None, str(x)) for x in r))

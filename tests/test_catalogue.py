@@ -9,7 +9,7 @@ import math
 import duckdb
 import pytest
 
-from conftest import SF_SMALL
+from rows import SF_SMALL
 from __spark_entry__ import entry
 from dimledger.catalogue import ORACLE, QUERIES
 

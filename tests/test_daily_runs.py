@@ -3,7 +3,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, rows
+from rows import SF_SMALL, rows
 from dimledger import catalogue as C
 from dimledger.functions.columns import ts_lit
 from dimledger.plans import feed, promo

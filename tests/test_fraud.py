@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import rows
+from rows import rows
 from dimledger.functions.columns import SENTINEL_TS, ts_lit
 from dimledger.plans import fraud
 

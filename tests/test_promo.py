@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from rows import rows
 from dimledger.plans import promo
 
 DAY = dt.date(2024, 5, 10)

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import rows
+from rows import rows
 from dimledger.functions.columns import SENTINEL_TS, ts_lit
 from dimledger.operators.scan import with_previous
 from dimledger.operators.scd2 import scd2_merge

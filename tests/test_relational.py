@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from rows import rows
 from dimledger.functions.columns import ts_lit
 from dimledger.operators.relational import (anti_join, any_level_join, deepest_level_join, exclude,
                                             expand_hierarchy, fill, latest_per_key, normalise_missing,

@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import rows
+from rows import rows
 from dimledger.functions.columns import SENTINEL_TS, ts_lit
 from dimledger.operators.scd2 import current_rows, pit_join, scd2_history, scd2_merge
 

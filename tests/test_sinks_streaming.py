@@ -4,7 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from rows import rows
 from dimledger.functions.columns import ts_lit
 from dimledger.plans.bank import load_dimension, load_facts, read_current, read_history
 from dimledger.sources import schemas
