@@ -3,7 +3,7 @@
 from importlib import import_module
 
 MODULES = ("minhash", "licenses", "quality", "decontaminate", "curriculum", "chat", "huffman",
-           "html_layout", "pii", "toxicity")
+           "html_layout", "pii", "toxicity", "repair")
 
 QUERIES: dict = {}
 ORACLE: dict = {}
