@@ -14,15 +14,16 @@
 ``read_tokens`` decodes the files back by table lookup.
 
 Work flow: one range shuffle of the texts by doc_id; each range is encoded
-by the tokenizers library and written as staged blocks, sorted; counts of
-ids are summed per task, then globally; the driver gets the counts (as many
+by the tokenizers library and written as staged blocks, sorted, with the
+task's counts of ids, which are summed globally; the driver gets the counts (as many
 rows as the vocabulary has ids, no more) and builds the code lengths; one
 more pass without a shuffle writes the coded blocks.
 
 Defined results: a NULL text is the empty text, so its document is the end
 id alone; an empty table gives empty files; repeated rows are kept, each a
 document of its own; other columns are not read. A text is never cut; a block
-holds at least one whole document, whatever its length.
+holds at least one whole document, whatever its length. The strings of the
+vocabulary's added tokens in a text become these tokens, as the library has it.
 """
 
 from __future__ import annotations
@@ -41,7 +42,8 @@ INTERVAL = 128         # ids between two checkpoints
 BLOCK_IDS = 1 << 18    # ids in a block, about; a longer document has a block of its own
 END_ID = 0
 
-STAGED = ("part int, seq long, start long, doc_ids array<bigint>, sizes array<bigint>, ids binary")
+STAGED = ("part int, seq long, start long, doc_ids array<bigint>, sizes array<bigint>, ids binary, "
+          "used array<int>, counts array<bigint>")
 BLOCKS = ("part int, seq long, start long, doc_ids array<bigint>, sizes array<bigint>, n_ids long, "
           "checkpoints binary, bits binary")
 
@@ -152,16 +154,21 @@ def decode_bits(bits: bytes, checkpoints: np.ndarray, n: int, table: tuple[np.nd
 
 # ------------------------------------------------------------------ the flow
 
-def _packed(doc_ids: list, sizes: list, ids: list, part: int, seq: int, start: int) -> pa.RecordBatch:
+_STAGED_SCHEMA = pa.schema([("part", pa.int32()), ("seq", pa.int64()), ("start", pa.int64()),
+                            ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("ids", pa.binary()),
+                            ("used", pa.list_(pa.int32())), ("counts", pa.list_(pa.int64()))])
+
+
+def _staged_row(**row) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([row.get(f.name)], f.type) for f in _STAGED_SCHEMA],
+                                      schema=_STAGED_SCHEMA)
+
+
+def _packed(ids: np.ndarray) -> bytes:
     import zstandard
 
-    raw = np.concatenate(ids).astype("<u4")
-    planes = raw.view(np.uint8).reshape(-1, 4).T.copy()        # bytes of equal rank side by side
-    return pa.RecordBatch.from_arrays(
-        [pa.array([part], pa.int32()), pa.array([seq], pa.int64()), pa.array([start], pa.int64()),
-         pa.array([doc_ids], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64())),
-         pa.array([zstandard.ZstdCompressor(level=1).compress(planes.tobytes())], pa.binary())],
-        names=["part", "seq", "start", "doc_ids", "sizes", "ids"])
+    planes = ids.view(np.uint8).reshape(-1, 4).T.copy()        # bytes of equal rank side by side
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def _unpacked(value: bytes) -> np.ndarray:
@@ -172,45 +179,46 @@ def _unpacked(value: bytes) -> np.ndarray:
 
 
 def _tokenise(vocabulary: str, end_id: int, block_ids: int):
+    """Texts to rows of blocks; a task's last row has its counts of ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        from dimledger.llm.tokens import encoder
+        from dimledger.llm.tokens import ByteBpe, encoder
 
-        enc = encoder(vocabulary)
+        enc = encoder(ByteBpe, vocabulary, False)
         part = TaskContext.get().partitionId()
         seq = start = held = 0
         doc_ids, sizes, ids = [], [], []
+        total = np.zeros(0, dtype=np.int64)
+
+        def block() -> pa.RecordBatch:
+            nonlocal total
+            flat = np.concatenate(ids).astype("<u4")
+            found = np.bincount(flat, minlength=len(total))
+            found[:len(total)] += total
+            total = found
+            return _staged_row(part=part, seq=seq, start=start, doc_ids=doc_ids, sizes=sizes, ids=_packed(flat))
+
+        end = np.array([end_id], dtype="<u4")
         for batch in slices(batches, "text"):
             bounds, flat = enc.encode(batch.column("text"))
             for i, doc_id in enumerate(batch.column("doc_id").to_pylist()):
                 own = flat[bounds[i]:bounds[i + 1]]
                 doc_ids.append(doc_id)
                 sizes.append(len(own) + 1)
-                ids += [own, np.array([end_id], dtype="<u4")]
+                ids += [own, end]
                 held += len(own) + 1
                 if held >= block_ids:
-                    yield _packed(doc_ids, sizes, ids, part, seq, start)
+                    yield block()
                     seq, start, held = seq + 1, start + held, 0
                     doc_ids, sizes, ids = [], [], []
         if doc_ids:
-            yield _packed(doc_ids, sizes, ids, part, seq, start)
+            yield block()
+        used = np.flatnonzero(total)
+        yield _staged_row(part=part, used=used, counts=total[used])
     return run
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of ids of all blocks of a task: at most a row per id."""
-    total = np.zeros(0, dtype=np.int64)
-    for batch in batches:
-        for value in batch.column("ids").to_pylist():
-            found = np.bincount(_unpacked(value), minlength=len(total)).astype(np.int64)
-            found[:len(total)] += total
-            total = found
-    used = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])],
-                                     names=["id", "count"])
-
-
 def _encode(lengths: np.ndarray, before: dict[int, int], interval: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = canonical_codes(lengths)
@@ -245,8 +253,9 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_
               .sortWithinPartitions("doc_id", "tie").select("doc_id", "text"))
     blocks = staged(ranged.mapInArrow(_tokenise(vocabulary, end_id, block_ids), STAGED), "ids")
 
-    counted = blocks.select("ids").mapInArrow(_count, "id int, count long")
-    counts = counted.groupBy("id").agg(F.sum("count").alias("count")).toPandas()
+    counts = (blocks.select(F.explode(F.arrays_zip(F.col("used").alias("id"), F.col("counts").alias("n"))).alias("e"))
+              .groupBy("e.id").agg(F.sum("e.n").alias("count")).toPandas())
+    blocks = blocks.filter("ids IS NOT NULL").drop("used", "counts")
     size = int(counts["id"].max()) + 1 if len(counts) else 0
     weights = np.zeros(size, dtype=np.int64)
     weights[counts["id"].to_numpy()] = counts["count"].to_numpy()

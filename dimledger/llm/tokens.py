@@ -1,119 +1,209 @@
-"""Byte-level BPE ids of whole texts, by batches.
-
-A text falls into pieces before every space that follows a character other
-than white space. The tokenizer's pattern never joins characters across such
-a point, so the ids of a text are the ids of its pieces one after the other.
-Words repeat, so each worker asks the tokenizers library for every distinct
-piece once and keeps a bounded table of the answers; texts with runs of white
-space are encoded whole.
+"""Token ids of whole texts, by batches, through tables of pieces.
+
+Texts are cut at points that the tokenizer can never join characters across,
+so the ids of a text are the ids of its pieces one after the other. Words
+repeat, so each worker asks the library for every distinct piece once and
+keeps a bounded table of the answers.
 """
 
 from __future__ import annotations
 
 import os
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MAX_PIECES = 1_000_000   # pieces kept per worker between batches
-JOIN = 256               # pieces per call of the library
+MAX_PIECES = 1_500_000   # pieces kept per worker between batches
 
+# Kinds of bytes; bytes of unknown kind are never cut from their neighbours.
+UNKNOWN, LETTER, DIGIT, VISIBLE, APOSTROPHE, SPACE, BLANK = range(7)
+KINDS = np.full(256, UNKNOWN, np.uint8)
+KINDS[33:127] = VISIBLE
+KINDS[9:14] = SPACE
+KINDS[48:58] = DIGIT
+KINDS[65:91] = KINDS[97:123] = LETTER
+KINDS[32], KINDS[39] = BLANK, APOSTROPHE
+LETTER_LEADS = np.zeros(256, bool)
+LETTER_LEADS[[0xC3, 0xC4, 0xC5, 0xD0, 0xD1]] = True
 
-class PieceEncoder:
-    """Ids of batches of texts through ``tokenizers`` and a table of pieces."""
 
-    def __init__(self, path: str, max_pieces: int = MAX_PIECES):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+def led_by_space(texts: pa.Array) -> pa.Array:
+    return pc.binary_join_element_wise(pa.scalar(""), pc.fill_null(texts, ""), " ")
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True   # their strings in a text are ordinary text
+
+def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """``(offsets, bytes)`` of a batch of strings."""
+    width = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    offsets = np.frombuffer(texts.buffers()[1], width)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    data = texts.buffers()[2]
+    raw = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data is not None else np.empty(0, np.uint8)
+    return offsets - offsets[0], raw
+
+
+class PieceTable:
+    """Ids of batches of texts; a subclass says where to cut and asks its library."""
+
+    def __init__(self, max_pieces: int = MAX_PIECES):
         self.max_pieces = max_pieces
-        self.table: dict[str, bytes] = {}
-        # One character of a byte-level token stands for one byte of text.
-        self.width = np.zeros(self.tokenizer.get_vocab_size(), dtype=np.int64)
-        for token, i in self.tokenizer.get_vocab().items():
-            self.width[i] = len(token)
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        got = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in got]
-
-    def _ask(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces with a space before each: many are joined to one text
-        whose ids are cut again where the bytes of a piece end."""
-        joined: list[bytes] = []
-        for start in range(0, len(pieces), JOIN):
-            part = pieces[start:start + JOIN]
-            spaced = [" " + p for p in part]
-            got = self.tokenizer.encode("".join(spaced), add_special_tokens=False).ids
-            ids = np.asarray(got, dtype="<u4")
-            ends = np.cumsum([len(p.encode()) for p in spaced])
-            cuts = (np.searchsorted(np.cumsum(self.width[ids]), ends) + 1) * 4
-            raw, start = ids.tobytes(), 0
-            for stop in cuts.tolist():
-                joined.append(raw[start:stop])
-                start = stop
-        return joined
-
-    def _pieces(self, distinct: list[str]) -> list[bytes]:
-        table = self.table
-        missing = [p for p in distinct if p not in table]
+        self._clear()
+
+    def cuts(self, raw: np.ndarray) -> np.ndarray:
+        """Marks of the bytes before which a text may be cut."""
+        raise NotImplementedError
+
+    def ask(self, pieces: list[str]) -> list[list[int]]:
+        """Ids of each piece."""
+        raise NotImplementedError
+
+    def _clear(self) -> None:
+        self.places: dict[bytes, int] = {}
+        self.starts = np.zeros(0, np.int64)
+        self.sizes = np.zeros(0, np.int64)
+        self.flat = np.zeros(0, "<u4")
+
+    def _places(self, distinct: list[bytes]) -> np.ndarray:
+        """Numbers of pieces in the table; new ones are asked for and added."""
+        missing = [p for p in distinct if p not in self.places]
+        if missing and len(self.places) + len(missing) > self.max_pieces:
+            self._clear()
+            missing = distinct
         if missing:
-            if len(table) + len(missing) > self.max_pieces:
-                known = {p: table[p] for p in distinct if p in table}
-                table.clear()
-                table.update(known)
-            table.update(zip(missing, self._ask(missing), strict=True))
-        return [table[p] for p in distinct]
+            got = self.ask([p.decode() for p in missing])
+            sizes = np.fromiter(map(len, got), np.int64, len(got))
+            self.places.update(zip(missing, range(len(self.sizes), len(self.sizes) + len(missing)), strict=True))
+            self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(got), "<u4", int(sizes.sum()))])
+        return np.fromiter(map(self.places.__getitem__, distinct), np.int64, len(distinct))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """``(offsets, ids)`` of a batch: the ids of text i are
         ``ids[offsets[i]:offsets[i + 1]]``. NULL is the empty text."""
-        texts = pc.fill_null(texts, "")
-        n = len(texts)
-        # A space after white space (or at the start) is no safe point to cut.
-        whole = pc.match_substring_regex(texts, r"[\s\x1c-\x1f\x85\p{Z}] |^ ").to_numpy(zero_copy_only=False)
-        plain = pc.if_else(pa.array(whole), "", texts)
-        parts = pc.split_pattern(plain, " ")
-        offsets = parts.offsets.to_numpy().astype(np.int64)
-        offsets = offsets - offsets[0]
-        coded = parts.flatten().dictionary_encode()
-        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        first = np.zeros(len(codes), dtype=bool)
-        first[offsets[:-1]] = True
-        # The first piece of a text has no space before it, the others have.
-        words = coded.dictionary.to_pylist()
-        heads, head_codes = np.unique(codes[first], return_inverse=True)
-        codes[first] = len(words) + head_codes
-        known = self._pieces(words) + self.ids([words[h] for h in heads])
-        sizes = np.fromiter((len(k) for k in known), dtype=np.int64, count=len(known)) // 4
-        flat = np.frombuffer(b"".join(known), dtype="<u4")
-        starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
-        of_piece = sizes[codes]
-        ends = np.cumsum(of_piece)
-        total = int(ends[-1]) if len(ends) else 0
-        index = np.arange(total, dtype=np.int64)
-        index += np.repeat(starts[codes] - (ends - of_piece), of_piece)
-        ids = flat[index]
-        bounds = np.concatenate([[0], ends])[offsets]
-        if whole.any():
-            rows = np.flatnonzero(whole)
-            got = dict(zip(rows.tolist(), self.ids([texts[int(r)].as_py() for r in rows]), strict=True))
-            joined = [np.frombuffer(got[i], dtype="<u4") if i in got else ids[bounds[i]:bounds[i + 1]]
-                      for i in range(n)]
-            bounds = np.concatenate([[0], np.cumsum([len(j) for j in joined])]).astype(np.int64)
-            ids = np.concatenate(joined)
-        return bounds, ids
-
-
-_ENCODERS: dict[str, PieceEncoder] = {}
-
-
-def encoder(path: str) -> PieceEncoder:
-    """One encoder per worker process and vocabulary file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
-    return _ENCODERS[path]
+        offsets, raw = text_bytes(pc.fill_null(texts, ""))
+        if not len(raw):
+            return np.zeros(len(texts) + 1, np.int64), np.empty(0, "<u4")
+        mark = self.cuts(raw)
+        mark[offsets[:-1][offsets[:-1] < len(raw)]] = True
+        begins = np.flatnonzero(mark)
+        bounds = np.append(begins, len(raw)).astype(np.int32)
+        pieces = pa.Array.from_buffers(pa.binary(), len(begins), [None, pa.py_buffer(bounds), pa.py_buffer(raw)])
+        coded = pieces.dictionary_encode()
+        place = self._places(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)]
+        sizes = self.sizes[place]
+        ends = np.cumsum(sizes)
+        index = np.arange(int(ends[-1]))
+        index += np.repeat(self.starts[place] - (ends - sizes), sizes)
+        return np.append(0, ends)[np.searchsorted(begins, offsets)], self.flat[index]
+
+
+class ByteBpe(PieceTable):
+    """A byte-level BPE of the tokenizers library.
+
+    Its pattern never joins letters, digits, other visible characters and white
+    space, but for one blank before a run and the letters of a contraction
+    after an apostrophe. So a text may be cut between two ASCII characters (or
+    letters of two bytes) of different kinds, but not after a blank, after
+    several spaces or between an apostrophe and a letter. ``plain`` makes the strings of added tokens
+    ordinary text; otherwise texts that hold one are encoded whole.
+    """
+
+    def __init__(self, path: str, plain: bool, max_pieces: int = MAX_PIECES):
+        super().__init__(max_pieces)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = plain
+        self.added = [] if plain else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+
+    def cuts(self, raw: np.ndarray) -> np.ndarray:
+        kind = KINDS[raw]
+        # Latin and Cyrillic letters of two bytes, but for the signs for times and divided.
+        lead = np.flatnonzero(LETTER_LEADS[raw[:-1]])
+        lead = lead[~((raw[lead] == 0xC3) & ((raw[lead + 1] & 0xDF) == 0x97))]
+        kind[lead] = kind[lead + 1] = LETTER
+        before, after = kind[:-1], kind[1:]
+        out = np.zeros(len(raw), dtype=bool)
+        out[1:] = ((before != after) & (before != BLANK) & (before != UNKNOWN) & (after != UNKNOWN)
+                   & ~((before == VISIBLE) & (after == APOSTROPHE))
+                   & ~((before == APOSTROPHE) & ((after == VISIBLE) | (after == LETTER)))
+                   & ~((before == SPACE) & (after == BLANK)))
+        # The last of several spaces falls to the run after them: cut after a lone one only.
+        alone = np.ones(len(before), dtype=bool)
+        alone[1:] = (kind[:-2] != SPACE) & (kind[:-2] != BLANK) & (kind[:-2] != UNKNOWN)
+        out[1:] &= (before != SPACE) | alone
+        return out
+
+    def ask(self, pieces: list[str]) -> list[list[int]]:
+        return [e.ids for k in range(0, len(pieces), 4096)
+                for e in self.tokenizer.encode_batch_fast(pieces[k:k + 4096], add_special_tokens=False)]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        held = np.zeros(len(texts), dtype=bool)
+        for token in self.added:
+            held |= pc.fill_null(pc.match_substring(texts, token), False).to_numpy(zero_copy_only=False)
+        if not held.any():
+            return super().encode(texts)
+        offsets, ids = super().encode(pc.if_else(pa.array(held), "", texts))
+        parts = [ids[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+        for k in np.flatnonzero(held).tolist():
+            parts[k] = np.array(self.tokenizer.encode(texts[k].as_py(), add_special_tokens=False).ids, "<u4")
+        return np.append(0, np.cumsum([len(p) for p in parts])), np.concatenate(parts)
+
+    def token_bytes(self) -> list[bytes]:
+        """Bytes of each id: every byte stands as one visible character."""
+        visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in set(visible)]
+        byte_of = {chr(b): b for b in visible} | {chr(256 + k): b for k, b in enumerate(hidden)}
+        tokens = [self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size())]
+        return [bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode() for t in tokens]
+
+
+class PieceBpe(PieceTable):
+    """A BPE of the sentencepiece library that puts a blank before a text; texts
+    come with that blank (``led_by_space``).
+
+    No piece of the vocabulary has a blank after another character, or a line
+    feed beside any, so a text may be cut before a blank that follows another
+    character and before a line feed.
+    """
+
+    def __init__(self, path: str, max_pieces: int = MAX_PIECES):
+        super().__init__(max_pieces)
+        from sentencepiece import SentencePieceProcessor
+
+        self.model = SentencePieceProcessor(model_file=path)
+        pieces = [self.model.id_to_piece(i) for i in range(self.model.vocab_size())]
+        if any("▁" in p.lstrip("▁") or "\n" in p for p in pieces):
+            raise ValueError("pieces of this vocabulary go across blanks or line feeds")
+        self.blank = self.model.piece_to_id("▁")
+
+    def cuts(self, raw: np.ndarray) -> np.ndarray:
+        out = raw == 10
+        out[1:] |= (raw[1:] == 32) & (raw[:-1] != 32)
+        return out
+
+    def ask(self, pieces: list[str]) -> list[list[int]]:
+        # The library adds the blank; before a line feed it stands alone and goes.
+        got = self.model.encode([p[1:] if p[0] == " " else p for p in pieces], num_threads=1)
+        return [[self.blank] if p == " " else ids if p[0] == " " else ids[1:]
+                for p, ids in zip(pieces, got, strict=True)]
+
+    def token_bytes(self) -> list[bytes]:
+        out = []
+        for i in range(self.model.vocab_size()):
+            piece = self.model.id_to_piece(i)
+            out.append(bytes([int(piece[3:5], 16)]) if self.model.is_byte(i) else piece.replace("▁", " ").encode())
+        return out
+
+
+_ENCODERS: dict[tuple, PieceTable] = {}
+
+
+def encoder(kind: type[PieceTable], *args) -> PieceTable:
+    """One encoder per worker process, kind and vocabulary file."""
+    if (kind, args) not in _ENCODERS:
+        _ENCODERS[(kind, args)] = kind(*args)
+    return _ENCODERS[(kind, args)]

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from helpers import DOCS, SMALL, documents, nasty_texts
 
-from dimledger.llm import decontaminate, html_layout, huffman, minhash, pii, tokens, toxicity
+from dimledger.llm import decontaminate, html_layout, huffman, minhash, pii, toxicity
 from dimledger.llm.common import words_csr
 
 SPACES = re.compile(r"[\x20\x09-\x0D]+")
@@ -179,24 +179,11 @@ def reference_ids(texts):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     return [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
-def test_pieces_give_the_ids_of_whole_texts():
-    import public_tokenizers
-
-    texts = ["", " a", "a  b", "x \n y  ", "a\tb c", "é    q", "a\x1c b", "a\x85 b", "<|endoftext|> hi <|endoftext|>",
-             "it's I'll we 've", "a　 b", "a 　b", "a\r\n b", None, "​ b", "1 234 5", "  ", "a" * 5000 + " b"]
-    encoder = tokens.PieceEncoder(public_tokenizers.path("byte_bpe_50k.json"), max_pieces=3)
-    for _ in range(2):
-        bounds, ids = encoder.encode(pa.array(texts))
-        got = [ids[bounds[i]:bounds[i + 1]].tolist() for i in range(len(texts))]
-        assert got == reference_ids(texts)
-
-
 def test_token_files_round_trip(spark):
-    rows = nasty_texts() + [(12, "hello </s> world"), (11, "later id first")]
+    rows = nasty_texts() + [(12, "hello </s> world"), (11, "later id first"), (13, "<|endoftext|> hi<|endoftext|>")]
     got = huffman.token_digests(documents(spark, rows)).collect()
     ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
     ids = [own + [0] for own in reference_ids([t for _, t in ordered])]
