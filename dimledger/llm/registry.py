@@ -3,7 +3,7 @@
 from importlib import import_module
 
 MODULES = ("minhash", "licenses", "quality", "decontaminate", "curriculum", "chat", "huffman",
-           "html_layout", "pii", "toxicity", "alignment", "repair")
+           "html_layout", "pii", "toxicity", "neighbours", "alignment", "repair")
 
 QUERIES: dict = {}
 ORACLE: dict = {}
