@@ -9,13 +9,14 @@ SVD of all passages (one pass: ``A'A`` times a Gaussian test matrix, then a Nyst
 factorisation of that sketch) gives the latent space; the items' own rows
 belong to the factorised matrix, weighted so that the space holds them.
 Passages whose cosine with an item is at least ``COSINE`` there are candidates.
-A space of bounded rank and windows of one length cannot vouch for every item,
-so stretches that hold enough of an item's rarest words (``Anchors``) are
-candidates as well: that test passes every place the check could accept,
-whatever the item's length, its neighbours or the corpus. A candidate counts
-if the longest common subsequence of item and passage is at least
-``LCS_SHARE`` of the item's words within a stretch not much longer than the
-item, and, for items with an answer part, if the answer is there too.
+A space of bounded rank cannot vouch for every item: for those with few terms
+of weight, and those that keep less than ``HELD`` of their length in it, the
+stretches that hold enough of an item's rarest words (``Anchors``) are
+candidates as well, a test that passes every place the check could accept. For
+all others the space alone decides. A candidate counts if the longest common
+subsequence of item and passage is at least ``LCS_SHARE`` of the item's words
+within a stretch not much longer than the item, and, for items with an answer
+part, if the answer is there too.
 
 Flow: one pass over the texts turns each into the numbers of its terms (a
 table of a tenth of the text's size; no shuffle); document frequencies, the
@@ -49,6 +50,7 @@ RANK, OVERSAMPLE = 192, 16
 ANCHOR_SHARE = 6        # an item asks for a sixth of its words as anchors, 2 at least
 COSINE = 0.45
 LCS_SHARE = 0.6
+HELD = 0.6              # items that keep less of their length in the space are searched by anchors as well
 STRETCH = 1.25          # words of a matched stretch, in words of the item
 MAX_DF = 0.005          # terms in more passages have no weight, unless an item has few others
 MIN_DF_CUT = 20         # terms in so few passages always have weight
@@ -304,14 +306,14 @@ def best_stretch(item: np.ndarray, members: np.ndarray, rare: np.ndarray, text:
 
 
 class Anchors:
-    """The rarest words of every item, and where texts hold enough of them.
+    """The rarest words of the asked items, and where texts hold enough of them.
 
     A subsequence of ``enough`` of an item's words misses ``len - enough`` of
     them, so of any ``len - enough + k`` words it holds k. The rarest words are
     taken (all with weight, more where these are few), which keeps the places
     few; no place the check could accept is missed."""
 
-    def __init__(self, items: Items, idf: np.ndarray, total: np.ndarray, enough: list[int]):
+    def __init__(self, items: Items, idf: np.ndarray, total: np.ndarray, enough: list[int], asked: np.ndarray):
         pairs, need = [], []
         for i, (own, least) in enumerate(zip(items.codes, enough, strict=True)):
             missed = len(own) - least
@@ -319,8 +321,9 @@ class Anchors:
                                      missed + max(2, len(own) // ANCHOR_SHARE)))
             rarest = own[np.argsort(total[own], kind="stable")[:size]]
             need.append(size - missed)
-            pairs += [(t, i) for t in set(rarest.tolist())]
-        term, self.item = np.array(sorted(pairs), dtype=np.int64).T
+            if asked[i]:
+                pairs += [(t, i) for t in set(rarest.tolist())]
+        term, self.item = np.array(sorted(pairs), dtype=np.int64).reshape(-1, 2).T
         self.count = np.bincount(term, minlength=items.size)
         self.first = np.cumsum(self.count) - self.count
         self.need = np.array(need, dtype=np.int64)
@@ -354,8 +357,21 @@ class Anchors:
                        (at[lasts] - base).tolist(), strict=True)
 
 
-def search(items: Items, total: np.ndarray, idf: np.ndarray, basis: np.ndarray, cosine: float, share: float):
-    """Links of documents and items: candidates by cosine and by anchors, checked by words."""
+def outside_space(items: Items, idf: np.ndarray, basis: np.ndarray, least: float) -> np.ndarray:
+    """Items the latent space cannot vouch for: those with fewer than
+    ``FEW_TERMS`` terms of weight, and those that keep less than ``least`` of
+    their length in it."""
+    rows, latent = project(*item_rows(items, idf), basis)
+    kept = np.zeros(len(items.ids))
+    kept[rows] = np.linalg.norm(latent, axis=1)
+    few = np.array([len({t for t in own.tolist() if idf[t] > 0}) < FEW_TERMS for own in items.codes])
+    return few | (kept < least)
+
+
+def search(items: Items, total: np.ndarray, idf: np.ndarray, basis: np.ndarray, cosine: float, share: float,
+           held: float):
+    """Links of documents and items: candidates by cosine, for the items the
+    space cannot vouch for by anchors as well, checked by words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n_items = len(items.ids)
         own = np.concatenate([np.full(len(c), i) for i, c in enumerate(items.codes)])
@@ -368,7 +384,7 @@ def search(items: Items, total: np.ndarray, idf: np.ndarray, basis: np.ndarray,
         # A subsequence of ``enough`` words misses len - enough words of the item.
         enough = [int(np.ceil(share * len(c))) for c in items.codes]
         rare_enough = [int(np.count_nonzero(idf[c] > 0)) - len(c) + e for c, e in zip(items.codes, enough, strict=True)]
-        anchors = Anchors(items, idf, total, enough)
+        anchors = Anchors(items, idf, total, enough, outside_space(items, idf, basis, held))
         for batch in batches:
             codes = [np.frombuffer(c, "<u4").astype(np.int64) for c in batch.column("codes").to_pylist()]
             p, t, c, doc, begin = passages(codes, items.size, STRIDE)
@@ -437,7 +453,7 @@ LINKS = "doc_id long, item_id long, cosine double, lcs_words long, item_words lo
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, share: float = LCS_SHARE,
-                 rank: int = RANK, id_col: str = "doc_id", text_col: str = "text",
+                 held: float = HELD, rank: int = RANK, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row per document and item it holds: doc_id, item_id, cosine of the
     candidate passage, lcs_words, item_words."""
@@ -468,14 +484,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE,
         # No more than ``rank`` directions of the passages are stronger than a share of 1 / rank of them.
         y += (max(int(total[0]), 1) / rank * item_sketch(items, idf, width)).astype(np.float32)
         basis = latent_basis(y, rank)
-        out = out.unionByName(table.mapInArrow(search(items, total, idf, basis, cosine, share), LINKS))
+        out = out.unionByName(table.mapInArrow(search(items, total, idf, basis, cosine, share, held), LINKS))
     return out
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, columns unchanged."""
-    held = contaminated(docs, benchmark, **options).select(F.col("doc_id").alias("held_id")).distinct()
-    return docs.join(held, docs["doc_id"].cast("long").eqNullSafe(F.col("held_id")), "left_anti")
+    found = contaminated(docs, benchmark, **options).select(F.col("doc_id").alias("held_id")).distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("own_id"))
+    return rows.join(found, F.col("own_id").eqNullSafe(F.col("held_id")), "left_anti").select("row.*")
 
 
 def op4_decontaminate(spark, sf_dir):
