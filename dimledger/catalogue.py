@@ -16,13 +16,13 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimledger.functions.columns import ts_lit
 from dimledger.operators.relational import (anti_join, any_level_join, exclude, expand_hierarchy,
-                                            fill, latest_per_key, normalise_missing,
+                                            fill, hierarchy_roots, latest_per_key, normalise_missing,
                                             null_safe_join, profile, snapshot_as_of, sum_by)
 from dimledger.operators.scd2 import pit_join, scd2_history, scd2_merge
 from dimledger.operators.watermark import delta_since, next_watermark, watermark_value
@@ -276,6 +276,27 @@ def q_fraud_report(spark, d):
                               report_dt=ts_lit("2024-02-01"))
 
 
+@query("fraud_report_late", REPORT_SQL)
+def q_fraud_report_late(spark, d):
+    """The report over all operations when a third of the blacklist and the
+    contracts of some cards arrive late: built on what was known first, then
+    refreshed; equal to the report from scratch."""
+    folder = checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="dimledger-ckpt-"))
+    customer, orders = table(spark, d, "customer"), table(spark, d, "orders")
+    txn = lineitem_txns(table(spark, d, "lineitem"))
+    terminals = supplier_terminals(table(spark, d, "supplier"), table(spark, d, "nation"))
+    owners = owners_by_order(customer, orders, 90, expiring_passports(customer))
+    blacklist = urgent_blacklist(orders, customer)
+    late = F.pmod(F.xxhash64("passport_num"), F.lit(3)) == 0
+    known_owners = owners.withColumn("account_valid_to", F.when(
+        F.pmod(F.xxhash64("card_num"), F.lit(50)) != 0, F.col("account_valid_to")))
+    known = (known_owners, blacklist.where(~late))
+    path = f"{folder}/dimledger-query/{uuid.uuid4().hex}"
+    fraud.fraud_report(txn, *known, terminals, report_dt=ts_lit("2024-02-01")).write.parquet(path)
+    return fraud.refresh_report(spark.read.parquet(path), txn, known, (owners, blacklist), terminals,
+                                report_dt=ts_lit("2024-02-01"))
+
+
 # ------------------------------------------------------------------ SCD2
 
 SENT = "TIMESTAMP '5999-12-31 00:00:00'"
@@ -639,14 +660,14 @@ def q_replace_window(spark, d):
 @query("fact_reload", """
 SELECT o_orderkey, o_custkey, o_orderdate,
        CASE WHEN o_orderdate <= TIMESTAMP '1998-01-01 00:00:00' THEN DATE '1998-01-01' ELSE DATE '2100-01-01' END AS load_date
-FROM orders WHERE o_orderdate IS NOT NULL
+FROM orders
 """)
 def q_fact_reload(spark, d):
     """All orders through the fact load in two deliveries: the newer one first,
     the older one in part, then both again in full."""
     root = f"{checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix='dimledger-ckpt-'))}/dimledger-query/{uuid.uuid4().hex}"
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("timestamp_ntz")
-                                              .alias("o_orderdate")).where("o_orderdate IS NOT NULL")
+                                              .alias("o_orderdate"))
     cut = ts_lit("1998-01-01 00:00:00")
     old, new = orders.where(F.col("o_orderdate") <= cut), orders.where(F.col("o_orderdate") > cut)
     for delivery, day in ((new, _dt.date(2100, 1, 1)), (old.where("o_orderstatus = 'F'"), _dt.date(1998, 1, 1)),
@@ -655,6 +676,45 @@ def q_fact_reload(spark, d):
     return spark.read.parquet(f"{root}/facts").select("o_orderkey", "o_custkey", "o_orderdate", "load_date")
 
 
+@query("late_fact_load", """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderdate END AS o_orderdate,
+       CASE WHEN o_orderkey % 5 = 0 THEN DATE '2100-01-02' ELSE DATE '2100-01-01' END AS load_date
+FROM orders
+""")
+def q_late_fact_load(spark, d):
+    """Two deliveries of orders, some without a time: the second one has all
+    rows, among them a fifth that are older than the watermark and were not
+    delivered before; then both again. Every order is loaded once."""
+    root = f"{checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix='dimledger-ckpt-'))}/dimledger-query/{uuid.uuid4().hex}"
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", F.when(
+        F.col("o_orderkey") % 7 != 0, F.col("o_orderdate").cast("timestamp_ntz")).alias("o_orderdate"))
+    first = orders.where("o_orderkey % 5 <> 0")
+    days = _dt.date(2100, 1, 1), _dt.date(2100, 1, 2)
+    for delivery, day in ((first, days[0]), (orders, days[1]), (first, days[0]), (orders, days[1])):
+        bank.load_facts(spark, f"{root}/facts", f"{root}/meta", delivery, ["o_orderdate"], day)
+    return spark.read.parquet(f"{root}/facts").select("o_orderkey", "o_custkey", "o_orderdate", "load_date")
+
+
+@query("category_closure", """
+WITH RECURSIVE node AS (
+  SELECT o_orderkey AS id,
+         lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS parent FROM orders),
+tree AS (
+  SELECT id, id AS root, CAST(0 AS BIGINT) AS depth FROM node WHERE parent IS NULL
+  UNION ALL
+  SELECT n.id, t.root, t.depth + 1 FROM node n JOIN tree t ON n.parent = t.id)
+SELECT id, root, depth, false AS cyclic FROM tree
+""")
+def q_category_closure(spark, d):
+    """Chains of a customer's orders, each below the one before: a forest as
+    deep as the longest chain."""
+    checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="dimledger-ckpt-"))
+    o = table(spark, d, "orders")
+    before = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    return hierarchy_roots(o.select(F.col("o_orderkey").alias("id"), F.lag("o_orderkey").over(before).alias("parent")),
+                           "id", "parent")
+
+
 @query("profile", """
 SELECT count(*) AS rows, count(l_orderkey) AS l_orderkey, count(l_partkey) AS l_partkey,
        count(l_suppkey) AS l_suppkey, count(l_linenumber) AS l_linenumber,

@@ -7,6 +7,8 @@ whole-stage codegen; none is a Python UDF.
 from __future__ import annotations
 
 import datetime as _dt
+from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -115,16 +117,23 @@ def lenient_timestamp(c) -> Column:
     return c.cast("string").try_cast("timestamp_ntz")
 
 
-def exact_sum(c, scale: int = 6) -> Column:
+def exact_sum(c, scale: int = 12) -> Column:
     """Sum of a money/quantity column that does not depend on row order.
 
     Double addition is not associative, so partial sums on different executors
-    can differ in the last bit from run to run. Values are summed as whole
-    units of ``10^-scale`` in a long (exact and fast, unlike a widened
-    decimal) and returned as double; equal to summing ``decimal(18, scale)``.
-    ``scale`` must cover the column's own decimals; a group beyond the long's
-    range raises (9.2e12 at the default).
+    can differ in the last bit from run to run. A value is split into bands:
+    its whole part, its millionths, and the rest in units of ``10^-12``. Each
+    band is summed as a long (exact, with a map-side combine, and faster than
+    a widened decimal); one addition of the three sums as decimals and one
+    rounding to double end it. Equal to summing ``decimal(38, scale)``, up to
+    9.2e18 in a group, beyond which it raises; ``scale`` is at most 12.
     """
     c = F.col(c) if isinstance(c, str) else c
-    unit = 10 ** scale
-    return F.sum(F.round(c * unit).cast("bigint")) / F.lit(float(unit))
+    whole = F.floor(c).cast("bigint")
+    units = F.round((c - whole) * F.lit(10 ** scale)).cast("bigint")
+    fine = 10 ** max(scale - 6, 0)                     # units of a millionth
+    bands = [(whole, 1), ((units - units % fine) / fine, 10 ** min(scale, 6)), (units % fine, 10 ** scale)]
+    # Sums of bands are whole numbers far below 10^22; 12 digits follow the point.
+    sums = [F.sum(band.cast("bigint")).cast("decimal(24,0)") / F.lit(Decimal(unit))
+            for band, unit in (bands if scale > 6 else bands[:2])]
+    return reduce(lambda a, b: a + b, [part.cast("decimal(38,12)") for part in sums]).cast("double")

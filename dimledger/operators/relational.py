@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from dimledger.functions.columns import exact_sum
 
 __all__ = [
-    "latest_per_key", "snapshot_as_of", "expand_hierarchy", "level_ids", "any_level_join",
+    "latest_per_key", "snapshot_as_of", "expand_hierarchy", "hierarchy_roots", "level_ids", "any_level_join",
     "deepest_level_join", "anti_join", "exclude", "fill", "normalise_missing", "sum_by",
     "null_safe_join", "union_all", "profile", "preview",
 ]
@@ -65,6 +65,43 @@ def expand_hierarchy(nodes: DataFrame, id_col: str, parent_col: str, root: Colum
     return paths.select(*chain[1:]).distinct()
 
 
+def hierarchy_roots(nodes: DataFrame, id_col: str, parent_col: str) -> DataFrame:
+    """(id, root, depth, cyclic) of every node of a forest of any depth.
+
+    Pointer doubling: each node points ``depth`` steps up; a round replaces the
+    pointer by the pointer's pointer, so a chain of n nodes takes log2(n)
+    rounds of one equi-join, each written to the checkpoint folder, and only
+    nodes that have not arrived take part. A parent that is NULL or no node of
+    the table ends a chain. Nodes on a cycle or below one never arrive: once
+    a pointer has gone more steps than there are nodes, those left are
+    reported with ``cyclic`` and without a root. ``id_col`` must be unique.
+    """
+    known = nodes.select(F.col(id_col).alias("_known"))
+    step = (nodes.join(known, F.col(parent_col) == F.col("_known"), "left")
+            .select(F.col(id_col).alias("id"), F.col("_known").alias("up"),
+                    F.when(F.col("_known").isNull(), 0).otherwise(1).cast("long").alias("depth")))
+    arrived = step.where("up IS NULL").select("id", F.col("id").alias("root"), "depth").checkpoint()
+    moving = step.where("up IS NOT NULL").checkpoint()
+    total = nodes.count()
+    reach = 1
+    while reach <= total:
+        there = arrived.select(F.col("id").alias("_id"), "root", F.col("depth").alias("_more"))
+        landed = moving.join(there, F.col("up") == F.col("_id")).select(
+            "id", "root", (F.col("depth") + F.col("_more")).alias("depth"))
+        on = moving.select(F.col("id").alias("_id"), F.col("up").alias("_up"), F.col("depth").alias("_more"))
+        ahead = moving.join(on, F.col("up") == F.col("_id")).select(
+            "id", F.col("_up").alias("up"), (F.col("depth") + F.col("_more")).alias("depth"))
+        arrived = arrived.unionByName(landed).checkpoint()
+        moving = ahead.checkpoint()
+        if moving.isEmpty():
+            break
+        reach *= 2
+    done = arrived.select("id", "root", "depth", F.lit(False).alias("cyclic"))
+    lost = moving.select("id", F.lit(None).cast(dict(nodes.dtypes)[id_col]).alias("root"),
+                         F.lit(None).cast("long").alias("depth"), F.lit(True).alias("cyclic"))
+    return done.unionByName(lost)
+
+
 def level_ids(cats: DataFrame, levels: list[str], out: str = "_cat_id",
               distinct: bool = True) -> DataFrame:
     """Every id that appears at any level (once, with ``distinct``)."""

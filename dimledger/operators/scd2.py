@@ -54,8 +54,9 @@ def scd2_merge(hist: DataFrame, snapshot: DataFrame, key: list[str], tracked: li
     * ``I`` new key (or a key whose open row is a tombstone, D-30): open a version;
     * ``U`` a tracked attribute changed, NULL-safe (D-01, D-03): close the open
       version one second before the new one starts and open the new one;
-    * ``D`` key absent from the snapshot (D-04): close it at ``run_ts - 1s`` and
-      open a tombstone carrying the last attributes, ``deleted_flg = 1`` (D-05);
+    * ``D`` key absent from the snapshot (D-04): close it at ``run_ts - 1s`` (at
+      its own start, if that is later) and open a tombstone carrying the last
+      attributes, ``deleted_flg = 1`` (D-05);
     * ``S`` otherwise: unchanged. Untracked changes do not make a version.
 
     A new version starts at ``from_col`` of the snapshot row (the source's
@@ -97,6 +98,8 @@ def scd2_merge(hist: DataFrame, snapshot: DataFrame, key: list[str], tracked: li
     # A change stamped at or before the start of the version it replaces (a
     # late correction) starts one second after it, so versions never overlap.
     new_from = F.when(in_h, F.greatest(stamped, F.col(f"h.{FROM}") + one_second())).otherwise(stamped)
+    # So does the tombstone of a version that starts at or after the run.
+    gone_from = F.greatest(run_ts, F.col(f"h.{FROM}") + one_second())
 
     def version(side: str, start: Column, end: Column, flag: int | Column) -> Column:
         return F.struct(*[F.col(f"{side}.{c}").alias(c) for c in cols],
@@ -110,10 +113,10 @@ def scd2_merge(hist: DataFrame, snapshot: DataFrame, key: list[str], tracked: li
     old = F.when(chg == "S", version("h", F.col(f"h.{FROM}"), F.col(f"h.{TO}"), F.col(f"h.{DELETED}"))) \
         .when(in_h & in_s & chg.isin("U", "I"),
               version("h", F.col(f"h.{FROM}"), new_from - one_second(), F.col(f"h.{DELETED}"))) \
-        .when(chg == "D", version("h", F.col(f"h.{FROM}"), run_ts - one_second(), 0))
+        .when(chg == "D", version("h", F.col(f"h.{FROM}"), gone_from - one_second(), 0))
     # The row that opens now: a new version, or a tombstone.
     new = F.when(chg.isin("I", "U"), version("s", new_from, _sentinel(), 0)) \
-        .when(chg == "D", version("h", run_ts, _sentinel(), 1))
+        .when(chg == "D", version("h", gone_from, _sentinel(), 1))
 
     # inline turns an empty slot into a row of NULLs, without the presence
     # flag (no lambda: stays in codegen)

@@ -11,8 +11,9 @@ facts behind a high-water mark, written so that a rerun is harmless.
   rewritten, so the daily cost follows the number of live keys, not the
   length of the history.
 * Facts are partitioned by load date and a day is replaced as a whole: by the
-  delivery's rows beyond the watermark of the days *before* it, so that a day
-  delivered again, with more rows or out of order, is complete.
+  delivery's rows that no other day holds. Rows beyond the watermark of the
+  days *before* it need no look; late rows and rows without a time are looked
+  up in an index of loaded rows, so that none is lost or loaded twice.
 * The watermark is a table of one row per load date, written to a new version
   directory and published last.
 """
@@ -20,6 +21,7 @@ facts behind a high-water mark, written so that a rerun is harmless.
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +29,7 @@ from pyspark.sql import types as T
 
 from dimledger.functions.columns import SENTINEL, strip_spaces, ts_lit
 from dimledger.operators.scd2 import TO, scd2_merge
-from dimledger.operators.watermark import delta_since, next_watermark, watermark_value
+from dimledger.operators.watermark import next_watermark, watermark_value
 from dimledger.sources import schemas
 from dimledger.sources.readers import daily_csv_rejects, read_daily_csv
 from dimledger.sources.sinks import (current_version, new_version_path, publish, read_if_exists,
@@ -83,18 +85,34 @@ def load_dimension(spark: SparkSession, root: str, snapshot: DataFrame, key: lis
 
 def load_facts(spark: SparkSession, fact_root: str, meta_root: str, delivery: DataFrame,
                ts_cols: list[str], load_date: _dt.date) -> None:
-    """Make the delivery's rows beyond the watermark of the earlier load dates
-    the ``load_date`` partition, then store this date's watermark.
-
-    The watermark table has a row per load date, so a day delivered again (with
-    more rows, or none) or after a newer day is loaded as if in its turn.
+    """Make the delivery's rows that no other load date holds the ``load_date``
+    partition, then store this date's watermark.
+
+    Rows beyond the watermark of the earlier load dates are new without a
+    look. The others, late rows and rows without a time, are looked up in an
+    index of loaded rows (a digest per row, by load date): each is kept
+    once, on the first date that delivers it. When an older day comes after a
+    newer one, all its rows are looked up. The watermark table has a row per
+    load date, so a day delivered again, with more rows or none, is complete.
     """
     meta = read_current(spark, meta_root)
-    day = F.lit(load_date)
-    earlier = None if meta is None else meta.where(F.col("load_date") < day)
-    delta = delta_since(delivery, watermark_value(earlier), ts_cols)
-    replace_partition(delta, fact_root, "load_date", load_date.isoformat())
-    loaded = spark.read.parquet(f"{fact_root.rstrip('/')}/load_date={load_date.isoformat()}")
+    day, today = F.lit(load_date), load_date.isoformat()
+    index_root = f"{meta_root.rstrip('/')}_index"
+    rows = delivery.withColumn("_digest", F.unhex(F.md5(F.to_json(F.struct(*delivery.columns)))))
+    index = read_if_exists(spark, index_root)
+    if index is not None:
+        others = index.where(F.col("load_date") != day).select(F.col("digest").alias("_digest"))
+        newest = read_current(spark, meta_root).agg(F.max("load_date")).first()[0]
+        if newest is not None and newest > load_date:
+            rows = rows.join(others, "_digest", "left_anti")
+        else:
+            wm = watermark_value(meta.where(F.col("load_date") < day))
+            fresh = reduce(lambda a, b: a | b, [F.coalesce(F.col(c) > wm, F.lit(False)) for c in ts_cols])
+            rows = rows.where(fresh).unionByName(rows.where(~fresh).join(others, "_digest", "left_anti"))
+    with staged(rows) as copy:
+        replace_partition(copy.drop("_digest"), fact_root, "load_date", today)
+        replace_partition(copy.select(F.col("_digest").alias("digest")), index_root, "load_date", today)
+    loaded = spark.read.parquet(f"{fact_root.rstrip('/')}/load_date={today}")
     wm = next_watermark(loaded, ts_cols).withColumn("load_date", day)
     if meta is not None:
         wm = wm.unionByName(meta.where(F.col("load_date") != day))

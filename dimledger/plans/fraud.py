@@ -32,7 +32,7 @@ from dimledger.sources.schemas import REPORT, conform
 from dimledger.sources.sinks import replace_partition, write_partition
 
 __all__ = ["card_owners", "rule_blacklisted", "rule_expired_document", "rule_expired_contract",
-           "velocity_rule", "fraud_report", "write_report", "REPORT_COLUMNS"]
+           "velocity_rule", "fraud_report", "refresh_report", "write_report", "REPORT_COLUMNS"]
 
 REPORT_COLUMNS = ["event_dt", "passport", "fio", "phone", "event_type"]
 OWNER_COLUMNS = ["card_num", "account_num", "account_valid_to", "client_id", "passport_num",
@@ -238,6 +238,34 @@ def fraud_report(txn: DataFrame, owners: DataFrame, blacklist: DataFrame, termin
             .withColumn("report_dt", report_dt.cast("timestamp_ntz")))
 
 
+def refresh_report(report: DataFrame, txn: DataFrame, before: tuple[DataFrame, DataFrame],
+                   after: tuple[DataFrame, DataFrame], terminals: DataFrame, report_dt: Column,
+                   **options) -> DataFrame:
+    """``report`` brought up to date after owners or blacklist rows arrived late.
+
+    ``before`` and ``after`` are (owners, blacklist) as the report knew them
+    and as they are now. Owner rows (with the first blacklist entry of their
+    passport) that are only in one of both name the passports whose events may
+    differ; their old events are retracted, and events are made anew from the
+    operations of all cards that have or had such a passport. Equal to the
+    report from scratch over the same operations, but only these cards'
+    operations are joined. New operations are the daily report's work.
+    """
+    old, new = (_attach_blacklist(owners, blacklist) for owners, blacklist in (before, after))
+    columns = [c for c in new.columns if c in old.columns]
+    old, new = old.select(*columns), new.select(*columns)
+    changed = (old.withColumn("_side", F.lit(1)).unionByName(new.withColumn("_side", F.lit(-1)))
+               .groupBy(*columns).agg(F.sum("_side").alias("_n")).where("_n <> 0"))
+    passports = changed.select(F.col("passport_num").alias("_passport")).distinct().checkpoint()
+    cards = (old.unionByName(new).join(passports, F.col("passport_num").eqNullSafe(F.col("_passport")), "left_semi")
+             .select("card_num").distinct())
+    again = fraud_report(txn.join(cards, "card_num", "left_semi"), after[0].join(cards, "card_num", "left_semi"),
+                         after[1], terminals, report_dt, **options)
+    again = again.join(passports, F.col("passport").eqNullSafe(F.col("_passport")), "left_semi")
+    kept = report.join(passports, F.col("passport").eqNullSafe(F.col("_passport")), "left_anti")
+    return kept.unionByName(again)
+
+
 def write_report(report: DataFrame, path: str, run_date=None) -> None:
     """Store a report run as the partition of its report date, replacing that
     day on a rerun (D-10), also when the rerun has no events if ``run_date``
