@@ -37,8 +37,9 @@ from pyspark.sql import functions as F
 
 from dimledger.llm.common import relation, slices, staged
 
-BLOCK_BYTES = 4 << 20       # text of a block; a longer text has a block of its own
-LINKS_AT_ONCE = 1 << 22     # links formed before equal ones are added up
+BLOCK_BYTES = 2 << 20       # text of a block; a longer text has a block of its own
+LINKS_AT_ONCE = 1 << 20     # links formed before equal ones are added up
+PIECES = 400_000            # pieces that each encoder of a worker remembers
 MANY = 64                   # links of a group from which equal ids in it are added up first
 
 BLOCKS = ("block long, doc_id array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, "
@@ -166,7 +167,7 @@ class Aligner:
     def __init__(self, a_path: str, b_path: str):
         from dimledger.llm.tokens import ByteBpe, PieceBpe, encoder
 
-        self.a, self.b = encoder(ByteBpe, a_path, True), encoder(PieceBpe, b_path)
+        self.a, self.b = encoder(ByteBpe, a_path, True, PIECES), encoder(PieceBpe, b_path, PIECES)
         self.table_a, self.table_b = (pa.array(e.token_bytes(), pa.binary()) for e in (self.a, self.b))
         self.width_a, self.width_b = (pc.binary_length(t).to_numpy().astype(np.int64)
                                       for t in (self.table_a, self.table_b))
@@ -257,9 +258,9 @@ def align(docs: DataFrame, a_path: str, b_path: str, block_bytes: int = BLOCK_BY
     (1 if no other id of B has more with this id of A). ``a_path`` is a file of
     the tokenizers library, ``b_path`` one of sentencepiece.
     """
-    from dimledger.llm.tokens import PieceBpe, encoder
+    from dimledger.llm.tokens import PieceBpe
 
-    width = len(encoder(PieceBpe, b_path).token_bytes())
+    width = len(PieceBpe(b_path).token_bytes())
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     blocks = staged(source.mapInArrow(_align(a_path, b_path, block_bytes), BLOCKS), "blocks")
     pairs = staged(blocks.select(F.explode(F.arrays_zip("pairs", "documents")).alias("e"))
