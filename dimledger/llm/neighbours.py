@@ -234,7 +234,8 @@ def labelled_vectors(docs: DataFrame, labels: DataFrame, space: Space, max_rows:
     rows = staged(own.mapInArrow(run, "doc_id long, label int, vector array<float>"), "labelled")
     # A doc_id of several rows has several vectors; they too are bounded.
     table = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "vector").limit(max_rows).toArrow()
-    vectors = table.column("vector").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
+    vectors = table.column("vector").combine_chunks().flatten().to_numpy().reshape(
+        table.num_rows, space.basis.shape[1])
     return vectors, table.column("label").to_numpy().astype(np.float64)
 
 
