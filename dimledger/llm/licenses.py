@@ -1,6 +1,6 @@
 """Licence scan: canonical digests of entire texts, hash-joined to known ones.
 
-``canonical`` brings a text to a form in which wordings of the same licence
+A canonical form brings a text to a form in which wordings of the same licence
 agree: lower case, curly quotes and dashes and all other punctuation as one
 space, lines that are copyright notices dropped, equivalent spellings made
 one. Its SHA-256 is the key of an equi-join with the digests of the known
@@ -10,9 +10,10 @@ stand alone on a line, each of its lines as a text of its own.
 Everything is Spark functions: no user function, no Python on the executors.
 The known licences are the notices and short texts of ``KNOWN`` and the full
 published texts in ``license_texts``, one file each, with and without their
-title lines and appendices (bounded; only their digests are broadcast). The
-units of a document are made and joined inside one task; one shuffle of
-narrow partial results puts them together per row.
+title lines and appendices. A text is canonicalised once with its line feeds
+kept; its entire form joins the registry by digest, its lines are looked up in
+the registry inside the row. Rows are never split, so nothing has to be put
+together again, and nothing is shuffled while Spark finds the registry small.
 
 Defined results: a NULL or empty text (or one of punctuation or copyright
 lines alone) has no digest and no licence; repeated rows give a row each; an
@@ -22,7 +23,7 @@ empty table gives an empty result; other columns of the input are not read.
 from __future__ import annotations
 
 import re
-from functools import cache
+from functools import cache, reduce
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -140,27 +141,46 @@ def published() -> dict[str, list[str]]:
 
 # A line that only says whose copyright it is, after lower-casing.
 NOTICE_LINE = r"(^|\n)[\x20\t#*/;-]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
+NOTICE_SIGNS = ("copyright", "(c)", "©", "all rights reserved")
 # ASCII punctuation and space, no-break space, the Latin-1 copyright signs and quotes, general punctuation.
 PUNCTUATION = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F\x{A0}\x{A9}\x{AB}\x{AE}\x{BB}\x{2000}-\x{206F}]+"
+IN_LINES = PUNCTUATION.replace(r"\x00-", r"\x00-\x09\x0B-", 1)         # all of it but the line feed
+ANY_SPELLING = " (?:" + "|".join(SPELLINGS) + ") "
 
 
-def canonical(lowered: Column) -> Column:
-    """The form in which texts of one licence agree ('' if nothing is left), of
-    a text already in lower case."""
-    out = lowered
-    # Twice: notices on neighbouring lines share the line break between them.
-    for _ in range(2):
-        out = F.regexp_replace(out, NOTICE_LINE, "\n")
-    out = F.concat(F.lit(" "), F.regexp_replace(out, PUNCTUATION, " "), F.lit(" "))
+def _lines_left(lowered: Column) -> Column:
+    """The text without notice lines, punctuation but line feeds as one space."""
+    signs = reduce(lambda a, b: a | b, [F.contains(lowered, F.lit(sign)) for sign in NOTICE_SIGNS])
+    kept = F.when(signs, F.regexp_replace(lowered, NOTICE_LINE, "\n")).otherwise(lowered)
+    return F.regexp_replace(kept, IN_LINES, " ")
+
+
+def _one_line(lines: Column) -> Column:
+    """Lines as one, runs of line feeds and spaces as one space, a space at both ends."""
+    flat = F.replace(F.regexp_replace(lines, r"\n[ \n]*", " "), F.lit("  "), F.lit(" "))
+    return F.concat(F.lit(" "), flat, F.lit(" "))
+
+
+def _agreed(spaced: Column) -> Column:
+    out = spaced
     for form, agreed in SPELLINGS.items():
         out = F.replace(out, F.lit(f" {form} "), F.lit(f" {agreed} "))
-    return F.trim(out)
+    return out
 
 
-def digest(lowered: Column) -> Column:
-    """SHA-256 of the canonical form; NULL where that is empty."""
-    form = canonical(lowered)
-    return F.when(form != "", F.sha2(form, 256))
+def with_forms(df: DataFrame, lowered: Column, line_forms: bool = True) -> DataFrame:
+    """``df`` with ``form``, in which texts of one licence agree ('' if nothing
+    is left), and ``line_forms``, those of the text's lines; ``lowered`` is the
+    text in lower case. Texts without a spelling to change pass that step by."""
+    marked = df.withColumn("_lines", _lines_left(lowered))
+    flat = marked.withColumn("_flat", _one_line(F.col("_lines")))
+    odd = flat.withColumn("_odd", F.regexp_like("_flat", F.lit(ANY_SPELLING)))
+    out = odd.withColumn("form", F.trim(F.when(F.col("_odd"), _agreed(F.col("_flat"))).otherwise(F.col("_flat"))))
+    if line_forms:
+        wide = F.concat(F.lit(" "), F.replace(F.col("_lines"), F.lit("\n"), F.lit(" \n ")), F.lit(" "))
+        lines = F.when(F.col("_odd"), _agreed(wide)).otherwise(F.col("_lines"))
+        out = out.withColumn("line_forms", F.transform(F.split(lines, "\n"), lambda line: F.trim(line)))
+    return out.drop("_lines", "_flat", "_odd")
 
 
 def known_licenses(spark: SparkSession, known: dict[str, list[str]] | None = None) -> DataFrame:
@@ -169,30 +189,26 @@ def known_licenses(spark: SparkSession, known: dict[str, list[str]] | None = Non
     registries = [known] if known else [KNOWN, published()]
     rows = [F.struct(F.lit(name).alias("license"), F.lit(text).alias("text"))
             for registry in registries for name, texts in registry.items() for text in texts]
-    return (spark.range(1).select(F.inline(F.array(*rows)))
-            .select("license", digest(F.lower("text")).alias("known_digest"))
-            .groupBy("known_digest").agg(F.min("license").alias("license")))
+    forms = with_forms(spark.range(1).select(F.inline(F.array(*rows))), F.lower("text"), line_forms=False)
+    return (forms.filter("form <> ''").groupBy(F.sha2("form", 256).alias("known_digest"))
+            .agg(F.min("license").alias("license")))
 
 
 def license_scan(docs: DataFrame, known: dict[str, list[str]] | None = None,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, ``digest`` and ``license`` of its entire
     text, and the licences of its lines, sorted (``notices``)."""
-    source = docs.select(F.monotonically_increasing_id().alias("row_no"), F.col(id_col).alias("doc_id"),
-                         F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
-    text = F.col("text")
-    lines = F.transform(F.split(text, "\n"), lambda x: F.struct(F.lit(False).alias("entire"), x.alias("unit")))
-    whole = F.struct(F.lit(True).alias("entire"), text.alias("unit"))
+    registry = known_licenses(docs.sparkSession, known)
+    source = docs.select(F.col(id_col).alias("doc_id"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("_text"))
+    pairs = registry.select(F.map_from_entries(F.collect_list(F.struct("known_digest", "license")))).scalar()
+    formed = with_forms(source, F.col("_text")).drop("_text").withColumn("_known", pairs)
+    # Lines: the digests that are known (a hash set per row), then their licences.
+    hits = F.array_intersect(F.transform("line_forms", lambda form: F.sha2(form, 256)), F.map_keys("_known"))
+    names = F.array_sort(F.array_distinct(F.transform(hits, lambda digest: F.element_at("_known", digest))))
+    keyed = formed.select("doc_id", F.when(F.col("form") != "", F.sha2("form", 256)).alias("digest"),
+                          F.array_join(names, ",").alias("notices"))
     # A text of one line is its own line as well, so it is listed as a notice too.
-    units = source.select("row_no", "doc_id", F.inline(F.concat(F.array(whole), lines)))
-    keyed = units.select("row_no", "doc_id", "entire", digest(F.col("unit")).alias("digest"))
-    found = keyed.join(F.broadcast(known_licenses(docs.sparkSession, known)),
-                       F.col("digest") == F.col("known_digest"), "left")
-    return (found.filter("entire OR license IS NOT NULL").groupBy("row_no", "doc_id")
-            .agg(F.max(F.when(F.col("entire"), F.col("digest"))).alias("digest"),
-                 F.max(F.when(F.col("entire"), F.col("license"))).alias("license"),
-                 F.array_join(F.sort_array(F.collect_set(F.when(~F.col("entire"), F.col("license")))), ",")
-                 .alias("notices"))
+    return (keyed.join(registry, F.col("digest") == F.col("known_digest"), "left")
             .select("doc_id", "digest", "license", "notices"))
 
 
