@@ -68,10 +68,11 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 8 << 20
+def slices(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 8 << 20, max_rows: int = 10_000
            ) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that each holds about ``max_bytes`` of text (one
-    row at least), which bounds the memory of the vectorised steps."""
+    row at least) and ``max_rows`` rows, which bounds the memory of the
+    vectorised steps."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -81,6 +82,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 8 << 2
         while start < batch.num_rows:
             base = ends[start - 1] if start else 0
             stop = max(start + 1, int(np.searchsorted(ends, base + max_bytes, side="right")))
+            stop = min(stop, start + max_rows)
             yield batch.slice(start, stop - start)
             start = stop
 

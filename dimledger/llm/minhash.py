@@ -1,7 +1,7 @@
 """MinHash near-dedup with DartMinHash signatures.
 
-A text is the set of its five-word shingles (a shorter text is one shingle),
-weighted 1 each or by count. Elements own the strip ``[0, weight)`` of a
+A text is the bag of its five-word shingles (a shorter text is one shingle),
+weighted 1 each, or by count. Elements own the strip ``[0, weight)`` of a
 weight axis; darts are thrown at the plane (weight, rank) by hashing, with
 Poisson counts per unit of weight and dyadic interval of rank, so every
 document that has an element sees the same darts in its strip. A dart hashes
@@ -50,6 +50,9 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 26, 5      # a pair of similarity 0.8 shares no band with probability 3e-5
 FIRST_RANK = 1.0 / 64    # the first interval of ranks; the others double
+LONGEST = 32.0           # up to this length
+SLICE_ROWS = 512         # texts whose darts are thrown together: some 70 kB each
+CROWD = 256              # members of a bucket from which its pairs are dealt to several tasks
 U64 = np.uint64
 
 
@@ -104,27 +107,28 @@ def _poisson(u: np.ndarray, mean: float) -> np.ndarray:
     """Poisson counts by inversion of uniform numbers."""
     p = term = np.exp(-mean)
     count = np.zeros(len(u), dtype=np.int64)
+    above = np.flatnonzero(u >= p)
     k = 0
-    while True:
-        above = u >= p
-        if not above.any() or k > 64:
-            return count
-        count += above
+    while len(above) and (term > 0 or k < mean):     # beyond that the sum is 1 to the last bit
+        count[above] += 1
         k += 1
         term *= mean / k
         p += term
+        above = above[u[above] >= p]
+    return count
 
 
-def _throw(owner: np.ndarray, element: np.ndarray, weight: np.ndarray, limit: np.ndarray, k: int,
+def _throw(owner: np.ndarray, element: np.ndarray, weight: np.ndarray, begin: np.ndarray, limit: np.ndarray, k: int,
            best: np.ndarray) -> None:
-    """Throw all darts of ranks below the limit of their document; ``best``
-    (documents x k, flat) keeps the earliest rank per coordinate."""
+    """Throw all darts of the intervals of ranks that start at ``begin`` or
+    later and below the limit of their document; ``best`` (documents x k,
+    flat) keeps the earliest rank per coordinate."""
     # Unit cells of the weight axis; the last one may be cut.
     cells = np.ceil(weight).astype(np.int64)
     if len(cells) and cells.max() > 1:
         index = np.repeat(np.arange(len(cells)), cells)
         cell = np.arange(len(index)) - np.repeat(np.cumsum(cells) - cells, cells)
-        owner, element, limit = owner[index], element[index], limit[index]
+        owner, element, begin, limit = owner[index], element[index], begin[index], limit[index]
         room = weight[index] - cell
         element = mix64(element + (cell.astype(U64) + U64(1)) * U64(0xD1B54A32D192ED03))
     else:
@@ -132,7 +136,8 @@ def _throw(owner: np.ndarray, element: np.ndarray, weight: np.ndarray, limit: np
         element = mix64(element + U64(0xD1B54A32D192ED03))
     low, high, interval = 0.0, FIRST_RANK, 0
     while len(element):
-        seed = mix64(element ^ mix64(np.array([interval + 1], dtype=U64))[0])
+        now = np.flatnonzero(begin <= low)
+        seed = mix64(element[now] ^ mix64(np.array([interval + 1], dtype=U64))[0])
         count = _poisson(_uniform(seed), high - low)
         total = int(count.sum())
         if total:
@@ -141,21 +146,22 @@ def _throw(owner: np.ndarray, element: np.ndarray, weight: np.ndarray, limit: np
             dart = mix64(seed[of] + (nth.astype(U64) + U64(1)) * U64(0x9E3779B97F4A7C15))
             rank = low + (high - low) * _uniform(dart)
             second = mix64(dart ^ U64(0xA0761D6478BD642F))
+            of = now[of]
             inside = _uniform(second) < room[of]
             coordinate = ((mix64(second) >> U64(32)) * U64(k)) >> U64(32)
             slot = owner[of] * k + coordinate.astype(np.int64)
             np.minimum.at(best, slot[inside], rank[inside])
-        low, high, interval = high, high * 2, interval + 1
+        low, high, interval = high, high + min(high, LONGEST), interval + 1
         more = limit > low
-        owner, element, room, limit = owner[more], element[more], room[more], limit[more]
+        owner, element, room, begin, limit = owner[more], element[more], room[more], begin[more], limit[more]
 
 
 def dart_minhash(offsets: np.ndarray, elements: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
     """Signatures (documents x k) of weighted sets; rows of empty sets are inf.
 
-    A document whose darts leave a coordinate empty throws to twice the rank,
-    again until none is empty; ranks are fixed points, so the earliest dart of
-    a coordinate does not depend on how far a document had to throw.
+    A document whose darts leave a coordinate empty goes on to twice the rank,
+    until none is empty; ranks are fixed points, so the earliest dart of a
+    coordinate does not depend on how far a document had to throw.
     """
     n = len(offsets) - 1
     sizes = np.diff(offsets)
@@ -163,14 +169,17 @@ def dart_minhash(offsets: np.ndarray, elements: np.ndarray, weights: np.ndarray,
     total = np.bincount(owner, weights=weights, minlength=n)
     best = np.full((n, k), np.inf)
     limit = np.divide(k * (np.log(k) + 2.0), total, out=np.zeros(n), where=total > 0)
+    begin = np.zeros(n)
     todo = np.flatnonzero(sizes)
     while len(todo):
         mine = np.zeros(n, dtype=bool)
         mine[todo] = True
         pick = mine[owner]
-        _throw(owner[pick], elements[pick], weights[pick], limit[owner[pick]], k, best.reshape(-1))
+        _throw(owner[pick], elements[pick], weights[pick], begin[owner[pick]], limit[owner[pick]], k,
+               best.reshape(-1))
         # A rank beyond the limit may not be the earliest: count it as missing.
         todo = todo[(best[todo] > limit[todo, None]).any(axis=1)]
+        begin[todo] = limit[todo]
         limit[todo] *= 2
     return best
 
@@ -186,7 +195,7 @@ def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 def _signatures(weighted: bool, bands: int, rows: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", max_rows=SLICE_ROWS):
             offsets, elements, counts = shingle_sets(batch.column("text"), size)
             weights = counts.astype(np.float64) if weighted else np.ones(len(counts))
             keys = band_keys(dart_minhash(offsets, elements, weights, bands * rows), bands, rows)
@@ -352,9 +361,17 @@ def near_duplicates(docs: DataFrame, weighted: bool = False, threshold: float =
         # Too different in size for a comparison: what they have in common is not known.
         .withColumn("outside", F.col("shared") - F.coalesce("common", F.lit(0)))
         .withColumn("common", F.coalesce("common", F.least("shared", "hub_total")))
-        .select("bucket", "digest", "class", "total", "common", "outside"), "spread")
-    other = spread.select("bucket", *[F.col(c).alias(f"other_{c}") for c in spread.columns if c != "bucket"])
-    across = spread.join(other, "bucket").filter(
+        .withColumn("parts", F.ceil(F.col("n") / CROWD).cast("int"))
+        .withColumn("part", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int"))
+        .select("bucket", "digest", "class", "total", "common", "outside", "part", "parts"), "spread")
+    # Pairs of a crowded bucket are dealt to parts x parts tasks: of a task's
+    # two sides each holds about CROWD members.
+    every = F.sequence(F.lit(0), F.col("parts") - 1)
+    left = spread.withColumn("other_part", F.explode(every)).drop("parts")
+    other = spread.withColumn("mine", F.explode(every)).select(
+        "bucket", F.col("mine").alias("part"), F.col("part").alias("other_part"),
+        *[F.col(c).alias(f"other_{c}") for c in ("digest", "class", "total", "common", "outside")])
+    across = left.join(other, ["bucket", "part", "other_part"]).filter(
         (F.col("digest") < F.col("other_digest")) & (F.col("class") != F.col("other_class"))
         & (_upper_bound() >= threshold))
     rest = _compared(across.select(F.col("digest").alias("a"), F.col("other_digest").alias("b")).distinct(), sets)

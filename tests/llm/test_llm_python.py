@@ -33,12 +33,15 @@ def test_words_csr_follows_the_word_rule():
 
 def shingles(text):
     w = words(text)
-    return {tuple(w[k:k + 5]) for k in range(len(w) - 4)} or ({tuple(w)} if w else set())
+    grams = [tuple(w[k:k + 5]) for k in range(len(w) - 4)] or ([tuple(w)] if w else [])
+    return collections.Counter(grams)
 
 
-def brute_classes(rows, threshold=0.8):
-    """Class (smallest id) of each row by all pairs."""
-    sets = [shingles(t) for _, t in rows]
+def brute_classes(rows, threshold=0.8, weighted=True):
+    """Class (smallest id) of each row by all pairs that share a shingle."""
+    bags = [shingles(t) for _, t in rows]
+    if not weighted:
+        bags = [collections.Counter(set(b)) for b in bags]
     parent = list(range(len(rows)))
 
     def root(x):
@@ -47,12 +50,17 @@ def brute_classes(rows, threshold=0.8):
         return x
 
     inverted = collections.defaultdict(list)
-    for i, s in enumerate(sets):
-        for g in s or {()}:
+    for i, bag in enumerate(bags):
+        for g in bag or {()}:
             inverted[g].append(i)
-    overlap = collections.Counter((a, b) for hit in inverted.values() for k, b in enumerate(hit) for a in hit[:k])
+    overlap = collections.Counter()
+    for g, hit in inverted.items():
+        for k, b in enumerate(hit):
+            for a in hit[:k]:
+                overlap[a, b] += min(bags[a][g], bags[b][g])
     for (a, b), n in overlap.items():
-        if not sets[a] and not sets[b] or n / max(len(sets[a]) + len(sets[b]) - n, 1) >= threshold:
+        union = bags[a].total() + bags[b].total() - n
+        if not bags[a] and not bags[b] or n / max(union, 1) >= threshold:
             parent[max(root(a), root(b))] = min(root(a), root(b))
     ids = collections.defaultdict(list)
     for i, (doc_id, _) in enumerate(rows):
@@ -73,15 +81,45 @@ def family(size=60):
     return out
 
 
-def test_near_duplicates_match_brute_force(spark):
+@pytest.mark.parametrize("weighted", [True, False])
+def test_near_duplicates_match_brute_force(spark, weighted, monkeypatch):
+    monkeypatch.setattr(minhash, "CROWD", 8)          # the family's buckets are dealt to several tasks
     small = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
     rows = [tuple(r) for r in small.collect()] + family() + [(5000 + i, t) for i, (_, t) in enumerate(nasty_texts())]
     rows += [(None, "an id that is missing in this table here"), (7000, "one two three four")]
-    got = minhash.near_duplicates(documents(spark, rows)).collect()
+    # Same set of shingles, other counts: alike only without weights.
+    rows += [(7100, " ".join(["of"] * 30)), (7101, " ".join(["of"] * 300))]
+    got = minhash.near_duplicates(documents(spark, rows), weighted=weighted).collect()
     assert len(got) == len(rows)
     key = lambda r: (r[0] is None, r[0] or 0, str(r[1]))
-    want = sorted(((d, c) for (d, _), c in zip(rows, brute_classes(rows), strict=True)), key=key)
+    want = sorted(((d, c) for (d, _), c in zip(rows, brute_classes(rows, weighted=weighted), strict=True)), key=key)
     assert sorted(((r.doc_id, r.class_id) for r in got), key=key) == want
+    assert (dict((r.doc_id, r.class_id) for r in got)[7101] == 7100) != weighted
+
+
+def test_counts_of_darts_are_not_cut():
+    rng = np.random.default_rng(8)
+    for mean in (0.02, 1.0, 32.0):
+        counts = minhash._poisson(rng.random(200_000), mean)
+        assert abs(counts.mean() - mean) < 0.02 * mean + 0.002 and abs(counts.var() - mean) < 0.03 * mean + 0.002
+    assert minhash._poisson(np.array([1 - 2.0 ** -53]), 32.0)[0] > 60
+
+
+def test_short_texts_throw_a_bounded_number_of_darts_at_once(monkeypatch):
+    largest = 0
+    plain = minhash._throw
+
+    def watched(owner, element, weight, begin, limit, k, best):
+        nonlocal largest
+        largest = max(largest, len(best) // k)
+        plain(owner, element, weight, begin, limit, k, best)
+
+    monkeypatch.setattr(minhash, "_throw", watched)
+    text = pa.array([f"few words of a text {i}" for i in range(3000)])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(3000)), text, pa.array([b"d"] * 3000)],
+                                       names=["doc_id", "text", "digest"])
+    made = list(minhash._signatures(True, 26, 5, 5)(iter([batch])))
+    assert sum(b.num_rows for b in made) == 3000 and largest <= minhash.SLICE_ROWS
 
 
 def test_keep_one_of_each_class(spark):
@@ -172,6 +210,42 @@ def test_answer_must_be_there(spark):
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_candidates_come_from_the_latent_space(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    bench = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
+    texts = [tuple(r) for r in docs.collect()]
+    rng = np.random.default_rng(3)
+    long_text = max((t for _, t in texts if t), key=len).split()
+    for k, (item, text) in enumerate(tuple(r) for r in bench.collect()):
+        w = text.split()
+        changed = list(w)
+        for at in rng.choice(len(w), len(w) // 5, replace=False):
+            changed[at] = f"zz{at}"
+        at = 90 * (k % 20)
+        texts += [(100_000 + item, " ".join(long_text[at:at + 60] + w + long_text[at + 60:at + 90])),
+                  (200_000 + item, " ".join(long_text[at:at + 60] + changed + long_text[at + 60:at + 90]))]
+    docs = documents(spark, texts)
+
+    def links(**options):
+        return {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench, **options).collect()}
+
+    every = links(held=9.0)                  # anchors for all items pass every place the check could accept
+    latent = links(held=-1.0)                # only items of few terms have anchors
+    assert latent <= every and len(latent) >= 0.9 * len(every)
+    for base in (100_000, 200_000):
+        asked = {x for x in every if base <= x[0] < base + 100_000}
+        assert len(asked) >= 0.9 * bench.count() and len(asked & latent) >= 0.9 * len(asked)
+    assert len(links(cosine=2.0)) < 0.2 * len(every)      # without the space hardly anything is found
+
+
+def test_decontamination_keeps_columns_of_any_name(spark):
+    bench = spark.createDataFrame([(1, "what is the airspeed of an unladen swallow in flight")], "item_id long, text string")
+    docs = documents(spark, [(1, "say: what is the airspeed of an unladen swallow in flight ok"), (2, "clean words only")])
+    docs = docs.selectExpr("*", "7 AS held_id", "8 AS own_id", "9 AS item_id")
+    kept = decontaminate.without_benchmark(docs, bench)
+    assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [2]
+
+
 # ------------------------------------------------------------------ token files
 
 def reference_ids(texts):
