@@ -31,7 +31,7 @@ from dimledger.functions.columns import SENTINEL, strip_spaces, ts_lit
 from dimledger.operators.scd2 import TO, scd2_merge
 from dimledger.operators.watermark import next_watermark, watermark_value
 from dimledger.sources import schemas
-from dimledger.sources.readers import daily_csv_rejects, read_daily_csv
+from dimledger.sources.readers import BAD_LINE, daily_csv_rejects, read_daily_csv
 from dimledger.sources.sinks import (current_version, new_version_path, publish, read_if_exists,
                                      replace_partition, staged, write_partition)
 
@@ -233,7 +233,9 @@ def ingest_transactions(spark: SparkSession, drop_dir: str, warehouse: str, chec
         day = named.select(F.min("_day")).first()[0]   # one file per batch: one date
         if day is None:
             return
-        delivery = named.select(strip_spaces("trans_id").alias("trans_id"), F.col("trans_dt").alias("trans_date"),
+        bad = named.where(F.col(BAD_LINE).isNotNull()).select(F.col(BAD_LINE).alias("line"))
+        replace_partition(bad, f"{root}/rejects/transactions", "load_date", day.isoformat())
+        delivery = named.where(F.col(BAD_LINE).isNull()).select(strip_spaces("trans_id").alias("trans_id"), F.col("trans_dt").alias("trans_date"),
                               strip_spaces("card_num").alias("card_num"), "oper_type", "amt", "oper_result",
                               "terminal")
         load_facts(spark, f"{root}/fact_transactions", f"{root}/meta_transactions", delivery,

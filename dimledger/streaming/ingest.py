@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dimledger.sources.readers import BAD_LINE
+
 __all__ = ["ingest_files", "batch_partition_writer"]
 
 
@@ -25,13 +27,18 @@ def ingest_files(spark: SparkSession, source_dir: str, schema: T.StructType, che
                  max_files_per_trigger: int | None = None, pattern: str | None = None):
     """Run ``on_batch(df, batch_id)`` over all new files in ``source_dir`` and stop.
 
-    ``df`` carries a ``source_file`` column. ``on_batch`` should write
+    ``df`` carries a ``source_file`` column and, for csv, ``_bad_line``: the
+    text of a line that does not fit the schema, NULL otherwise. A csv header
+    must name the schema's columns in their order, or the run fails before
+    the file counts as processed. ``on_batch`` should write
     idempotently for its ``batch_id`` (e.g. dynamic partition overwrite),
     because a batch that failed half-way is replayed with the same id.
     """
-    reader = spark.readStream.schema(schema).format(fmt)
+    read_schema = T.StructType([*schema.fields, T.StructField(BAD_LINE, T.StringType())]) if fmt == "csv" else schema
+    reader = spark.readStream.schema(read_schema).format(fmt)
     if fmt == "csv":
-        reader = reader.option("sep", sep).option("header", header)
+        reader = (reader.option("sep", sep).option("header", header).option("enforceSchema", False)
+                  .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_LINE))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if pattern:
@@ -39,6 +46,9 @@ def ingest_files(spark: SparkSession, source_dir: str, schema: T.StructType, che
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     stream = reader.load(source_dir).withColumn("source_file", F.col("_metadata.file_path"))
+    if fmt == "csv":
+        # Whether a line is bad depends on all its columns, so none may be pruned from the read.
+        stream = stream.where(F.xxhash64(*schema.fieldNames()) >= F.lit(-2 ** 63))
     query = (stream.writeStream.foreachBatch(on_batch)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())

@@ -87,3 +87,23 @@ def test_ingest_transactions_once_per_file(spark, scratch):
     facts = spark.read.parquet(os.path.join(wh, "fact_transactions"))
     assert sorted((r["trans_id"], r["load_date"]) for r in facts.collect()) == [
         ("t1", D1), ("t2", D2), ("t3", D2)]
+
+
+def test_streamed_files_keep_bad_lines_apart_and_check_headers(spark, scratch):
+    import pytest
+
+    from dimledger.plans.bank import ingest_transactions
+    drop, wh, ck = (os.path.join(scratch, n) for n in ("drop3", "dwh3", "ck3"))
+    os.makedirs(drop)
+    _drop(drop, D1, [("t1", "2024-03-01 10:00:00", "10.00", "0000 1111", "PAY", "OK", "T1"),
+                     ("t2", "no time", "x", "0000 1111", "PAY", "OK", "T1")], [])
+    ingest_transactions(spark, drop, wh, ck)
+    assert [r.trans_id for r in spark.read.parquet(os.path.join(wh, "fact_transactions")).collect()] == ["t1"]
+    rejects = spark.read.parquet(os.path.join(wh, "rejects", "transactions")).collect()
+    assert [(r.load_date, r.line.split(";")[0]) for r in rejects] == [(D1, "t2")]
+    with open(os.path.join(drop, daily_file_name("transactions", D2)), "w") as f:
+        f.write("trans_id;trans_dt;oper_type;amt;card_num;oper_result;terminal\n"
+                "t3;2024-03-02 10:00:00;PAY;5.00;0000 1111;OK;T1\n")
+    with pytest.raises(Exception):
+        ingest_transactions(spark, drop, wh, ck)
+    assert spark.read.parquet(os.path.join(wh, "fact_transactions")).count() == 1
