@@ -24,6 +24,8 @@ from dimledger.functions.columns import ts_lit
 from dimledger.operators.relational import (anti_join, any_level_join, exclude, expand_hierarchy,
                                             fill, hierarchy_roots, latest_per_key, normalise_missing,
                                             null_safe_join, profile, snapshot_as_of, sum_by)
+from dimledger.operators.bitemporal import deliver, state_schema, versions_of
+from dimledger.operators.intervals import overlap_join
 from dimledger.operators.scd2 import pit_join, scd2_history, scd2_merge
 from dimledger.operators.watermark import delta_since, next_watermark, watermark_value
 from dimledger.plans import bank, feed, fraud, promo
@@ -345,6 +347,102 @@ def q_scd2_history(spark, d):
     return open_end_as_null(priority_history(table(spark, d, "orders")))
 
 
+# Years in the order in which their snapshots are delivered; the year 1998 comes twice.
+DELIVERED = [1998, 1995, 2001, 1996, 2000, 1998, 1997, 1999]
+
+
+def _out_of_order_sql(years: list[int]) -> str:
+    """Versions from the snapshots of ``years``, from their meaning: runs of
+    delivered years in which a client is present with one priority."""
+    days = ", ".join(f"({i}, {y})" for i, y in enumerate(sorted(set(years))))
+    return f"""
+WITH day(n, y) AS (VALUES {days}),
+start AS (SELECT n, make_timestamp(y + 1, 1, 1, 0, 0, 0.0) AS t FROM day),
+state AS (
+  SELECT n, o_custkey AS client_id, o_orderpriority AS priority, o_orderstatus AS status
+  FROM orders JOIN day ON y = year(o_orderdate)
+  QUALIFY row_number() OVER (PARTITION BY o_custkey, n ORDER BY o_orderdate DESC, o_orderkey DESC) = 1),
+marked AS (
+  SELECT *, CASE WHEN lag(n) OVER w = n - 1 AND lag(priority) OVER w IS NOT DISTINCT FROM priority THEN 0 ELSE 1 END AS fresh
+  FROM state WINDOW w AS (PARTITION BY client_id ORDER BY n)),
+run AS (SELECT *, sum(fresh) OVER (PARTITION BY client_id ORDER BY n) AS r FROM marked),
+version AS (
+  SELECT client_id, min_by(priority, n) AS priority, min_by(status, n) AS status, min(n) AS a, max(n) + 1 AS b,
+         lead(min(n)) OVER (PARTITION BY client_id ORDER BY min(n)) AS following
+  FROM run GROUP BY client_id, r),
+spans AS (
+  SELECT client_id, priority, status, a, b, 0 AS deleted_flg FROM version
+  UNION ALL
+  SELECT client_id, priority, status, b, coalesce(following, 1000), 1 FROM version
+  WHERE b < (SELECT count(*) FROM day) AND (following IS NULL OR following > b)),
+hist AS (
+  SELECT client_id, priority, status, s.t AS effective_from,
+         coalesce(e.t - INTERVAL 1 SECOND, {SENT}) AS effective_to, deleted_flg
+  FROM spans JOIN start s ON s.n = a LEFT JOIN start e ON e.n = b)
+{sql_open_end_as_null("hist", "client_id, priority, status")}"""
+
+
+def _delivered_states(spark, d) -> DataFrame:
+    """A client's latest order of a year, delivered year by year in the order
+    of ``DELIVERED``. A year's snapshot is valid from the next New Year."""
+    checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="dimledger-ckpt-"))
+    orders = table(spark, d, "orders").select(
+        F.col("o_custkey").alias("client_id"), F.col("o_orderpriority").alias("priority"),
+        F.col("o_orderstatus").alias("status"), "o_orderdate", "o_orderkey", F.year("o_orderdate").alias("year"))
+    latest = latest_per_key(orders, ["client_id", "year"], ["o_orderdate", "o_orderkey"]).checkpoint()
+    states = spark.createDataFrame([], state_schema(latest.select("client_id", "priority", "status").schema.fields))
+    seen: set[int] = set()
+    for n, year in enumerate(DELIVERED):
+        later = min((y for y in seen if y > year), default=None)
+        states = deliver(states, latest.where(F.col("year") == year), ["client_id"], ["priority", "status"],
+                         valid_from=ts_lit(_dt.date(year + 1, 1, 1)), load_time=ts_lit(_dt.date(2010, 1, n + 1)),
+                         next_valid=None if later is None else ts_lit(_dt.date(later + 1, 1, 1))).checkpoint()
+        seen.add(year)
+    return states
+
+
+@query("scd2_out_of_order", _out_of_order_sql(DELIVERED))
+def q_scd2_out_of_order(spark, d):
+    """The history after all deliveries: the same as after loading in order."""
+    return open_end_as_null(versions_of(_delivered_states(spark, d), ["client_id"], ["priority", "status"],
+                                        ["priority"]))
+
+
+@query("scd2_known_then", _out_of_order_sql(DELIVERED[:4]))
+def q_scd2_known_then(spark, d):
+    """The history as it was believed after the fourth delivery."""
+    return open_end_as_null(versions_of(_delivered_states(spark, d), ["client_id"], ["priority", "status"],
+                                        ["priority"], known_at=ts_lit(_dt.date(2010, 1, 4))))
+
+
+@query("owner_overlap", f"""
+WITH {HISTORY_CTE},
+big AS (
+  SELECT o_custkey AS client_id, o_totalprice >= 250000 AS large, o_orderdate AS ts, o_orderkey AS tie,
+         lag(o_totalprice >= 250000) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS before
+  FROM orders),
+size AS (
+  SELECT client_id, large, ts AS f, coalesce(lead(ts) OVER (PARTITION BY client_id ORDER BY ts, tie)
+         - INTERVAL 1 SECOND, {SENT}) AS t
+  FROM big WHERE before IS DISTINCT FROM large),
+both_ AS (
+  SELECT hist.client_id, priority, large, greatest(effective_from, f) AS effective_from,
+         least(effective_to, t) AS effective_to, deleted_flg
+  FROM hist JOIN size ON size.client_id = hist.client_id AND effective_from <= t AND f <= effective_to
+  WHERE f <= t AND effective_from <= effective_to)
+{sql_open_end_as_null("both_", "client_id, priority, large")}""")
+def q_owner_overlap(spark, d):
+    """Two histories of a client, priority and order size, on the intersection of their validity."""
+    orders = table(spark, d, "orders")
+    sizes = scd2_history(orders.select(F.col("o_custkey").alias("size_client"), F.col("o_orderdate").alias("ts"),
+                                       (F.col("o_totalprice") >= 250000).alias("large"),
+                                       F.col("o_orderkey").alias("tie")), ["size_client"], ["large"], "ts", "tie")
+    both = overlap_join(priority_history(orders), sizes.drop("deleted_flg"), "client_id", "size_client",
+                        "effective_from", "effective_to")
+    return open_end_as_null(both.select("client_id", "priority", "large", "effective_from", "effective_to",
+                                        "deleted_flg"))
+
+
 PIT_SQL = f"""
 WITH {HISTORY_CTE},
 f AS (SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_shipdate, o.o_custkey AS client_id

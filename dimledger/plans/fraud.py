@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimledger.functions.columns import full_name, strip_spaces
+from dimledger.operators.intervals import overlap_join
 from dimledger.operators.scan import HOT_ROWS, with_previous
 from dimledger.operators.scd2 import DELETED, FROM, TO, current_rows, pit_join
 from dimledger.sources.schemas import REPORT, conform
@@ -39,16 +40,6 @@ OWNER_COLUMNS = ["card_num", "account_num", "account_valid_to", "client_id", "pa
                  "passport_valid_to", "fio", "phone"]
 
 
-def _overlap(left: DataFrame, right: DataFrame, lk: str, rk: str) -> DataFrame:
-    """Join two versioned frames on a key where their validity intervals meet;
-    the result is valid on the intersection."""
-    r = right.withColumnRenamed(FROM, "_rf").withColumnRenamed(TO, "_rt")
-    j = left.join(r, (left[lk] == r[rk]) & (left[FROM] <= r["_rt"]) & (r["_rf"] <= left[TO]))
-    return (j.withColumn(FROM, F.greatest(F.col(FROM), F.col("_rf")))
-            .withColumn(TO, F.least(F.col(TO), F.col("_rt")))
-            .drop("_rf", "_rt"))
-
-
 def card_owners(clients: DataFrame, accounts: DataFrame, cards: DataFrame,
                 versions: str = "pit") -> DataFrame:
     """One row per card (per validity interval with ``versions='pit'``) with the
@@ -75,8 +66,8 @@ def card_owners(clients: DataFrame, accounts: DataFrame, cards: DataFrame,
         raise ValueError(f"unknown versions mode {versions!r}")
     live = [x.where(F.col(DELETED) == 0).drop(DELETED) for x in (cl, ac, cd)]
     cl, ac, cd = live
-    chain = _overlap(cd, ac.withColumnRenamed("account_num", "_acc"), "account_num", "_acc").drop("_acc")
-    chain = _overlap(chain, cl, "client", "client_id")
+    chain = overlap_join(cd, ac.withColumnRenamed("account_num", "_acc"), "account_num", "_acc", FROM, TO).drop("_acc")
+    chain = overlap_join(chain, cl, "client", "client_id", FROM, TO)
     return chain.select(*OWNER_COLUMNS, FROM, TO).withColumn(DELETED, F.lit(0))
 
 
