@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rows import rows
 from dimledger.functions.columns import SENTINEL_TS, ts_lit
 from dimledger.operators.bitemporal import deliver, known_states, state_schema, versions_of
-from dimledger.operators.intervals import binned, overlap_join
+from dimledger.operators.intervals import _candidates, overlap_join
 from dimledger.operators.scd2 import scd2_merge
 
 SNAP = "k string, a string, b string"
@@ -130,10 +130,8 @@ def test_pairs_formed_are_linear_in_the_versions_of_one_key(spark):
                             .otherwise(F.col("e")))
 
     def pairs(n):
-        a, b = binned(history(n, 7), "s", "e", "_l_"), binned(history(n, 11), "s", "e", "_r_")
-        met = ((a["k"] == b["k"]) & (F.col("_l_at") == F.col("_r_at")) & (F.col("_l_bin") == F.col("_r_bin"))
-               & (F.greatest("_l_level", "_r_level") == F.col("_l_at")))
-        return a.join(b, met).count()
+        right = history(n, 11).select(F.col("k").alias("q"), F.col("s").alias("f"), F.col("e").alias("t"))
+        return _candidates(history(n, 7), right, "k", "q", ("s", "e"), ("f", "t")).count()
 
     small, large = pairs(2_000), pairs(100_000)
     assert large < 60 * small          # all pairs of the key: 2,500 times as many
