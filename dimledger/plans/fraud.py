@@ -33,7 +33,7 @@ from dimledger.sources.schemas import REPORT, conform
 from dimledger.sources.sinks import replace_partition, write_partition
 
 __all__ = ["card_owners", "rule_blacklisted", "rule_expired_document", "rule_expired_contract",
-           "velocity_rule", "fraud_report", "refresh_report", "write_report", "REPORT_COLUMNS"]
+           "velocity_rule", "fraud_report", "refresh_report", "late_corrections", "events_in_force", "write_report", "REPORT_COLUMNS"]
 
 REPORT_COLUMNS = ["event_dt", "passport", "fio", "phone", "event_type"]
 OWNER_COLUMNS = ["card_num", "account_num", "account_valid_to", "client_id", "passport_num",
@@ -257,6 +257,44 @@ def refresh_report(report: DataFrame, txn: DataFrame, before: tuple[DataFrame, D
     return kept.unionByName(again)
 
 
+def events_in_force(reported: DataFrame, retracted: DataFrame | None) -> DataFrame:
+    """The events that hold after all report days: each as its last day left it,
+    reported or retracted (``report_date`` orders the days; an event of both on
+    one day is reported)."""
+    said = reported.select(*REPORT_COLUMNS, "report_date", F.lit(1).alias("_said"))
+    if retracted is not None:
+        said = said.unionByName(retracted.select(*REPORT_COLUMNS, "report_date", F.lit(0).alias("_said")))
+    return (said.groupBy(*REPORT_COLUMNS).agg(F.max(F.struct("report_date", "_said")).alias("_last"))
+            .where("_last._said = 1").drop("_last"))
+
+
+def late_corrections(reported: DataFrame, retracted: DataFrame | None, txn: DataFrame, owners: DataFrame,
+                     blacklist: DataFrame, terminals: DataFrame, passports: DataFrame, since: Column,
+                     report_dt: Column, within: str = "1 hour", **options) -> tuple[DataFrame, DataFrame]:
+    """(events to add, events to retract) of earlier operations, after owners or
+    blacklist rows arrived late.
+
+    ``passports`` (column ``passport``, distinct) are those whose events may
+    differ from ``since`` on. ``txn`` and ``owners`` must hold all cards that
+    have or had such a passport, operations from ``within`` before ``since``.
+    Events before ``since`` and of other passports stay as they are.
+    """
+    def concerned(events: DataFrame) -> DataFrame:
+        p = passports.select(F.col("passport").alias("_p"))
+        return (events.where(F.col("event_dt") >= since)
+                .join(p, F.col("passport").eqNullSafe(F.col("_p")), "left_semi"))
+
+    def only_in(a: DataFrame, b: DataFrame) -> DataFrame:
+        return (a.withColumn("_side", F.lit(1)).unionByName(b.withColumn("_side", F.lit(2)))
+                .groupBy(*REPORT_COLUMNS).agg(F.min("_side").alias("_a"), F.max("_side").alias("_b"))
+                .where("_a = 1 AND _b = 1").select(*REPORT_COLUMNS, report_dt.cast("timestamp_ntz").alias("report_dt")))
+
+    now = concerned(fraud_report(txn, owners, blacklist, terminals, report_dt, within=within, **options))
+    now = now.select(*REPORT_COLUMNS)
+    before = events_in_force(concerned(reported), None if retracted is None else concerned(retracted))
+    return only_in(now, before), only_in(before, now)
+
+
 def write_report(report: DataFrame, path: str, run_date=None) -> None:
     """Store a report run as the partition of its report date, replacing that
     day on a rerun (D-10), also when the rerun has no events if ``run_date``

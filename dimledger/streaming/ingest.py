@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from dimledger.sources.readers import BAD_LINE
 
-__all__ = ["ingest_files", "batch_partition_writer"]
+__all__ = ["ingest_files", "ingest_names", "batch_partition_writer"]
 
 
 def ingest_files(spark: SparkSession, source_dir: str, schema: T.StructType, checkpoint: str,
@@ -56,6 +56,28 @@ def ingest_files(spark: SparkSession, source_dir: str, schema: T.StructType, che
     return query
 
 
+def ingest_names(spark: SparkSession, source_dir: str, checkpoint: str,
+                 on_batch: Callable[[DataFrame, int], None], archive_dir: str | None = None,
+                 max_files_per_trigger: int | None = None, pattern: str | None = None):
+    """Run ``on_batch(df, batch_id)`` over the names (column ``path``) of all new
+    files in ``source_dir`` and stop. For folders of several kinds of files:
+    the batch routes each to its own reader. The contents are pruned from the
+    stream's scan."""
+    reader = spark.readStream.format("binaryFile").schema(
+        "path string, modificationTime timestamp, length long, content binary")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    query = (reader.load(source_dir).select("path").writeStream.foreachBatch(on_batch)
+             .option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return query
+
+
 def batch_partition_writer(path: str, fmt: str = "parquet"):
     """An ``on_batch`` that writes each micro-batch as the partition
     ``batch_id=<id>`` of ``path`` with dynamic overwrite: a batch replayed
