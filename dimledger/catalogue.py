@@ -28,9 +28,10 @@ from dimledger.operators.bitemporal import deliver, state_schema, versions_of
 from dimledger.operators.intervals import overlap_join
 from dimledger.operators.scd2 import pit_join, scd2_history, scd2_merge
 from dimledger.operators.watermark import delta_since, next_watermark, watermark_value
-from dimledger.plans import bank, feed, fraud, promo
+from dimledger.plans import bank, feed, fraud, promo, promo_events
 from dimledger.session import checkpoint_dir
-from dimledger.sources.readers import sql_query
+from dimledger.sources.readers import read_docs, sql_query
+from dimledger.sources.runs import Run, read_table
 from dimledger.sources.sinks import replace_window
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1303,6 +1304,80 @@ def q_expire_status(spark, d):
     return promo.expire_status(promos, F.lit(_dt.date(1998, 10, 1)), F.lit(_dt.date(1998, 11, 1)))
 
 
+def query_folder(spark: SparkSession) -> str:
+    """A new folder for one query's tables."""
+    folder = checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="dimledger-ckpt-"))
+    return f"{folder}/dimledger-query/{uuid.uuid4().hex}"
+
+
+@query("expire_status_events", """
+SELECT CAST(o_orderkey AS VARCHAR) AS promocode_id,
+       CASE WHEN CAST(o_orderdate AS DATE) BETWEEN DATE '1998-10-01' AND DATE '1998-10-03'
+                 AND nullif(o_orderstatus, 'P') IS NULL THEN 'expired'
+            ELSE nullif(o_orderstatus, 'P') END AS status,
+       CAST(o_orderdate AS DATE) AS end_date,
+       CASE WHEN o_orderkey % 3 = 0 THEN DATE '1998-09-02' ELSE DATE '1998-09-01' END AS load_date
+FROM orders
+""")
+def q_expire_status_events(spark, d):
+    """The promos of ``expire_status`` stored on two days; three days expire as
+    events; the first load is compacted, loaded and expired again."""
+    root = query_folder(spark)
+    promos = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("promocode_id"),
+                                              F.nullif("o_orderstatus", F.lit("P")).alias("status"),
+                                              F.col("o_orderdate").cast("date").alias("end_date"))
+    first, second = (promos.where(c) for c in ("promocode_id % 3 <> 0", "promocode_id % 3 = 0"))
+    promo_events.store_states(first, root, _dt.date(1998, 9, 1))
+    promo_events.store_states(second, root, _dt.date(1998, 9, 2))
+    for day in (1, 2):
+        promo_events.expire_day(spark, root, _dt.date(1998, 10, day))
+    promo_events.compact(spark, root, _dt.date(1998, 9, 1))
+    promo_events.store_states(first, root, _dt.date(1998, 9, 1))
+    for day in (2, 3):
+        promo_events.expire_day(spark, root, _dt.date(1998, 10, day))
+    return promo_events.promo_states(spark, root)
+
+
+@query("promo_state_docs", ORACLE["promo_state"])
+def q_promo_state_docs(spark, d):
+    """``promo_state`` from document collections (JSON lines): the day's window is
+    a filter of the document scan."""
+    root = query_folder(spark)
+    coupons, ops = promo_coupons(table(spark, d, "part")), promo_ops(table(spark, d, "events"))
+    ops = ops.withColumn("updated", F.col("updated").cast("timestamp_ntz"))
+    for name, df in (("coupons", coupons), ("ops", ops)):
+        df.write.json(f"{root}/{name}")
+    return promo.promo_state(read_docs(spark, f"{root}/coupons", coupons.schema),
+                             read_docs(spark, f"{root}/ops", ops.schema), PROMO_DAY)
+
+
+@query("run_record", """
+SELECT o.o_orderkey, CASE WHEN o_orderstatus = 'P' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
+       o_orderstatus, t.orders_cnt
+FROM orders o JOIN (SELECT o_orderstatus AS st, count(*) AS orders_cnt FROM orders GROUP BY o_orderstatus) t ON t.st = o_orderstatus
+""")
+def q_run_record(spark, d):
+    """Two tables by runs: orders by status and their counts. A second run doubles
+    the prices of one status; a third writes both tables and is never committed."""
+    root = query_folder(spark)
+    orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    states = ["F", "O", "P"]
+
+    def counts(df):
+        return df.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders_cnt"))
+
+    with Run(spark, root) as run:
+        run.table("orders").replace_all_of(orders, "o_orderstatus", states)
+        run.table("counts").rewrite(counts(orders))
+    with Run(spark, root) as run:
+        own = run.table("orders").read().where("o_orderstatus = 'P'")
+        run.table("orders").replace(own.withColumn("o_totalprice", F.col("o_totalprice") * 2), "o_orderstatus", "P")
+    lost = Run(spark, root)
+    lost.table("orders").replace(orders.where("o_orderkey < 0"), "o_orderstatus", "F")
+    lost.table("counts").rewrite(counts(orders.where("o_orderkey < 0")))
+    return read_table(spark, root, "orders").join(read_table(spark, root, "counts"), "o_orderstatus")
+
+
 # ---------------------------------------------------------- parameterised SQL
 
 PERIOD_SQL = """
