@@ -4,7 +4,7 @@
 that holds a third of the data that task is the whole job. ``carry_last``
 therefore splits only the keys that are hot:
 
-1. a per-key row count (a partial aggregation over the key columns) finds
+1. a row count, by slots of keys and then for the keys of full slots, finds
    the keys with more than ``hot_rows`` rows. There are at most
    ``total_rows / hot_rows`` of them, which bounds the broadcast that tags
    them;
@@ -19,7 +19,7 @@ therefore splits only the keys that are hot:
 
 The result equals a plain ``Window.partitionBy(key)`` scan exactly, and the
 data is shuffled once. Whether any key is hot is checked first with one
-small job (``isEmpty`` on the hot-key table, a boolean to the driver); with
+small job (counts of slots; the numbers of full ones go to the driver); with
 no hot key the plain window is used and none of the above is planned.
 """
 
@@ -32,6 +32,8 @@ __all__ = ["carry_last", "hot_keys", "with_previous", "with_next", "day_bucket",
 
 # Keys with more rows than this are split into time buckets.
 HOT_ROWS = 2_000_000
+# Keys are counted together in so many slots first.
+SLOTS = 4096
 
 
 def day_bucket(c) -> Column:
@@ -45,8 +47,16 @@ def _sorted(cols: list[str], reverse: bool) -> list[Column]:
 
 def hot_keys(df: DataFrame, key: list[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """Keys with more than ``hot_rows`` rows (at most ``rows / hot_rows`` of
-    them), or None when there is none."""
-    hot = (df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    them), or None when there is none. Slots of keys are counted first, a few
+    thousand numbers per task; only the keys of slots that could hold a hot
+    one are counted each."""
+    slot = F.pmod(F.xxhash64(*key), F.lit(SLOTS))
+    full = [r["slot"] for r in df.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") > hot_rows).select("slot").collect()]
+    if not full:
+        return None
+    hot = ((df if len(full) == SLOTS else df.where(slot.isin(full)))
+           .groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
            .where(F.col("_n") > hot_rows).select(*key, F.lit(True).alias("_hot")))
     return None if hot.isEmpty() else hot
 
@@ -105,15 +115,28 @@ def carry_last(df: DataFrame, key: list[str], order: list[str], value: str, out:
             .where(~F.col("_syn")).drop("_bkt", "_syn"))
 
 
+def _neighbour(df: DataFrame, key: list[str], order: list[str], cols: list[str], out: str, reverse: bool,
+               bucket: str | None = "hour", hot_rows: int = HOT_ROWS, hot=_AUTO) -> DataFrame:
+    if bucket is not None and hot is _AUTO:
+        hot = hot_keys(df, key, hot_rows)
+    if bucket is None or hot is None:
+        # Without hot keys each column is looked up by itself: a struct of
+        # them would be shuffled beside them.
+        w = Window.partitionBy(*key).orderBy(*_sorted(order, reverse))
+        return df.withColumn(out, F.when(F.row_number().over(w) > 1,
+                                         F.struct(*[F.lag(c).over(w).alias(c) for c in cols])))
+    v = df.withColumn("_v", F.struct(*[F.col(c) for c in cols]))
+    return carry_last(v, key, order, "_v", out, include_current=False, reverse=reverse, bucket=bucket,
+                      hot_rows=hot_rows, hot=hot).drop("_v")
+
+
 def with_previous(df: DataFrame, key: list[str], order: list[str], cols: list[str],
                   out: str = "prev", **kw) -> DataFrame:
     """``lag`` of ``cols`` (as one struct column ``out``) per key, by ``order``."""
-    v = df.withColumn("_v", F.struct(*[F.col(c) for c in cols]))
-    return carry_last(v, key, order, "_v", out, include_current=False, **kw).drop("_v")
+    return _neighbour(df, key, order, cols, out, False, **kw)
 
 
 def with_next(df: DataFrame, key: list[str], order: list[str], cols: list[str],
               out: str = "next", **kw) -> DataFrame:
     """``lead`` of ``cols`` (as one struct column ``out``) per key, by ``order``."""
-    v = df.withColumn("_v", F.struct(*[F.col(c) for c in cols]))
-    return carry_last(v, key, order, "_v", out, include_current=False, reverse=True, **kw).drop("_v")
+    return _neighbour(df, key, order, cols, out, True, **kw)

@@ -112,6 +112,13 @@ def _events(j: DataFrame, flags: list[tuple[Column, int]]) -> DataFrame:
             .where(F.col("event_type").isNotNull()))
 
 
+def _distinct_events(events: DataFrame) -> DataFrame:
+    """Distinct events. A person's events of a quarter go to one task: next to
+    each other their texts compress to little in the shuffle and in files."""
+    sliced = events.withColumn("_slice", F.date_trunc("quarter", F.col("event_dt")))
+    return sliced.repartition("passport", "fio", "phone", "_slice").distinct().drop("_slice")
+
+
 def _expired_document(inclusive: bool) -> Column:
     vt = F.col("passport_valid_to")
     if inclusive:
@@ -194,8 +201,9 @@ def velocity_rule(txn: DataFrame, terminals: DataFrame, owners: DataFrame,
 
 def fraud_report(txn: DataFrame, owners: DataFrame, blacklist: DataFrame, terminals: DataFrame,
                  report_dt: Column, inclusive_document: bool = False, within: str = "1 hour",
-                 pit: bool | None = None, history: DataFrame | None = None) -> DataFrame:
-    """All four rules, one row per distinct event (D-10), stamped ``report_dt``.
+                 pit: bool | None = None, history: DataFrame | None = None, velocity: bool = True) -> DataFrame:
+    """All four rules, one row per distinct event (D-10), stamped ``report_dt``;
+    without ``velocity`` those of types 1 and 2 only.
 
     Rules 1a, 1b and 2 are flags on a single join of the facts with the
     owners (plus the first blacklist entry per passport), so the fact table is
@@ -212,21 +220,52 @@ def fraud_report(txn: DataFrame, owners: DataFrame, blacklist: DataFrame, termin
         pit = FROM in o.columns
     j = _with_owner(txn, o, pit)
     static = _events(j, [
-        (F.col("blacklisted_at") < F.col("trans_date"), 1),
-        (_expired_document(inclusive_document), 1),
+        ((F.col("blacklisted_at") < F.col("trans_date")) | _expired_document(inclusive_document), 1),
         (F.col("account_valid_to").isNotNull() & (F.col("trans_date") > F.col("account_valid_to")), 2),
     ])
+    if not velocity:
+        return _distinct_events(static).withColumn("report_dt", report_dt.cast("timestamp_ntz"))
     if history is None:
-        fast = velocity_rule(txn, terminals, o, within=within, pit=pit)
+        fast = velocity_rule(txn, terminals, owners, within=within, pit=pit)
     else:
         cols = ["trans_id", "trans_date", "card_num", "terminal"]
         first_new = txn.select(F.min("trans_date")).scalar()
         earlier = history.where(F.col("trans_date") >= first_new - F.expr(f"INTERVAL {within}"))
         recent = txn.select(*cols).unionByName(earlier.select(*cols)).distinct()
-        fast = (velocity_rule(recent, terminals, o, within=within, pit=pit)
+        fast = (velocity_rule(recent, terminals, owners, within=within, pit=pit)
                 .where(F.col("event_dt") >= first_new))
-    return (static.unionByName(fast).distinct()
-            .withColumn("report_dt", report_dt.cast("timestamp_ntz")))
+    return _distinct_events(static.unionByName(fast)).withColumn("report_dt", report_dt.cast("timestamp_ntz"))
+
+
+def _row_sums(prefix: str, columns: list[str]) -> list[Column]:
+    """Per group, both halves of the rows' hashes summed by ``_side``: all 0 if
+    the rows of both sides are the same, in any order."""
+    hashed = F.xxhash64(*columns, *[F.col(c).isNull() for c in columns])
+    halves = F.shiftright(hashed, 32), hashed.bitwiseAND(F.lit(0xFFFFFFFF))
+    return [F.sum(F.col("_side") * h).alias(f"{prefix}{k}") for k, h in enumerate(halves)]
+
+
+def _changed_passports(before: tuple[DataFrame, DataFrame], after: tuple[DataFrame, DataFrame]) -> DataFrame:
+    """(_passport, _owner): passports of owner rows, or with a first blacklist
+    entry, that are only in one of both; ``_owner`` if more than the dates that
+    rules 1 and 2 compare differs. Owner rows are summed up per passport where
+    they are, and the blacklist is compared on its own, so no wide row is
+    shuffled for this."""
+    columns = [c for c in after[0].columns if c in before[0].columns]
+    dates = ("account_num", "account_valid_to", "client_id", "passport_valid_to")
+    sides = before[0].select(*columns, F.lit(1).alias("_side")).unionByName(
+        after[0].select(*columns, F.lit(-1).alias("_side")))
+    rows = sides.groupBy(F.col("passport_num").alias("_passport")).agg(
+        *_row_sums("_row", columns), *_row_sums("_own", [c for c in columns if c not in dates]))
+    entries = [_blacklist_first_entry(x[1]).where(F.col("_bl_passport").isNotNull()) for x in (before, after)]
+    none = F.lit(None).cast(entries[0].schema["blacklisted_at"].dataType)
+    entry = (entries[0].select("_bl_passport", F.col("blacklisted_at").alias("_was"), none.alias("_is"))
+             .unionByName(entries[1].select("_bl_passport", none.alias("_was"), F.col("blacklisted_at").alias("_is")))
+             .groupBy("_bl_passport").agg(F.max("_was").alias("_was"), F.max("_is").alias("_is"))
+             .where(~F.col("_was").eqNullSafe(F.col("_is"))))
+    return (rows.join(entry, strip_spaces("_passport") == F.col("_bl_passport"), "left")
+            .where("_row0 <> 0 OR _row1 <> 0 OR _bl_passport IS NOT NULL")
+            .select("_passport", F.expr("_own0 <> 0 OR _own1 <> 0").alias("_owner")))
 
 
 def refresh_report(report: DataFrame, txn: DataFrame, before: tuple[DataFrame, DataFrame],
@@ -238,22 +277,34 @@ def refresh_report(report: DataFrame, txn: DataFrame, before: tuple[DataFrame, D
     and as they are now. Owner rows (with the first blacklist entry of their
     passport) that are only in one of both name the passports whose events may
     differ; their old events are retracted, and events are made anew from the
-    operations of all cards that have or had such a passport. Equal to the
-    report from scratch over the same operations, but only these cards'
-    operations are joined. New operations are the daily report's work.
+    operations of all cards that have such a passport. Rule 3 reads neither
+    the blacklist nor the dates of documents and contracts: where nothing else
+    changed its events stand, with the new stamp. Equal to the report from
+    scratch over the same operations, but only these cards' operations are
+    joined. New operations are the daily report's work.
     """
-    old, new = (_attach_blacklist(owners, blacklist) for owners, blacklist in (before, after))
-    columns = [c for c in new.columns if c in old.columns]
-    old, new = old.select(*columns), new.select(*columns)
-    changed = (old.withColumn("_side", F.lit(1)).unionByName(new.withColumn("_side", F.lit(-1)))
-               .groupBy(*columns).agg(F.sum("_side").alias("_n")).where("_n <> 0"))
-    passports = changed.select(F.col("passport_num").alias("_passport")).distinct().checkpoint()
-    cards = (old.unionByName(new).join(passports, F.col("passport_num").eqNullSafe(F.col("_passport")), "left_semi")
-             .select("card_num").distinct())
-    again = fraud_report(txn.join(cards, "card_num", "left_semi"), after[0].join(cards, "card_num", "left_semi"),
-                         after[1], terminals, report_dt, **options)
-    again = again.join(passports, F.col("passport").eqNullSafe(F.col("_passport")), "left_semi")
-    kept = report.join(passports, F.col("passport").eqNullSafe(F.col("_passport")), "left_anti")
+    passports = _changed_passports(before, after).checkpoint()
+    velocity = not passports.where("_owner").isEmpty()
+    names = passports.select("_passport")
+    owners = after[0].join(names, F.col("passport_num").eqNullSafe(F.col("_passport")), "left_semi")
+    pit = options.get("pit")
+    pit = FROM in after[0].columns if pit is None else pit
+    if pit or velocity:
+        cards = owners.select("card_num").distinct().checkpoint()
+        txn = txn.join(cards, "card_num", "left_semi")
+    if pit:
+        # All versions of a card decide which one is valid at a time.
+        owners = after[0].join(cards, "card_num", "left_semi")
+    again = fraud_report(txn, owners, after[1], terminals, report_dt, velocity=velocity, **options)
+    if pit:
+        again = again.join(names, F.col("passport").eqNullSafe(F.col("_passport")), "left_semi")
+    if velocity:
+        kept = report.join(names, F.col("passport").eqNullSafe(F.col("_passport")), "left_anti")
+    else:
+        marked = report.join(names.withColumn("_changed", F.lit(True)),
+                             F.col("passport").eqNullSafe(F.col("_passport")), "left")
+        stamp = F.when(F.col("_changed"), report_dt.cast("timestamp_ntz")).otherwise(F.col("report_dt"))
+        kept = marked.where("_changed IS NULL OR event_type = 3").withColumn("report_dt", stamp).select(*report.columns)
     return kept.unionByName(again)
 
 
