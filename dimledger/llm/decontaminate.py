@@ -56,6 +56,7 @@ MAX_DF = 0.005          # terms in more passages have no weight, unless an item
 MIN_DF_CUT = 20         # terms in so few passages always have weight
 FEW_TERMS = 5
 BLOCK_ITEMS = 512
+RUN = 64                # entries of a group that are summed one after the other
 SEED = 7
 EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 ANSWER = re.compile(r"(?is)(?:^|\n|\s)(?:answer|ans|a)\s*:\s*(.+)$")
@@ -155,7 +156,9 @@ def frequencies(size: int):
 
 def term_weights(items: Items, total: np.ndarray) -> np.ndarray:
     """IDF of the terms; 0 for those in more than ``MAX_DF`` of the passages,
-    but all terms of an item with fewer than ``FEW_TERMS`` others keep theirs."""
+    but all terms of an item with fewer than ``FEW_TERMS`` others keep theirs.
+    Terms of no passage have none: they match nothing and would only turn an
+    item's row away from those that hold the rest of it."""
     n = max(int(total[0]), 1)
     idf = np.log((n + 1) / (total + 1.0)) + 1e-3
     idf[0] = 0
@@ -165,7 +168,7 @@ def term_weights(items: Items, total: np.ndarray) -> np.ndarray:
         if len({t for t in own.tolist() if rare[t]}) < FEW_TERMS:
             keep[own] = True
     keep[0] = False
-    return np.where(keep, idf, 0.0)
+    return np.where(keep & (total > 0), idf, 0.0)
 
 
 def weighted(passage: np.ndarray, term: np.ndarray, count: np.ndarray, n: int, idf: np.ndarray
@@ -178,13 +181,38 @@ def weighted(passage: np.ndarray, term: np.ndarray, count: np.ndarray, n: int, i
     return passage, term, (value / norm[passage]).astype(np.float32)
 
 
+def sums_of_rows(starts: np.ndarray, row: np.ndarray, value: np.ndarray, matrix: np.ndarray) -> np.ndarray:
+    """Per group of entries (from each start to the next) the sum of ``value``
+    times the ``row`` of ``matrix``: first entries of all groups at once, then
+    second ones, and so on. Groups of more than ``RUN`` entries go in runs."""
+    sizes = np.diff(np.append(starts, len(row)))
+    runs = -(-sizes // RUN)
+    if len(runs) and runs.max() > 1:
+        first = np.cumsum(runs) - runs
+        begins = np.repeat(starts, runs) + (np.arange(int(runs.sum())) - np.repeat(first, runs)) * RUN
+        return np.add.reduceat(sums_of_rows(begins, row, value, matrix), first, axis=0)
+    order = np.argsort(-sizes, kind="stable")
+    begins = starts[order]
+    longer = np.searchsorted(-sizes[order], -np.arange(1, sizes.max(initial=1)), side="left")
+    value = value[:, None]
+    out = matrix[row[begins]] * value[begins]
+    for k, m in enumerate(longer.tolist(), 1):
+        at = begins[:m] + k
+        part = matrix[row[at]]
+        part *= value[at]
+        out[:m] += part
+    back = np.empty_like(out)
+    back[order] = out
+    return back
+
+
 def project(passage: np.ndarray, term: np.ndarray, value: np.ndarray, matrix: np.ndarray
             ) -> tuple[np.ndarray, np.ndarray]:
     """Rows times ``matrix``, for the passages that have entries."""
     starts = np.flatnonzero(np.concatenate([[True], passage[1:] != passage[:-1]])) if len(passage) else np.empty(0, int)
     if not len(starts):
         return np.empty(0, dtype=np.int64), np.empty((0, matrix.shape[1]), dtype=np.float32)
-    return passage[starts], np.add.reduceat(matrix[term] * value[:, None], starts, axis=0)
+    return passage[starts], sums_of_rows(starts, term, value, matrix)
 
 
 def pieces(passage: np.ndarray, entries: int = 1 << 15) -> Iterator[slice]:
@@ -213,11 +241,11 @@ def sketch(idf: np.ndarray, width: int):
             p, t, v = weighted(p, t, c, len(doc), idf)
             for cut in pieces(p):
                 rows, product = project(p[cut], t[cut], v[cut], omega)
-                spread = product[np.searchsorted(rows, p[cut])] * v[cut][:, None]
                 order = np.argsort(t[cut], kind="stable")
                 sorted_terms = t[cut][order]
                 starts = np.flatnonzero(np.concatenate([[True], sorted_terms[1:] != sorted_terms[:-1]]))
-                total[sorted_terms[starts]] += np.add.reduceat(spread[order], starts, axis=0)
+                of_row = np.searchsorted(rows, p[cut][order])
+                total[sorted_terms[starts]] += sums_of_rows(starts, of_row, v[cut][order], product)
         used = np.flatnonzero(total.any(axis=1))
         for cut in range(0, len(used), 512):
             part = used[cut:cut + 512]

@@ -175,6 +175,19 @@ def test_lcs():
         assert decontaminate.lcs(a, b) == plain(a.tolist(), b.tolist())
 
 
+def test_sums_of_rows_of_groups_of_any_length():
+    rng = np.random.default_rng(4)
+    sizes = np.array([1, 3, 64, 65, 2, 700, 1, 128])
+    starts = np.cumsum(sizes) - sizes
+    row, value = rng.integers(0, 50, sizes.sum()), rng.standard_normal(sizes.sum()).astype(np.float32)
+    matrix = rng.standard_normal((50, 7)).astype(np.float32)
+    got = decontaminate.sums_of_rows(starts, row, value, matrix)
+    want = [(matrix[row[a:a + n]].astype(float) * value[a:a + n, None]).sum(axis=0) for a, n in zip(starts, sizes)]
+    assert np.allclose(got, want, atol=1e-3)
+    for few in (starts[:0], starts[:1]):
+        assert decontaminate.sums_of_rows(few, row[:len(few)], value[:len(few)], matrix).shape == (len(few), 7)
+
+
 def test_finds_exact_and_paraphrased_items(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
     bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
