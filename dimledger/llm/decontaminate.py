@@ -156,9 +156,7 @@ def frequencies(size: int):
 
 def term_weights(items: Items, total: np.ndarray) -> np.ndarray:
     """IDF of the terms; 0 for those in more than ``MAX_DF`` of the passages,
-    but all terms of an item with fewer than ``FEW_TERMS`` others keep theirs.
-    Terms of no passage have none: they match nothing and would only turn an
-    item's row away from those that hold the rest of it."""
+    but all terms of an item with fewer than ``FEW_TERMS`` others keep theirs."""
     n = max(int(total[0]), 1)
     idf = np.log((n + 1) / (total + 1.0)) + 1e-3
     idf[0] = 0
@@ -168,7 +166,7 @@ def term_weights(items: Items, total: np.ndarray) -> np.ndarray:
         if len({t for t in own.tolist() if rare[t]}) < FEW_TERMS:
             keep[own] = True
     keep[0] = False
-    return np.where(keep & (total > 0), idf, 0.0)
+    return np.where(keep, idf, 0.0)
 
 
 def weighted(passage: np.ndarray, term: np.ndarray, count: np.ndarray, n: int, idf: np.ndarray
@@ -385,13 +383,16 @@ class Anchors:
                        (at[lasts] - base).tolist(), strict=True)
 
 
-def outside_space(items: Items, idf: np.ndarray, basis: np.ndarray, least: float) -> np.ndarray:
+def outside_space(items: Items, total: np.ndarray, idf: np.ndarray, basis: np.ndarray, least: float) -> np.ndarray:
     """Items the latent space cannot vouch for: those with fewer than
     ``FEW_TERMS`` terms of weight, and those that keep less than ``least`` of
-    their length in it."""
-    rows, latent = project(*item_rows(items, idf), basis)
+    their length in it or without the terms that no passage has."""
+    item, term, value = item_rows(items, idf)
+    rows, latent = project(item, term, value, basis)
     kept = np.zeros(len(items.ids))
     kept[rows] = np.linalg.norm(latent, axis=1)
+    seen = total[term] > 0
+    kept = np.minimum(kept, np.sqrt(np.bincount(item[seen], weights=value[seen] ** 2, minlength=len(items.ids))))
     few = np.array([len({t for t in own.tolist() if idf[t] > 0}) < FEW_TERMS for own in items.codes])
     return few | (kept < least)
 
@@ -412,7 +413,7 @@ def search(items: Items, total: np.ndarray, idf: np.ndarray, basis: np.ndarray,
         # A subsequence of ``enough`` words misses len - enough words of the item.
         enough = [int(np.ceil(share * len(c))) for c in items.codes]
         rare_enough = [int(np.count_nonzero(idf[c] > 0)) - len(c) + e for c, e in zip(items.codes, enough, strict=True)]
-        anchors = Anchors(items, idf, total, enough, outside_space(items, idf, basis, held))
+        anchors = Anchors(items, idf, total, enough, outside_space(items, total, idf, basis, held))
         for batch in batches:
             codes = [np.frombuffer(c, "<u4").astype(np.int64) for c in batch.column("codes").to_pylist()]
             p, t, c, doc, begin = passages(codes, items.size, STRIDE)
