@@ -85,6 +85,8 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 8 << 2
             stop = min(stop, start + max_rows)
             yield batch.slice(start, stop - start)
             start = stop
+    # Workers live on for other operators: what this one no longer needs goes back.
+    pa.default_memory_pool().release_unused()
 
 
 def words_csr(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:

@@ -9,13 +9,13 @@ keeps a bounded table of the answers.
 from __future__ import annotations
 
 import os
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MAX_PIECES = 1_000_000   # pieces kept per worker between batches
+MAX_PIECES = 400_000     # pieces kept per worker between batches: some 200 bytes each
 
 # Kinds of bytes; bytes of unknown kind are never cut from their neighbours.
 UNKNOWN, LETTER, DIGIT, VISIBLE, APOSTROPHE, SPACE, BLANK = range(7)
@@ -47,7 +47,10 @@ class PieceTable:
 
     def __init__(self, max_pieces: int = MAX_PIECES):
         self.max_pieces = max_pieces
-        self._clear()
+        self.places: dict[bytes, int] = {}
+        self.starts = np.zeros(0, np.int64)
+        self.sizes = np.zeros(0, np.int64)
+        self.flat = np.zeros(0, "<u4")
 
     def cuts(self, raw: np.ndarray) -> np.ndarray:
         """Marks of the bytes before which a text may be cut."""
@@ -57,26 +60,35 @@ class PieceTable:
         """Ids of each piece."""
         raise NotImplementedError
 
-    def _clear(self) -> None:
-        self.places: dict[bytes, int] = {}
-        self.starts = np.zeros(0, np.int64)
-        self.sizes = np.zeros(0, np.int64)
-        self.flat = np.zeros(0, "<u4")
+    def _keep(self, pieces: list[bytes], place: np.ndarray) -> None:
+        """Forget all pieces but these, which are at ``place``."""
+        sizes = self.sizes[place]
+        starts = np.cumsum(sizes) - sizes
+        self.flat = self.flat[np.arange(int(sizes.sum())) + np.repeat(self.starts[place] - starts, sizes)]
+        self.places = dict(zip(pieces, range(len(pieces)), strict=True))
+        self.starts, self.sizes = starts, sizes
 
     def _places(self, distinct: list[bytes]) -> np.ndarray:
-        """Numbers of pieces in the table; new ones are asked for and added."""
-        missing = [p for p in distinct if p not in self.places]
-        if missing and len(self.places) + len(missing) > self.max_pieces:
-            self._clear()
-            missing = distinct
-        if missing:
+        """Numbers of pieces in the table; new ones are asked for and added. A
+        full table keeps those of the present batch: they are mostly the common
+        ones, and what it drops are mostly words met once."""
+        place = np.fromiter(map(self.places.get, distinct, repeat(-1)), np.int64, len(distinct))
+        new = np.flatnonzero(place < 0)
+        if len(new) and len(self.places) + len(new) > self.max_pieces:
+            known = np.flatnonzero(place >= 0)
+            self._keep([distinct[k] for k in known.tolist()], place[known])
+            place[known] = np.arange(len(known))
+        if len(new):
+            missing = [distinct[k] for k in new.tolist()]
             got = self.ask([p.decode() for p in missing])
             sizes = np.fromiter(map(len, got), np.int64, len(got))
-            self.places.update(zip(missing, range(len(self.sizes), len(self.sizes) + len(missing)), strict=True))
+            ids = np.fromiter(chain.from_iterable(got), "<u4", int(sizes.sum()))
+            place[new] = np.arange(len(self.sizes), len(self.sizes) + len(new))
+            self.places.update(zip(missing, place[new].tolist(), strict=True))
             self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
             self.sizes = np.concatenate([self.sizes, sizes])
-            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(got), "<u4", int(sizes.sum()))])
-        return np.fromiter(map(self.places.__getitem__, distinct), np.int64, len(distinct))
+            self.flat = np.concatenate([self.flat, ids])
+        return place
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """``(offsets, ids)`` of a batch: the ids of text i are
@@ -93,8 +105,9 @@ class PieceTable:
         place = self._places(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)]
         sizes = self.sizes[place]
         ends = np.cumsum(sizes)
-        index = np.arange(int(ends[-1]))
-        index += np.repeat(self.starts[place] - (ends - sizes), sizes)
+        width = np.int32 if max(int(ends[-1]), len(self.flat)) < 1 << 31 else np.int64
+        index = np.arange(int(ends[-1]), dtype=width)
+        index += np.repeat((self.starts[place] - (ends - sizes)).astype(width), sizes)
         return np.append(0, ends)[np.searchsorted(begins, offsets)], self.flat[index]
 
 

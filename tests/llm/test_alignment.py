@@ -127,3 +127,21 @@ def test_tables_of_pieces_give_the_ids_of_whole_texts():
             part = texts[start:start + 500]
             offsets, ids = enc.encode(pa.array(part))
             assert [ids[offsets[k]:offsets[k + 1]].tolist() for k in range(len(part))] == [whole(enc, t) for t in part]
+
+
+def test_a_full_table_keeps_the_pieces_in_use():
+    import pyarrow as pa
+
+    asked = []
+
+    class Noted(tokens.ByteBpe):
+        def ask(self, pieces):
+            asked.extend(pieces)
+            return super().ask(pieces)
+
+    enc = Noted(A, True, max_pieces=60)
+    for k in range(20):
+        text = " ".join([f"common{chr(97 + j)}" for j in range(20)] + [f"rare{chr(97 + j)}{chr(97 + k)}" for j in range(20)])
+        assert enc.encode(pa.array([text]))[1].tolist() == enc.tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(enc.places) <= 60
+    assert max(asked.count(p) for p in asked) == 1
