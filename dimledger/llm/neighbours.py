@@ -15,7 +15,9 @@ their labels, weighted by ``cosine ** POWER``.
 
 Document frequencies and the factorisation cover all documents. Per task they
 send up one number per term and one row of the sketch per term, whatever the
-size of the task; texts are never shuffled.
+size of the task; texts are never shuffled. The query counts the terms of each
+text once and keeps them in the shared folder (``with_terms``); the passes after
+that read the counts, not the texts.
 
 Defined results: a NULL or empty text has only the term of length 0; a text
 whose vector is 0, or that no labelled vector points to, gets the share of
@@ -35,6 +37,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimledger.llm.common import hash_strings, mix64, relation, slices, staged, words_csr
 
@@ -46,7 +49,8 @@ NEIGHBOURS = 15
 POWER = 8
 THRESHOLD = 0.7
 BLOCK_ROWS = 512         # documents of one cosine product
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 4 << 20    # of texts
+TERM_BYTES = 1 << 20     # of terms, two bytes each
 SEED = 11
 REPEATED = (1 / 32, 1 / 16, 1 / 8, 1 / 4, 1 / 2)     # shares of words that repeat the word before
 EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -79,7 +83,9 @@ def term_counts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         plain = pc.utf8_trim(pc.utf8_lower(distinct), characters=EDGES)
         word = _numbers(hash_strings(plain), WORD)
         keys.append((row * TERMS + word[codes])[pc.not_equal(plain, "").to_numpy(zero_copy_only=False)[codes]])
-        keys.append(row * TERMS + _numbers(hash_strings(shapes(distinct)), SHAPE)[codes])
+        shape = shapes(distinct).dictionary_encode()                  # few: each is hashed once
+        number = _numbers(hash_strings(shape.dictionary), SHAPE)[shape.indices.to_numpy(zero_copy_only=False)]
+        keys.append(row * TERMS + number[codes])
         again = np.flatnonzero((codes[1:] == codes[:-1]) & (row[1:] == row[:-1])) + 1
         share = np.bincount(row[again], minlength=n) / np.maximum(sizes, 1)
         levels = _numbers(np.arange(len(REPEATED), dtype=np.uint64), REPEAT)
@@ -89,11 +95,50 @@ def term_counts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return key // TERMS, key % TERMS, count
 
 
+def _binary(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Values from one bound to the next as one binary each."""
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [
+        None, pa.py_buffer((bounds * values.itemsize).astype(np.int32)), pa.py_buffer(values)])
+
+
+def with_terms(rows: DataFrame, text_col: str = "text") -> DataFrame:
+    """Rows with ``terms`` (little-endian unsigned 16-bit, ascending) and their
+    ``counts`` (32-bit) in place of the text."""
+    kept = rows.drop(text_col)
+    names = kept.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text_col, SLICE_BYTES):
+            row, term, count = term_counts(batch.column(text_col))
+            bounds = np.searchsorted(row, np.arange(batch.num_rows + 1))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in names), _binary(term.astype("<u2"), bounds),
+                 _binary(count.astype("<u4"), bounds)], names=[*names, "terms", "counts"])
+
+    return rows.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField("terms", T.BinaryType()),
+                                              T.StructField("counts", T.BinaryType())]))
+
+
+def _termed(docs: DataFrame, text_col: str, *columns: Column) -> DataFrame:
+    """``columns``, terms and counts of documents that have either their text or these."""
+    if text_col in docs.columns:
+        return with_terms(docs.select(*columns, F.col(text_col).alias("text")))
+    return docs.select(*columns, "terms", "counts")
+
+
+def entries(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, term, count) of rows of ``with_terms``, as ``term_counts`` has them."""
+    sizes = pc.binary_length(batch.column("terms")).to_numpy(zero_copy_only=False) // 2
+    term, count = (np.frombuffer(b"".join(batch.column(c).to_pylist()), kind).astype(np.int64)
+                   for c, kind in (("terms", "<u2"), ("counts", "<u4")))
+    return np.repeat(np.arange(batch.num_rows), sizes), term, count
+
+
 def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents that hold each term; all documents as term -1."""
     total, docs = np.zeros(TERMS, np.int64), 0
-    for batch in slices(batches, "text", SLICE_BYTES):
-        total += np.bincount(term_counts(batch.column("text"))[1], minlength=TERMS)
+    for batch in slices(batches, "terms", TERM_BYTES):
+        total += np.bincount(entries(batch)[1], minlength=TERMS)
         docs += batch.num_rows
     used = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(np.append(-1, used), pa.int32()), pa.array(np.append(docs, total[used]))],
@@ -131,8 +176,8 @@ def sketch(idf: np.ndarray, width: int):
     """Rows (per term) of the task's share of ``A'(A Omega)``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         omega, total = test_matrix(width), np.zeros((TERMS, width), np.float32)
-        for batch in slices(batches, "text", SLICE_BYTES):
-            row, term, count = term_counts(batch.column("text"))
+        for batch in slices(batches, "terms", TERM_BYTES):
+            row, term, count = entries(batch)
             value = weighted(row, term, count, batch.num_rows, idf)
             product = project(row, term, value, batch.num_rows, omega)
             order = np.argsort(term, kind="stable")
@@ -172,23 +217,22 @@ class Space:
     idf: np.ndarray
     basis: np.ndarray
 
-    def vectors(self, texts: pa.Array) -> np.ndarray:
-        row, term, count = term_counts(texts)
-        made = project(row, term, weighted(row, term, count, len(texts), self.idf), len(texts), self.basis)
+    def vectors(self, row: np.ndarray, term: np.ndarray, count: np.ndarray, n: int) -> np.ndarray:
+        made = project(row, term, weighted(row, term, count, n, self.idf), n, self.basis)
         return made / np.maximum(np.linalg.norm(made, axis=1, keepdims=True), 1e-12)
 
 
 def fit_space(docs: DataFrame, rank: int = RANK, text_col: str = "text") -> Space:
-    """Term weights and directions from all texts."""
-    texts = docs.select(F.col(text_col).alias("text"))
-    counted = texts.mapInArrow(frequencies, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
+    """Term weights and directions from all texts (or rows of ``with_terms``)."""
+    termed = _termed(docs, text_col)
+    counted = termed.mapInArrow(frequencies, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
     total = np.zeros(TERMS, np.int64)
     n = int(counted["n"][counted["term"] < 0].sum())
     held = counted[counted["term"] >= 0]
     total[held["term"].to_numpy()] = held["n"].to_numpy()
     idf = np.where(total > 0, np.log((n + 1) / (total + 1.0)) + 1e-3, 0.0)
     width = rank + OVERSAMPLE
-    rows = (texts.mapInArrow(sketch(idf, width), "term int, row array<float>")
+    rows = (termed.mapInArrow(sketch(idf, width), "term int, row array<float>")
             .groupBy("term").applyInArrow(_add, "term int, row array<float>").toArrow())
     y = np.zeros((TERMS, width), np.float32)
     if rows.num_rows:
@@ -221,11 +265,12 @@ def labelled_vectors(docs: DataFrame, labels: DataFrame, space: Space, max_rows:
     one = (labels.filter(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id")
            .agg(F.min(label_col).cast("int").alias("label")))
     chosen = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    own = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")     # max_rows pairs of numbers
+    read = docs.select("doc_id", *(["text"] if "text" in docs.columns else ["terms", "counts"]))
+    own = _termed(read.join(F.broadcast(chosen), "doc_id"), "text", F.col("doc_id"), F.col("label"))   # max_rows pairs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", SLICE_BYTES):
-            made = space.vectors(batch.column("text"))
+        for batch in slices(batches, "terms", TERM_BYTES):
+            made = space.vectors(*entries(batch), batch.num_rows)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("label"), pa.FixedSizeListArray.from_arrays(
                     pa.array(made.ravel()), made.shape[1]).cast(pa.list_(pa.float32()))],
@@ -246,12 +291,12 @@ def score(docs: DataFrame, space: Space, known: np.ndarray, labels: np.ndarray,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own_space, own_known, own_labels = shared.value
-        for batch in slices(batches, "text", SLICE_BYTES):
-            scores = vote(own_space.vectors(batch.column("text")), own_known, own_labels)
+        for batch in slices(batches, "terms", TERM_BYTES):
+            scores = vote(own_space.vectors(*entries(batch), batch.num_rows), own_known, own_labels)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())],
                                              names=["doc_id", "score"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
+    return _termed(docs, text_col, F.col(id_col).cast("long").alias("doc_id")).mapInArrow(
         run, "doc_id long, score double")
 
 
@@ -260,7 +305,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def op11_quality_neighbours(spark, sf_dir):
-    docs = relation(spark, sf_dir, "documents")
+    docs = staged(with_terms(relation(spark, sf_dir, "documents").select("doc_id", "text")), "terms")
     space = fit_space(docs)
     known, labels = labelled_vectors(docs, relation(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id"))), space)
     return score(docs, space, known, labels).select(

@@ -100,3 +100,26 @@ def test_nulls_ties_repeats_and_empty_tables(spark):
     space = neighbours.fit_space(nothing)
     known, values = neighbours.labelled_vectors(nothing, labels, space)
     assert neighbours.score(nothing, space, known, values).collect() == []
+
+
+def test_terms_are_counted_once(spark, scratch, monkeypatch):
+    texts = pa.array([f"Word{k} of x{k} {'y' * (k % 5)}" for k in range(300)] + [None, "", "of of of"])
+    hashed, hash_strings = [], neighbours.hash_strings
+    monkeypatch.setattr(neighbours, "hash_strings", lambda values: hashed.append(len(values)) or hash_strings(values))
+    want = neighbours.term_counts(texts)
+    assert sorted(hashed) == [3, 605]        # shapes Aa0, a, a0; distinct words
+    monkeypatch.undo()
+    docs = documents(spark, list(enumerate(texts.to_pylist())))
+    termed = neighbours.with_terms(docs.select("doc_id", "text").coalesce(1).orderBy("doc_id").coalesce(1))
+    got = neighbours.entries(termed.toArrow().combine_chunks().to_batches()[0])
+    assert all(np.array_equal(a, b) for a, b in zip(got, want))
+    docs.write.parquet(f"{scratch}/documents.parquet")
+    spark.createDataFrame([(k, k % 2) for k in range(50)], "doc_id long, quality int").write.parquet(
+        f"{scratch}/labels.parquet")
+    scored = neighbours.op11_quality_neighbours(spark, scratch)
+    assert scored.count() == len(texts) and not [f for f in scored.inputFiles() if "documents.parquet" in f]
+    whole = neighbours.fit_space(docs)
+    known, labels = neighbours.labelled_vectors(docs, spark.read.parquet(f"{scratch}/labels.parquet").filter(
+        ~neighbours.held_out(neighbours.F.col("doc_id"))), whole)
+    plain = dict(map(tuple, neighbours.score(docs, whole, known, labels).collect()))
+    assert all(math.isclose(r.score, plain[r.doc_id], abs_tol=1e-3) for r in scored.collect())
