@@ -40,6 +40,7 @@ from dimledger.llm.common import relation, slices, stage_folder, staged
 MAX_BITS = 20          # longest code (25 at most)
 INTERVAL = 128         # ids between two checkpoints
 BLOCK_IDS = 1 << 18    # ids in a block, about; a longer document has a block of its own
+SLICE_BYTES = 2 << 20  # text encoded at once: arrays of some 20 bytes a byte of text
 END_ID = 0
 
 STAGED = ("part int, seq long, start long, doc_ids array<bigint>, sizes array<bigint>, ids binary, "
@@ -200,7 +201,7 @@ def _tokenise(vocabulary: str, end_id: int, block_ids: int):
             return _staged_row(part=part, seq=seq, start=start, doc_ids=doc_ids, sizes=sizes, ids=_packed(flat))
 
         end = np.array([end_id], dtype="<u4")
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             bounds, flat = enc.encode(batch.column("text"))
             for i, doc_id in enumerate(batch.column("doc_id").to_pylist()):
                 own = flat[bounds[i]:bounds[i + 1]]
@@ -260,9 +261,10 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_
     weights = np.zeros(size, dtype=np.int64)
     weights[counts["id"].to_numpy()] = counts["count"].to_numpy()
     lengths = code_lengths(weights, max_bits)
-    spark.createDataFrame(
-        [(int(i), int(lengths[i]), int(weights[i])) for i in np.flatnonzero(weights)],
-        "id int, bits int, count long").coalesce(1).write.parquet(f"{path}/codebook")
+    used = np.flatnonzero(weights)
+    spark.createDataFrame(pa.table({"id": pa.array(used, pa.int32()), "bits": pa.array(lengths[used], pa.int32()),
+                                    "count": pa.array(weights[used], pa.int64())})
+                          ).coalesce(1).write.parquet(f"{path}/codebook")
 
     # Ids before each range of doc_ids: one number per range.
     totals = (blocks.select("part", F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"))

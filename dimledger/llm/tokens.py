@@ -16,6 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 MAX_PIECES = 400_000     # pieces kept per worker between batches: some 200 bytes each
+ASKED = 256              # pieces in one call of the library: its objects stay few and near
 
 # Kinds of bytes; bytes of unknown kind are never cut from their neighbours.
 UNKNOWN, LETTER, DIGIT, VISIBLE, APOSTROPHE, SPACE, BLANK = range(7)
@@ -150,8 +151,8 @@ class ByteBpe(PieceTable):
         return out
 
     def ask(self, pieces: list[str]) -> list[list[int]]:
-        return [e.ids for k in range(0, len(pieces), 4096)
-                for e in self.tokenizer.encode_batch_fast(pieces[k:k + 4096], add_special_tokens=False)]
+        return [e.ids for k in range(0, len(pieces), ASKED)
+                for e in self.tokenizer.encode_batch_fast(pieces[k:k + ASKED], add_special_tokens=False)]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         held = np.zeros(len(texts), dtype=bool)
