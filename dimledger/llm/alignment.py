@@ -10,9 +10,10 @@ at whose end both tokenizers cut.
 Links are all pairs of a token of A and a token of B in one group; the count of
 a pair of ids is the number of documents that hold it linked.
 
-Flow: texts are encoded and aligned where they are read, in blocks of a few
-megabytes. A block keeps its documents' figures, its distinct id pairs, and for
-each document which of these it holds how often. Pairs are counted over all
+Flow: texts are encoded and aligned where they are read, a slice of text at a
+time, and gathered to blocks of a few megabytes. A block keeps its documents'
+figures, its distinct id pairs, and for each document which of these it holds
+how often (packed, for the JVM only carries it). Pairs are counted over all
 blocks (a row per pair and block, not per document), and the counts come back
 to the blocks, where documents sum them. No pair of tokens leaves its block.
 
@@ -35,22 +36,27 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimledger.llm.common import relation, slices, staged
+from dimledger.llm.common import BATCH, relation, setting, slices, staged
 
-BLOCK_BYTES = 2 << 20       # text of a block; a longer text has a block of its own
-LINKS_AT_ONCE = 1 << 20     # links formed before equal ones are added up
+BLOCK_BYTES = 2 << 20       # text of a block, about; a longer text has a block of its own
+BLOCK_ROWS = 10_000         # documents of a block, about
+BATCH_BYTES = 1 << 20       # text sent to a worker, and encoded, at once, about
+SLICE_BYTES = 256 << 10     # text aligned at once: arrays of some 80 bytes a byte of text
+ROW_GROUP = 16 << 20        # of the blocks' files: its rows are read together
+LINKS_AT_ONCE = 1 << 18     # links formed before equal ones are added up
 PIECES = 400_000            # pieces that each encoder of a worker remembers
 MANY = 64                   # links of a group from which equal ids in it are added up first
 
 BLOCKS = ("block long, doc_id array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, "
           "n_links array<bigint>, groups_sha256 array<string>, pairs array<bigint>, documents array<int>, "
-          "held array<int>, pair array<int>, times array<bigint>")
+          "held array<int>, pair binary, times binary")
 ALIGNED = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
            "groups_sha256 string")
 
 
 def _schema(ddl: str) -> pa.Schema:
-    kinds = {"long": pa.int64(), "bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
+    kinds = {"long": pa.int64(), "bigint": pa.int64(), "int": pa.int32(), "string": pa.string(),
+             "binary": pa.binary()}
     fields = [f.split() for f in ddl.split(", ")]
     return pa.schema([(n, pa.list_(kinds[k[6:-1]]) if k.startswith("array") else kinds[k]) for n, k in fields])
 
@@ -174,15 +180,25 @@ class Aligner:
         most = max(len(self.width_a), len(self.width_b))
         self.labels = pa.array([f"{i}{mark}" for i in range(most) for mark in ("", ";", "|", ",")], pa.binary())
 
-    def block(self, texts: pa.Array) -> dict:
-        """What a block keeps of its texts."""
+    def parts(self, texts: pa.Array) -> Iterator[dict]:
+        """Figures of texts by slices, and the pairs of ids that each holds,
+        ascending: ``held`` is how many."""
         from dimledger.llm.tokens import led_by_space
 
-        n = len(texts)
         some = pc.fill_null(pc.greater(pc.binary_length(texts), 0), False).to_numpy(zero_copy_only=False)
         led = led_by_space(texts)
         off_a, ids_a = self.a.encode(led)
         off_b, ids_b = self.b.encode(led)
+        at = 0
+        for own in slices(iter([pa.RecordBatch.from_arrays([led], names=["text"])]), "text", SLICE_BYTES):
+            to = at + own.num_rows
+            yield self._part(own.column(0), some[at:to], off_a[at:to + 1] - off_a[at], ids_a[off_a[at]:off_a[to]],
+                             off_b[at:to + 1] - off_b[at], ids_b[off_b[at]:off_b[to]])
+            at = to
+
+    def _part(self, led: pa.Array, some: np.ndarray, off_a: np.ndarray, ids_a: np.ndarray, off_b: np.ndarray,
+              ids_b: np.ndarray) -> dict:
+        n = len(led)
         keep = (some & spelt(ids_a, off_a, self.table_a, self.width_a, led)
                 & spelt(ids_b, off_b, self.table_b, self.width_b, led))
         ids_a, n_a = rows_of(ids_a.astype(np.int64), off_a, keep)
@@ -205,24 +221,54 @@ class Aligner:
         big = size_a * size_b >= MANY
         held, pair, times = links(entries(group_a, ids_a, big), entries(group_b, ids_b, big), groups, doc,
                                   len(self.width_b))
-        pairs, place, documents = np.unique(pair, return_inverse=True, return_counts=True)
         return {"n_a": n_a, "n_b": n_b, "n_groups": np.bincount(doc, minlength=n), "n_links": n_links,
-                "groups_sha256": hashes, "pairs": pairs, "documents": documents, "held": held, "pair": place,
-                "times": times}
+                "groups_sha256": pa.array(hashes, pa.string()), "held": np.bincount(held, minlength=n),
+                "pair": pair, "times": times}
+
+
+def packed(values: np.ndarray) -> bytes:
+    import zstandard
+
+    planes = values.view(np.uint8).reshape(-1, values.itemsize).T       # bytes of equal rank side by side
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpacked(value: bytes, kind: str) -> np.ndarray:
+    import zstandard
+
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(value), np.uint8)
+    return planes.reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
+
+
+def _block(number: int, doc_ids: list[pa.Array], parts: list[dict]) -> pa.RecordBatch:
+    """What a block keeps of its texts."""
+    made = {c: np.concatenate([p[c] for p in parts]) if isinstance(parts[0][c], np.ndarray)
+            else pa.concat_arrays([p[c] for p in parts]) for c in parts[0]}
+    pairs, place, documents = np.unique(made["pair"], return_inverse=True, return_counts=True)
+    made |= {"block": [number], "doc_id": pa.concat_arrays(doc_ids), "pairs": pairs, "documents": documents,
+             "pair": [packed(np.diff(place, prepend=0).astype("<i4"))],     # places ascend in a document
+             "times": [packed(made["times"])]}
+    schema = _schema(BLOCKS)
+    return pa.RecordBatch.from_arrays([_one_list(made[f.name], f.type) if pa.types.is_list(f.type)
+                                       else pa.array(made[f.name], f.type) for f in schema], schema=schema)
 
 
 def _align(a_path: str, b_path: str, block_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        schema, aligner = _schema(BLOCKS), Aligner(a_path, b_path)
-        block = TaskContext.get().partitionId() << 32
+        aligner, number = Aligner(a_path, b_path), TaskContext.get().partitionId() << 32
+        parts, doc_ids, size, rows = [], [], 0, 0
         for batch in slices(batches, "text", block_bytes):
-            made = aligner.block(batch.column("text")) | {"block": block, "doc_id": batch.column("doc_id")}
-            block += 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([made[f.name]], f.type) if f.name == "block" else _one_list(made[f.name], f.type)
-                 for f in schema], schema=schema)
+            texts = batch.column("text")
+            parts += aligner.parts(texts)
+            doc_ids.append(batch.column("doc_id"))
+            size, rows = size + (pc.sum(pc.binary_length(texts)).as_py() or 0), rows + len(texts)
+            if size + BATCH_BYTES // 2 > block_bytes or rows >= BLOCK_ROWS:      # whole batches, as near as they come
+                yield _block(number, doc_ids, parts)
+                parts, doc_ids, size, rows, number = [], [], 0, 0, number + 1
+        if parts:
+            yield _block(number, doc_ids, parts)
     return run
 
 
@@ -236,11 +282,14 @@ def _summed(block: pa.Table, counts: pa.Table) -> pa.Table:
     schema = _schema(ALIGNED)
     if not block.num_rows:
         return schema.empty_table()
-    column = {c: block.column(c).combine_chunks().flatten() for c in block.column_names if c != "block"}
+    column = {c: block.column(c).combine_chunks().flatten() for c in block.column_names
+              if pa.types.is_list(block.column(c).type)}
     n = len(column["doc_id"])
     order = np.argsort(counts.column("place").to_numpy())
     count, best = (counts.column(c).to_numpy()[order] for c in ("n", "best"))
-    held, pair, times = (column[c].to_numpy() for c in ("held", "pair", "times"))
+    held = np.repeat(np.arange(n), column["held"].to_numpy())
+    pair = np.cumsum(unpacked(block.column("pair")[0].as_py(), "<i4"), dtype=np.int64)
+    times = unpacked(block.column("times")[0].as_py(), "<i8")
     n_best, count_sum = np.zeros(n, np.int64), np.zeros(n, np.int64)
     if len(pair):
         np.add.at(n_best, held, times * best[pair])
@@ -262,7 +311,9 @@ def align(docs: DataFrame, a_path: str, b_path: str, block_bytes: int = BLOCK_BY
 
     width = len(PieceBpe(b_path).token_bytes())
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    blocks = staged(source.mapInArrow(_align(a_path, b_path, block_bytes), BLOCKS), "blocks")
+    with setting(docs.sparkSession, BATCH, str(BATCH_BYTES)):
+        blocks = staged(source.mapInArrow(_align(a_path, b_path, block_bytes), BLOCKS), "blocks",
+                        **{"parquet.block.size": ROW_GROUP})
     pairs = staged(blocks.select(F.explode(F.arrays_zip("pairs", "documents")).alias("e"))
                    .groupBy(F.col("e.pairs").alias("pair")).agg(F.sum("e.documents").cast("long").alias("n"))
                    .withColumn("a", F.floor(F.col("pair") / width)), "pairs")

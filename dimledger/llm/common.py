@@ -9,6 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,7 @@ from dimledger.session import checkpoint_dir
 SPACE = r"[\x20\x09-\x0D]"          # separators of words
 WORD = r"[^\x20\x09-\x0D]+"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"     # of rows sent to a worker at once
 
 
 def relation(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,21 +41,29 @@ def stage_folder(spark: SparkSession) -> str:
     return f"{spark_dir.rstrip('/')}/dimledger-llm/{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts the lineage so
-    that a lost executor costs at most one step. The shuffle files behind the
-    write are released with it, the table replaces them."""
-    spark = df.sparkSession
-    path = f"{stage_folder(spark)}/{name}"
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """The session's ``key`` is ``value`` meanwhile."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        yield
     finally:
         if before is None:
-            spark.conf.unset(CLEANUP)
+            spark.conf.unset(key)
         else:
-            spark.conf.set(CLEANUP, before)
+            spark.conf.set(key, before)
+
+
+def staged(df: DataFrame, name: str = "stage", **options) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: cuts the lineage so
+    that a lost executor costs at most one step. The shuffle files behind the
+    write are released with it, the table replaces them. ``options`` are the
+    writer's."""
+    spark = df.sparkSession
+    path = f"{stage_folder(spark)}/{name}"
+    with setting(spark, CLEANUP, "true"):
+        df.write.options(compression="zstd", **options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
